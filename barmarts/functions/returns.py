@@ -55,8 +55,9 @@ def count_when(cond: Column) -> Column:
 
 
 def ratio_pct(num: Column, den: Column, scale: int = 2) -> Column:
-    """ROUND(num * 100.0 / den, scale) as double (decimal arithmetic, then cast)."""
-    return F.round(num * F.lit(100.0).cast("decimal(4,1)") / den, scale).cast("double")
+    """ROUND(num * 100.0 / den, scale) as double (decimal arithmetic, then cast);
+    NULL when den is 0."""
+    return F.round(F.try_divide(num * F.lit(100.0).cast("decimal(4,1)"), den), scale).cast("double")
 
 
 def month_start(d) -> Column:

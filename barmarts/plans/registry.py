@@ -1,7 +1,9 @@
 """Registered queries: one callable per operator / data product, ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver's tables whole (``lineitem``, ``part``, ``events``) and
-derives its input with Spark; none runs on fixed small input.
+derives its input with Spark; none runs on fixed small input. Parameters that select
+a slice of the bars (upsert split date, history start, horizon) are the operators'
+own parameters, not row caps.
 """
 
 from __future__ import annotations
@@ -9,13 +11,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barmarts.operators import gold
+from barmarts.operators import gold, horizons, quality, seasonality
+from barmarts.operators.asof import asof_join
+from barmarts.operators.enrich import with_dimension
+from barmarts.operators.normalise import history_since, newest_bar_per_symbol, normalise_landing
 from barmarts.operators.silver import silver
-from barmarts.sources.tables import bars_from_tables
+from barmarts.operators.upsert import upsert, upsert_into_path
+from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, LOAD_TYPES,
+                              LONG_TERM_COLUMNS, MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS,
+                              RISK_COLUMNS, SILVER_COLUMNS, SILVER_NULLABLE)
+from barmarts.session import shared_dir
+from barmarts.sources.landing import consolidate, read_landing, write_landing
+from barmarts.sources.tables import bars_from_tables, brand_dimension, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# --- fixed query parameters -------------------------------------------------------------
+UPSERT_TARGET_BEFORE = "2001-06-01"      # target = bars before this date
+UPSERT_BATCH_FROM = "2001-05-01"         # batch = bars from this date, adjusted_close * 2
+HISTORY_START = "1998-01-01"
+DROP_A = ("2001-05-01", "2001-07-01")    # landed drop A: every symbol
+DROP_B = ("2001-06-15", "2001-08-01")    # landed drop B: overlaps A for the symbols below
+DROP_B_SYMBOLS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5"]
+ACCEPTED_SYMBOLS = [f"Brand#{i}" for i in range(1, 21)]
+ACCEPTED_PROVIDERS = ["synthetic"]
+LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
+
 
 def _bars(spark, sf):
     return bars_from_tables(spark, sf)
@@ -29,21 +52,175 @@ def _monthly(spark, sf):
     return gold.monthly_performance(_silver(spark, sf))
 
 
-def core_queries() -> dict[str, Query]:
-    return {
-        "bars_daily": _bars,
-        "silver_prices": _silver,
-        "long_term_performance": lambda s, sf: gold.long_term_performance(_silver(s, sf)),
-        "monthly_performance": _monthly,
-        "monthly_performance_join_form": lambda s, sf: gold.monthly_performance_join_form(_silver(s, sf)),
-        "monthly_market_summary": lambda s, sf: gold.monthly_market_summary(_monthly(s, sf)),
-        "risk_summary": lambda s, sf: gold.risk_summary(_monthly(s, sf)),
-        "alert_candidates": lambda s, sf: gold.alert_candidates(_monthly(s, sf)),
-        "top_k_per_month": lambda s, sf: gold.top_k_per_month(_monthly(s, sf), k=3),
-    }
+def _upsert_inputs(spark, sf):
+    bars = _bars(spark, sf)
+    target = bars.where(F.col("price_date") < F.lit(UPSERT_TARGET_BEFORE).cast("date"))
+    batch = (bars.where(F.col("price_date") >= F.lit(UPSERT_BATCH_FROM).cast("date"))
+             .withColumns({"adjusted_close": F.col("adjusted_close") * 2,
+                           "load_type": F.lit("incremental")}))
+    return target, batch
+
+
+def _landed_drops(spark, sf):
+    bars = _bars(spark, sf)
+    pd = F.col("price_date")
+    a = bars.where((pd >= F.lit(DROP_A[0]).cast("date")) & (pd < F.lit(DROP_A[1]).cast("date")))
+    b = bars.where((pd >= F.lit(DROP_B[0]).cast("date")) & (pd < F.lit(DROP_B[1]).cast("date"))
+                   & F.col("symbol").isin(DROP_B_SYMBOLS))
+    return a.unionByName(b)
+
+
+def _vendor_shaped(spark, sf):
+    bars = _bars(spark, sf)
+    return bars.select(
+        F.col("symbol").alias(" Symbol "), F.col("price_date").cast("string").alias("Date"),
+        F.col("open").cast("string").alias("Open"), F.col("high").cast("string").alias("High"),
+        F.col("low").cast("string").alias("Low"), F.col("close").cast("string").alias("Close"),
+        F.col("adjusted_close").cast("string").alias(" Adj Close "),
+        F.col("volume").cast("string").alias("Volume"))
+
+
+def normalise_landing_q(spark, sf):
+    return normalise_landing(_vendor_shaped(spark, sf), source_provider="yahoo_finance",
+                             load_type="historical", batch_id="batch-1",
+                             ingested_at_utc="2024-01-02 00:00:00")
+
+
+def upsert_bars(spark, sf):
+    target, batch = _upsert_inputs(spark, sf)
+    return upsert(target, batch)
+
+
+def asof_join_events(spark, sf):
+    ev = read_table(spark, sf, "events")
+    clicks = ev.where(F.col("event_type") == "click").select(
+        F.col("event_id").alias("click_event_id"), "user_id", F.col("ts").alias("click_ts"),
+        F.col("value").alias("click_value"))
+    views = ev.where(F.col("event_type") == "view").select(
+        "user_id", F.col("event_id").alias("event_id"), "ts", "value")
+    return asof_join(clicks, views, key="user_id", left_ts="click_ts", right_ts="ts",
+                     right_cols=["event_id", "value"], bucket="day", prefix="view_")
+
+
+def bars_with_dimension(spark, sf):
+    return with_dimension(_bars(spark, sf), brand_dimension(read_table(spark, sf, "part")))
+
+
+def dq_not_null(spark, sf):
+    s = _silver(spark, sf)
+    m = gold.monthly_performance(s)
+    reps = [quality.not_null_report(_bars(spark, sf), "bronze",
+                                    ["symbol", "price_date", "adjusted_close", "volume"]),
+            quality.not_null_report(s, "silver", [c for c in SILVER_COLUMNS if c not in SILVER_NULLABLE]),
+            quality.not_null_report(gold.long_term_performance(s), "long_term", LONG_TERM_COLUMNS),
+            quality.not_null_report(m, "monthly", MONTHLY_COLUMNS),
+            quality.not_null_report(gold.risk_summary(m), "risk", RISK_COLUMNS),
+            quality.not_null_report(gold.monthly_market_summary(m), "market_summary", MARKET_SUMMARY_COLUMNS),
+            quality.not_null_report(gold.alert_candidates(m), "alerts", ALERT_COLUMNS)]
+    return quality.union_reports(reps)
+
+
+def dq_unique(spark, sf):
+    s = _silver(spark, sf)
+    m = gold.monthly_performance(s)
+    return quality.union_reports([
+        quality.unique_report(gold.long_term_performance(s), "long_term", ["symbol"]),
+        quality.unique_report(gold.risk_summary(m), "risk", ["symbol"]),
+        quality.unique_report(gold.monthly_market_summary(m), "market_summary", ["month_start_date"]),
+    ])
+
+
+def dq_accepted_values(spark, sf):
+    s = _silver(spark, sf)
+    a = gold.alert_candidates(gold.monthly_performance(s))
+    return quality.union_reports([
+        quality.accepted_values_report(s, "silver", "symbol", ACCEPTED_SYMBOLS),
+        quality.accepted_values_report(s, "silver", "source_provider", ACCEPTED_PROVIDERS),
+        quality.accepted_values_report(s, "silver", "data_loaded_as", LOAD_TYPES),
+        quality.accepted_values_report(a, "alerts", "alert_type", ALERT_TYPES),
+        quality.accepted_values_report(a, "alerts", "alert_severity", ALERT_SEVERITIES),
+    ])
+
+
+def dq_composite_key(spark, sf):
+    b = _bars(spark, sf)
+    s = silver(b)
+    return quality.union_reports([
+        quality.unique_report(b, "bronze", ["symbol", "price_date"], "composite_key"),
+        quality.unique_report(s, "silver", ["symbol", "price_date"], "composite_key"),
+        quality.unique_report(gold.monthly_performance(s), "monthly", ["symbol", "month_start_date"],
+                              "composite_key"),
+        quality.unique_report(read_table(spark, sf, "lineitem"), "lineitem", LINEITEM_KEY, "composite_key"),
+    ])
+
+
+def gate_report(spark, sf):
+    universe = read_table(spark, sf, "part").select(F.col("p_brand").alias("symbol")).distinct()
+    return quality.gate_report(_landed_drops(spark, sf), universe)
+
+
+def partitioned_landing_roundtrip(spark, sf):
+    root = shared_dir(spark, "landing-roundtrip")
+    write_landing(_bars(spark, sf), f"{root}/landing", "historical")
+    read_landing(spark, f"{root}/landing")
+    return consolidate(spark, f"{root}/landing", f"{root}/consolidated")
+
+
+def stream_upsert(spark, sf):
+    from barmarts.streaming.ingest import run_available_now
+    root = shared_dir(spark, "stream-upsert")
+    target, batch = _upsert_inputs(spark, sf)
+    upsert_into_path(spark, f"{root}/bronze", target)
+    # three landed drops of the batch, one after the other (months in order)
+    pd = F.col("price_date")
+    cuts = ["2001-06-01", "2001-08-01"]
+    drops = [batch.where(pd < F.lit(cuts[0]).cast("date")),
+             batch.where((pd >= F.lit(cuts[0]).cast("date")) & (pd < F.lit(cuts[1]).cast("date"))),
+             batch.where(pd >= F.lit(cuts[1]).cast("date"))]
+    for d in drops:
+        d.write.mode("append").option("header", True).csv(f"{root}/landing")
+    return run_available_now(spark, f"{root}/landing", f"{root}/bronze",
+                             checkpoint=f"{root}/checkpoint", max_files_per_trigger=8)
 
 
 def all_queries() -> dict[str, Query]:
-    q = {}
-    q.update(core_queries())
-    return q
+    sv, mo = _silver, _monthly
+    return {
+        "bars_daily": _bars,
+        "silver_prices": sv,
+        "long_term_performance": lambda s, sf: gold.long_term_performance(sv(s, sf)),
+        "monthly_performance": mo,
+        "monthly_performance_join_form": lambda s, sf: gold.monthly_performance_join_form(sv(s, sf)),
+        "monthly_market_summary": lambda s, sf: gold.monthly_market_summary(mo(s, sf)),
+        "risk_summary": lambda s, sf: gold.risk_summary(mo(s, sf)),
+        "alert_candidates": lambda s, sf: gold.alert_candidates(mo(s, sf)),
+        "top_k_per_month": lambda s, sf: gold.top_k_per_month(mo(s, sf), k=3),
+        "table_profile": lambda s, sf: quality.table_profile(_bars(s, sf)),
+        "profile_by_symbol": lambda s, sf: quality.profile_by_symbol(_bars(s, sf)),
+        "duplicate_keys": lambda s, sf: quality.duplicate_keys(read_table(s, sf, "lineitem"), LINEITEM_KEY),
+        "duplicate_row_count": lambda s, sf: quality.duplicate_row_count(read_table(s, sf, "lineitem"),
+                                                                         LINEITEM_KEY),
+        "upsert_bars": upsert_bars,
+        "newest_bar_per_symbol": lambda s, sf: newest_bar_per_symbol(_bars(s, sf)),
+        "history_since": lambda s, sf: history_since(_bars(s, sf), HISTORY_START),
+        "normalise_landing": normalise_landing_q,
+        "bars_with_dimension": bars_with_dimension,
+        "snapshot_30d": lambda s, sf: horizons.snapshot_30d(sv(s, sf)),
+        "snapshot_kpis": lambda s, sf: horizons.snapshot_kpis(horizons.snapshot_30d(sv(s, sf))),
+        "return_ranking": lambda s, sf: horizons.return_ranking(horizons.snapshot_30d(sv(s, sf))),
+        "freshness": lambda s, sf: horizons.freshness(sv(s, sf)),
+        "horizon_returns": lambda s, sf: horizons.horizon_returns(sv(s, sf)),
+        "asof_join_events": asof_join_events,
+        "growth_of_100": lambda s, sf: horizons.growth_of_100(sv(s, sf), months=12),
+        "seasonality_heatmap": lambda s, sf: seasonality.seasonality_heatmap(mo(s, sf)),
+        "seasonality_leaders": lambda s, sf: seasonality.seasonality_leaders(mo(s, sf)),
+        "dq_not_null": dq_not_null,
+        "dq_unique": dq_unique,
+        "dq_accepted_values": dq_accepted_values,
+        "dq_composite_key": dq_composite_key,
+        "dq_recompute": lambda s, sf: quality.recompute_report(mo(s, sf)),
+        "gate_report": gate_report,
+        "split_rejects": lambda s, sf: quality.split_rejects(_landed_drops(s, sf), policy="historical"),
+        "partitioned_landing_roundtrip": partitioned_landing_roundtrip,
+        "stream_upsert": stream_upsert,
+    }
