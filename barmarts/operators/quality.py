@@ -72,10 +72,11 @@ def duplicate_row_count(df: DataFrame, keys: list[str] = KEY) -> DataFrame:
 
 def not_null_report(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Q1-Q3: NULL count per column, one aggregate pass for all columns of a table."""
-    counts = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"_{i}")
-                      for i, c in enumerate(columns)])
-    return union_reports([counts.select(*_report("not_null", table, c, F.coalesce(F.col(f"_{i}"), F.lit(0))))
-                          for i, c in enumerate(columns)])
+    counts = df.agg(*[F.coalesce(F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)), F.lit(0))
+                      .cast("bigint").alias(c) for c in columns])
+    long = counts.unpivot([], columns, "column_name", "failed_rows")
+    return long.select(F.lit("not_null").alias("check"), F.lit(table).alias("table_name"),
+                       "column_name", "failed_rows")
 
 
 def unique_report(df: DataFrame, table: str, columns: list[str], check: str = "unique") -> DataFrame:

@@ -7,10 +7,14 @@ bars: one bar per brand per shipping day, unit price as trade price.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmarts.schemas import BRONZE_COLUMNS
+from barmarts.session import shared_dir
 
 # Fixed lineage stamps of the derived bars.
 BARS_PROVIDER = "synthetic"
@@ -63,6 +67,56 @@ def bars_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade_bars(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
 
 
+# Bump when the bar derivation changes, so stored Bronze snapshots are not reused.
+BARS_VERSION = "1"
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Hash of (path, length, modification time) of every input file (listing only)."""
+    h = hashlib.sha256(BARS_VERSION.encode())
+    for path in paths:
+        p, fs = _fs_path(spark, path)
+        it = fs.listFiles(p, True)
+        files = []
+        while it.hasNext():
+            st = it.next()
+            files.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+        h.update("\n".join(sorted(files)).encode())
+    return h.hexdigest()[:24]
+
+
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze bars for the tables under ``sf_dir``, stored once per input snapshot.
+
+    As in a medallion pipeline, Bronze is a written table that every model reads; the
+    trades are aggregated once, not once per mart query. The table lives in the shared
+    checkpoint folder (survives executor loss), is written to a private folder and then
+    renamed into place (concurrent writers cannot interleave), and is keyed by the
+    input files' fingerprint, so changed inputs produce a new table.
+    """
+    sf_dir = sf_dir.rstrip("/")
+    inputs = [f"{sf_dir}/lineitem.parquet", f"{sf_dir}/part.parquet"]
+    final = shared_dir(spark, "bronze", input_fingerprint(spark, inputs), fresh=False)
+    p, fs = _fs_path(spark, final)
+    jvm = spark.sparkContext._jvm
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
+        tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+        bars_from_tables(spark, sf_dir).write.mode("overwrite").parquet(tmp)
+        if not fs.exists(p):
+            fs.mkdirs(p.getParent())
+            if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), p):
+                fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)  # another writer won
+        else:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
+    return spark.read.parquet(final).select(*BRONZE_COLUMNS)
+
+
 def brand_dimension(part: DataFrame) -> DataFrame:
     """Dimension stand-in: one row per brand with name and asset class attributes."""
     return part.groupBy(F.col("p_brand").alias("symbol")).agg(
