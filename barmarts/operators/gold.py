@@ -47,20 +47,19 @@ def long_term_performance(silver: DataFrame, audit: bool = False) -> DataFrame:
 
 def long_term_performance_join_form(silver: DataFrame) -> DataFrame:
     src = silver.select("symbol", "price_date", ADJ)
-    firsts = src.groupBy("symbol").agg(F.min("price_date").alias("start_date"))
-    lasts = src.groupBy("symbol").agg(F.max("price_date").alias("end_date"))
-    fp = src.join(firsts, (src.symbol == firsts.symbol) & (src.price_date == firsts.start_date)) \
-        .select(src.symbol, firsts.start_date, src[ADJ].alias("first_adjusted_closing_price"))
-    src2 = silver.select("symbol", "price_date", ADJ)
-    lp = src2.join(lasts, (src2.symbol == lasts.symbol) & (src2.price_date == lasts.end_date)) \
-        .select(src2.symbol.alias("_s"), lasts.end_date, src2[ADJ].alias("latest_adjusted_closing_price"))
-    j = fp.join(lp, fp.symbol == lp._s)
-    return j.select(
-        "symbol", "start_date", "first_adjusted_closing_price", "end_date",
-        "latest_adjusted_closing_price",
-        change("latest_adjusted_closing_price", "first_adjusted_closing_price").alias("total_return"),
-        ratio_return_pct("latest_adjusted_closing_price",
-                         "first_adjusted_closing_price").alias("total_return_pct"),
+    ends = src.groupBy("symbol").agg(F.min("price_date").alias("start_date"),
+                                     F.max("price_date").alias("end_date")).alias("e")
+    f, l = src.alias("f"), src.alias("l")
+    first = ends.join(f, (F.col("f.symbol") == F.col("e.symbol"))
+                      & (F.col("f.price_date") == F.col("e.start_date")))
+    both = first.join(l, (F.col("l.symbol") == F.col("e.symbol"))
+                      & (F.col("l.price_date") == F.col("e.end_date")))
+    return both.select(
+        F.col("e.symbol").alias("symbol"), F.col("e.start_date").alias("start_date"),
+        F.col(f"f.{ADJ}").alias("first_adjusted_closing_price"), F.col("e.end_date").alias("end_date"),
+        F.col(f"l.{ADJ}").alias("latest_adjusted_closing_price"),
+        change(F.col(f"l.{ADJ}"), F.col(f"f.{ADJ}")).alias("total_return"),
+        ratio_return_pct(F.col(f"l.{ADJ}"), F.col(f"f.{ADJ}")).alias("total_return_pct"),
     )
 
 
