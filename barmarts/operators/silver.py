@@ -2,10 +2,9 @@
 
 Two physical forms with identical rows:
 
-* ``silver(bronze)`` - one window partitioned by symbol (row_number, lag 1, lag 5 share
-  one Window node). Each task holds one symbol's series, which is bounded by the
-  calendar (one bar per symbol per trading day once the key gate has passed).
-* ``silver(bronze, split_by="month")`` - the window runs per (symbol, month) chunk and
+* ``silver(bronze, split_by=None)`` - one window partitioned by symbol (row_number,
+  lag 1, lag 5 share one Window node). Each task holds one symbol's whole series.
+* ``silver(bronze)`` (default ``split_by="month"``) - the window runs per (symbol, month) chunk and
   the first rows of each chunk take their lag-1 / lag-5 values from a 5-row halo of the
   preceding chunks. Parallelism is then bounded by symbols x months instead of symbols,
   so one symbol holding a third of all rows is spread over many tasks.
@@ -53,7 +52,7 @@ def _finish(df: DataFrame) -> DataFrame:
     ).select(*SILVER_COLUMNS)
 
 
-def silver(bronze: DataFrame, split_by: str | None = None, audit: bool = False) -> DataFrame:
+def silver(bronze: DataFrame, split_by: str | None = "month", audit: bool = False) -> DataFrame:
     src = clean_bars(bronze)
     if split_by is None:
         w = Window.partitionBy("symbol").orderBy("price_date")
@@ -74,28 +73,28 @@ def silver(bronze: DataFrame, split_by: str | None = None, audit: bool = False)
 
 
 def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
+    """Lags per (symbol, chunk) plus a halo from earlier chunks.
+
+    The full rows go through one window only. The chunk table (row counts, then
+    offsets by a window over one row per chunk) comes from a hash aggregate, and the
+    halo candidates - the last ``depth`` rows of every chunk - from a
+    ``row_number() <= depth`` top-k that Spark limits per task before the shuffle.
+    Every halo position of a chunk lies among the last ``depth`` rows of the chunk that
+    holds it, so the halo is an equi-join of small tables.
+    """
     depth = max(LAGS)
     adj = "adjusted_closing_price"
-    rows = src.withColumn("_chunk", chunk_expr)
-    wc = Window.partitionBy("symbol", "_chunk").orderBy("price_date")
-    rows = rows.select(
-        "*",
-        F.row_number().over(wc).alias("_rn"),
-        F.lag(adj, 1).over(wc).alias("_l1"),
-        F.lag(adj, depth).over(wc).alias("_l5"),
-        F.count(F.lit(1)).over(Window.partitionBy("symbol", "_chunk")).alias("_n"),
-    )
-    # Chunk table: one row per (symbol, chunk) with the number of rows in earlier chunks.
-    chunks = rows.groupBy("symbol", "_chunk").agg(F.max("_n").alias("_n"))
-    prior = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    chunks = chunks.select("symbol", "_chunk",
-                           F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_offset"))
-    # Tail rows (last `depth` of each chunk) with their global ordinal: every halo
-    # position of a chunk lies in the tail of the chunk that contains it.
-    tails = (rows.where(F.col("_rn") > F.col("_n") - depth)
+    base = src.withColumn("_chunk", chunk_expr)
+    sizes = base.groupBy("symbol", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    prior = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = sizes.select("symbol", "_chunk", "_n",
+                          F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_offset"))
+    from_end = Window.partitionBy("symbol", "_chunk").orderBy(F.col("price_date").desc())
+    tails = (base.select("symbol", "_chunk", adj, F.row_number().over(from_end).alias("_rd"))
+             .where(F.col("_rd") <= depth)
              .join(chunks, ["symbol", "_chunk"])
-             .select(F.col("symbol").alias("_tsym"), (F.col("_offset") + F.col("_rn")).alias("_g"),
+             .select(F.col("symbol").alias("_tsym"),
+                     (F.col("_offset") + F.col("_n") - F.col("_rd") + 1).alias("_g"),
                      F.col(adj).alias("_v")))
     targets = chunks.select("symbol", "_chunk", "_offset",
                             F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("_i"))
@@ -103,6 +102,13 @@ def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
                          & (F.col("_g") == F.col("_offset") - F.col("_i")), "left")
             .groupBy("symbol", "_chunk", "_offset")
             .agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_halo")))
+    wc = Window.partitionBy("symbol", "_chunk").orderBy("price_date")
+    rows = base.select(
+        "*",
+        F.row_number().over(wc).alias("_rn"),
+        F.lag(adj, 1).over(wc).alias("_l1"),
+        F.lag(adj, depth).over(wc).alias("_l5"),
+    )
     out = rows.join(halo, ["symbol", "_chunk"])
     return out.select(
         *[c for c in src.columns],

@@ -27,11 +27,22 @@ def physical_tree(df):
 
 
 def test_silver_has_one_window(spark):
-    p = physical_tree(silver(bronze_table(spark, SF_SMALL)))
+    p = physical_tree(silver(bronze_table(spark, SF_SMALL), split_by=None))
     assert len(re.findall(r"\bWindow\b \(", p)) == 1, p
     assert "SinglePartition" not in p
 
 
+def test_split_silver_windows_by_symbol_and_month(spark):
+    text = plan(silver(bronze_table(spark, SF_SMALL)))
+    # the window holding the full rows (the one computing the lags) is keyed by (symbol, chunk)
+    lag_windows = [b for b in text.split("\n\n") if ") Window" in b and "lag(" in b]
+    assert lag_windows, text
+    for b in lag_windows:
+        spec = re.search(r"Arguments: \[.*\], \[([^\]]*)\], \[", b).group(1)
+        assert "symbol" in spec and "_chunk" in spec, spec
+    assert "SinglePartition" not in physical_tree(silver(bronze_table(spark, SF_SMALL)))
+
+
 def test_scan_is_pruned_and_filter_pushed(spark):
     lt = E.queries()["long_term_performance"](spark, SF_SMALL)
     text = plan(lt)
