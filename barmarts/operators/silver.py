@@ -100,8 +100,9 @@ def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
                             F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("_i"))
     halo = (targets.join(tails, (F.col("symbol") == F.col("_tsym"))
                          & (F.col("_g") == F.col("_offset") - F.col("_i")), "left")
-            .groupBy("symbol", "_chunk", "_offset")
-            .agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_halo")))
+            .groupBy("symbol", "_chunk")
+            .agg(F.max("_offset").alias("_offset"),
+                 F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_halo")))
     wc = Window.partitionBy("symbol", "_chunk").orderBy("price_date")
     rows = base.select(
         "*",
@@ -109,7 +110,9 @@ def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
         F.lag(adj, 1).over(wc).alias("_l1"),
         F.lag(adj, depth).over(wc).alias("_l5"),
     )
-    out = rows.join(halo, ["symbol", "_chunk"])
+    # left join: equal to inner here (every chunk has a halo row), and lets Catalyst drop
+    # the whole halo branch when a consumer reads no lag column
+    out = rows.join(halo, ["symbol", "_chunk"], "left")
     return out.select(
         *[c for c in src.columns],
         (F.col("_offset") + F.col("_rn")).cast("int").alias("trading_day_number"),

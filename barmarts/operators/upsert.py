@@ -48,10 +48,14 @@ def _with_month(df: DataFrame) -> DataFrame:
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds data: a partition folder or a data file. (No ``_SUCCESS``
+    check: dynamic partition overwrite does not leave one at the table root.)"""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    if not fs.exists(p):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

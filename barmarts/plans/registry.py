@@ -180,8 +180,7 @@ def stream_upsert(spark, sf):
              batch.where(pd >= F.lit(cuts[1]).cast("date"))]
     for d in drops:
         d.write.mode("append").option("header", True).csv(f"{root}/landing")
-    return run_available_now(spark, f"{root}/landing", f"{root}/bronze",
-                             checkpoint=f"{root}/checkpoint", max_files_per_trigger=8)
+    return run_available_now(spark, f"{root}/landing", f"{root}/bronze", checkpoint=f"{root}/checkpoint")
 
 
 def all_queries() -> dict[str, Query]:

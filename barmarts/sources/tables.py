@@ -105,7 +105,7 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     final = shared_dir(spark, "bronze", input_fingerprint(spark, inputs), fresh=False)
     p, fs = _fs_path(spark, final)
     jvm = spark.sparkContext._jvm
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(final + "/_SUCCESS")):
+    if not fs.exists(p):  # only complete outputs are renamed into place
         tmp = f"{final}.tmp-{uuid.uuid4().hex}"
         bars_from_tables(spark, sf_dir).write.mode("overwrite").parquet(tmp)
         if not fs.exists(p):
