@@ -73,7 +73,9 @@ def test_dimension_file_and_merge(spark):
     out = with_dimension(bars_from_tables(spark, SF_SMALL), d)
     assert out.where(F.col("region") == "US").select("symbol").distinct().count() == 1
     assert out.count() == bars_from_tables(spark, SF_SMALL).count()  # left join keeps unknown symbols
+    name = "merge_target_" + root.rsplit("/", 1)[-1][:8]
     spark.range(1).selectExpr("'A' AS symbol", "current_date() AS price_date").write.mode("overwrite") \
-        .format("parquet").saveAsTable("merge_target_parquet")
-    with pytest.raises(Exception):  # parquet tables have no row-level MERGE: use upsert_into_path
-        merge_into(spark, "merge_target_parquet", spark.table("merge_target_parquet"))
+        .format("parquet").option("path", f"{root}/merge_target").saveAsTable(name)
+    with pytest.raises(Exception, match="UNSUPPORTED"):  # no row-level MERGE on parquet: use upsert_into_path
+        merge_into(spark, name, spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
