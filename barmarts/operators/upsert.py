@@ -7,9 +7,9 @@ statement for catalogs whose tables support it.
 
 ``upsert_into_path`` keeps Bronze as a parquet table partitioned by month: only the
 months the batch touches are read (dynamic partition pruning through the semi-join),
-merged, checkpointed into the shared checkpoint folder (cutting lineage to the files
+merged, staged as parquet in the shared checkpoint folder (cutting lineage to the files
 about to be replaced), and written back with dynamic partition overwrite, so other
-months are never rewritten and a lost executor re-reads the checkpoint, not the
+months are never rewritten and a lost executor re-reads the staged files, not the
 half-replaced table.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmarts.schemas import BRONZE_COLUMNS, KEY
-from barmarts.session import ensure_checkpoint_dir
+from barmarts.session import shared_dir
 
 MONTH = "price_month"
 
@@ -47,6 +47,12 @@ def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.date_format("price_date", "yyyy-MM"))
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """Rows of one month go to few writer tasks (few files per partition folder); AQE
+    splits a month that is too large and merges small ones (REBALANCE)."""
+    return df.hint("rebalance", MONTH)
+
+
 def _table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds data: a partition folder or a data file. (No ``_SUCCESS``
     check: dynamic partition overwrite does not leave one at the table root.)"""
@@ -67,12 +73,15 @@ def upsert_into_path(spark: SparkSession, path: str, batch: DataFrame,
     """Upsert ``batch`` into the month-partitioned parquet table at ``path``."""
     batch = batch.select(*BRONZE_COLUMNS)
     if not _table_exists(spark, path):
-        _with_month(batch).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+        _by_month(_with_month(batch)).write.mode("overwrite").partitionBy(MONTH).parquet(path)
         return read_bronze(spark, path)
-    ensure_checkpoint_dir(spark)
     touched = _with_month(batch).select(MONTH).distinct()
     current = spark.read.parquet(path).join(touched, MONTH, "left_semi").select(*BRONZE_COLUMNS)
-    merged = _with_month(upsert(current, batch, keys)).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Stage the merged months as a written table in the shared folder: the final write
+    # then reads the staged files, never the partitions it is replacing.
+    staging = shared_dir(spark, "upsert-staging")
+    _with_month(upsert(current, batch, keys)).write.parquet(staging)
+    merged = spark.read.parquet(staging)
+    (_by_month(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(MONTH).parquet(path))
     return read_bronze(spark, path)
