@@ -23,7 +23,7 @@ from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, LOAD
                               LONG_TERM_COLUMNS, MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS,
                               RISK_COLUMNS, SILVER_COLUMNS, SILVER_NULLABLE)
 from barmarts.session import shared_dir
-from barmarts.sources.landing import consolidate, read_landing, write_landing
+from barmarts.sources.landing import consolidate, write_landing
 from barmarts.sources.tables import bars_from_tables, brand_dimension, bronze_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,7 +163,6 @@ def gate_report(spark, sf):
 def partitioned_landing_roundtrip(spark, sf):
     root = shared_dir(spark, "landing-roundtrip")
     write_landing(_bars(spark, sf), f"{root}/landing", "historical")
-    read_landing(spark, f"{root}/landing")
     return consolidate(spark, f"{root}/landing", f"{root}/consolidated")
 
 

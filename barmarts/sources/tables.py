@@ -68,7 +68,7 @@ def bars_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Bump when the bar derivation changes, so stored Bronze snapshots are not reused.
-BARS_VERSION = "1"
+BARS_VERSION = "2"
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -107,7 +107,8 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     if not fs.exists(p):  # only complete outputs are renamed into place
         tmp = f"{final}.tmp-{uuid.uuid4().hex}"
-        bars_from_tables(spark, sf_dir).write.mode("overwrite").parquet(tmp)
+        (bars_from_tables(spark, sf_dir).sortWithinPartitions("symbol", "price_date")
+         .write.mode("overwrite").parquet(tmp))
         if not fs.exists(p):
             fs.mkdirs(p.getParent())
             if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), p):
