@@ -181,6 +181,7 @@ FROM (SELECT symbol, MIN(price_date) AS start_date, MAX(price_date) AS end_date,
              arg_max(adjusted_closing_price, price_date) AS latest_adjusted_closing_price
       FROM silver GROUP BY symbol) t
 """),
+        "long_term_performance_join_form": with_ctes(*mart_ctes(), body="SELECT * FROM long_term"),
         "monthly_performance": with_ctes(*STD, body=f"SELECT {MONTHLY_COLS} FROM monthly"),
         "monthly_performance_join_form": with_ctes(*STD, body=f"SELECT {MONTHLY_COLS} FROM monthly"),
         "monthly_market_summary": "WITH " + ",".join(STD) + market_summary_body(),

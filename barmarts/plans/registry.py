@@ -188,6 +188,7 @@ def all_queries() -> dict[str, Query]:
         "bars_daily": bars_from_tables,
         "silver_prices": sv,
         "long_term_performance": lambda s, sf: gold.long_term_performance(sv(s, sf)),
+        "long_term_performance_join_form": lambda s, sf: gold.long_term_performance_join_form(sv(s, sf)),
         "monthly_performance": mo,
         "monthly_performance_join_form": lambda s, sf: gold.monthly_performance_join_form(sv(s, sf)),
         "monthly_market_summary": lambda s, sf: gold.monthly_market_summary(mo(s, sf)),

@@ -25,6 +25,25 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
+    """Starting settings for a large cluster (pass as ``extra`` to ``build_session`` or to
+    spark-submit). AQE coalesces the initial shuffle partitions down to ~256 MB each and
+    splits skewed ones, so the initial count only needs to be large enough for the biggest
+    shuffle: about input bytes / 512 MB, at least 3x the cores, capped at 65536 so the
+    map x reduce block count stays manageable."""
+    initial = max(3 * total_cores, min(int(input_tb * 1024 * 1024 / 512), 65536))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "256m",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app: str = "barmarts", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)

@@ -43,6 +43,13 @@ def test_split_silver_windows_by_symbol_and_month(spark):
     assert "SinglePartition" not in physical_tree(silver(bronze_table(spark, SF_SMALL)))
 
 
+def test_asof_window_is_keyed_by_bucket(spark):
+    text = plan(E.queries()["asof_join_events"](spark, SF_SMALL))
+    wins = [b for b in text.split("\n\n") if ") Window" in b and "last(" in b and "_r" in b]
+    specs = [re.search(r"Arguments: \[.*\], \[([^\]]*)\], \[", b).group(1) for b in wins]
+    assert any("_k" in x and "_b" in x for x in specs), specs
+
+
 def test_scan_is_pruned_and_filter_pushed(spark):
     lt = E.queries()["long_term_performance"](spark, SF_SMALL)
     text = plan(lt)
