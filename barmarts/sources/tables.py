@@ -102,7 +102,9 @@ def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sf_dir = sf_dir.rstrip("/")
     inputs = [f"{sf_dir}/lineitem.parquet", f"{sf_dir}/part.parquet"]
-    final = shared_dir(spark, "bronze", input_fingerprint(spark, inputs), fresh=False)
+    # an optional namespace separates runs that must not share stored tables (the bench)
+    ns = spark.conf.get("spark.barmarts.bronze.namespace", "") or "default"
+    final = shared_dir(spark, "bronze", ns, input_fingerprint(spark, inputs), fresh=False)
     p, fs = _fs_path(spark, final)
     jvm = spark.sparkContext._jvm
     if not fs.exists(p):  # only complete outputs are renamed into place
