@@ -129,8 +129,10 @@ def monthly_performance_join_form(silver: DataFrame) -> DataFrame:
 # --- G4 ---------------------------------------------------------------------------------
 
 def _best_key(pct):
-    """ORDER BY pct DESC (NULLs last), symbol ASC, as a struct for min_by."""
-    return F.struct(pct.isNull().alias("n"), (-pct).alias("v"), F.col("symbol").alias("s"))
+    """ORDER BY pct DESC (NULLs last), symbol ASC, as a struct for min_by.
+    Spark orders NaN above every number, so DESC puts NaN first: the second field does."""
+    return F.struct(pct.isNull().alias("n"), (~F.isnan(pct)).alias("nan"), (-pct).alias("v"),
+                    F.col("symbol").alias("s"))
 
 
 def _worst_key(pct):

@@ -93,3 +93,21 @@ def test_accepted_values_provider_and_load_type(spark):
     s = silver(df)
     assert quality.accepted_values_report(s, "silver", "source_provider", ["yahoo_finance"]).first().failed_rows == 12
     assert quality.accepted_values_report(s, "silver", "data_loaded_as", ["historical", "incremental"]).first().failed_rows == 0
+
+
+def test_leaders_match_rank_windows_with_nan_and_null(spark):
+    from pyspark.sql import Window
+    rows = [("2024-01-01", "A", 5.0), ("2024-01-01", "B", float("nan")), ("2024-01-01", "C", None),
+            ("2024-01-01", "D", 5.0), ("2024-02-01", "A", None), ("2024-02-01", "B", -1.0),
+            ("2024-03-01", "C", float("nan")), ("2024-03-01", "A", float("nan"))]
+    m = spark.createDataFrame([(D(d), s, p) for d, s, p in rows],
+                              "month_start_date date, symbol string, monthly_return_pct double")
+    got = {r.month_start_date: (r.best_performing_etf, r.worst_performing_etf)
+           for r in gold.monthly_market_summary(m).collect()}
+    pct = F.col("monthly_return_pct")
+    best = Window.partitionBy("month_start_date").orderBy(pct.desc(), F.col("symbol"))
+    worst = Window.partitionBy("month_start_date").orderBy(pct.asc(), F.col("symbol"))
+    ref = (m.withColumn("b", F.row_number().over(best)).withColumn("w", F.row_number().over(worst)))
+    exp_b = {r.month_start_date: r.symbol for r in ref.where("b = 1").collect()}
+    exp_w = {r.month_start_date: r.symbol for r in ref.where("w = 1").collect()}
+    assert got == {k: (exp_b[k], exp_w[k]) for k in exp_b}
