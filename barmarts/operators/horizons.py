@@ -109,6 +109,14 @@ def horizon_returns(silver: DataFrame) -> DataFrame:
         ratio_return_pct("latest_adjusted_close", "_h.b").alias("return_pct"))
 
 
+def horizon_ranking(returns: DataFrame, horizon: str) -> DataFrame:
+    """G11 for a selected horizon of ``horizon_returns``: rank by return (desc, NULLs last),
+    ties by symbol, without a single-partition window."""
+    rows = returns.where(F.col("horizon") == horizon).select("symbol", "horizon", "return_pct")
+    return global_rank(rows, [F.col("return_pct").desc_nulls_last(), F.col("symbol").asc()],
+                       name="return_rank")
+
+
 def growth_of_100(silver: DataFrame, symbols: list[str] | None = None, months: int = 12) -> DataFrame:
     """Each symbol's close scaled so its first bar on or after ``add_months(ref, -months)``
     is exactly 100. The per-symbol base is an aggregate joined back on symbol (AQE

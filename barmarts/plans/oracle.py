@@ -399,6 +399,10 @@ SELECT MAX(price_date) AS latest_price_date, COUNT(DISTINCT symbol) AS total_sym
   COUNT(DISTINCT CASE WHEN price_date = {REF} THEN symbol END) AS symbols_at_latest_date
 FROM silver""",
         "horizon_returns": _horizon_sql(),
+        "horizon_ranking": f"""
+SELECT symbol, horizon, return_pct,
+  CAST(row_number() OVER (ORDER BY return_pct DESC NULLS LAST, symbol) AS INTEGER) AS return_rank
+FROM ({_horizon_sql()}) h WHERE horizon = '{R.RANKING_HORIZON}'""",
         "asof_join_events": """
 WITH clicks AS (SELECT event_id AS click_event_id, user_id, ts AS click_ts, value AS click_value
                 FROM events WHERE event_type = 'click'),

@@ -38,6 +38,7 @@ DROP_B_SYMBOLS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5"]
 ACCEPTED_SYMBOLS = [f"Brand#{i}" for i in range(1, 21)]
 ACCEPTED_PROVIDERS = ["synthetic"]
 LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
+RANKING_HORIZON = "3M"
 
 
 def _bars(spark, sf):
@@ -210,6 +211,8 @@ def all_queries() -> dict[str, Query]:
         "return_ranking": lambda s, sf: horizons.return_ranking(horizons.snapshot_30d(sv(s, sf))),
         "freshness": lambda s, sf: horizons.freshness(sv(s, sf)),
         "horizon_returns": lambda s, sf: horizons.horizon_returns(sv(s, sf)),
+        "horizon_ranking": lambda s, sf: horizons.horizon_ranking(horizons.horizon_returns(sv(s, sf)),
+                                                                   RANKING_HORIZON),
         "asof_join_events": asof_join_events,
         "growth_of_100": lambda s, sf: horizons.growth_of_100(sv(s, sf), months=12),
         "seasonality_heatmap": lambda s, sf: seasonality.seasonality_heatmap(mo(s, sf)),
