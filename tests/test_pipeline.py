@@ -62,6 +62,8 @@ def test_build_and_materialise_marts(spark):
     written = materialise_marts(spark, bars, shared_dir(spark, "test-marts"))
     assert written["monthly"].count() == m.monthly.count()
     assert written["alerts"].count() == m.alerts.count()
+    with pytest.raises(GateError, match="duplicated"):  # Q9 before Gold
+        materialise_marts(spark, bars.unionByName(bars.limit(1)), shared_dir(spark, "test-marts-dup"))
 
 
 def test_dimension_file_and_merge(spark):
