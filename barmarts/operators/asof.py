@@ -46,8 +46,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
         # carry-in: latest right row of earlier buckets of the same key
         per_bucket = (R.withColumn("_b", F.date_trunc(bucket, F.col("_ts")))
                       .groupBy("_k", "_b").agg(F.max_by("_r", "_ts").alias("_last")))
-        keys_buckets = L.select("_k", F.date_trunc(bucket, F.col("_ts")).alias("_b")).distinct().select("_k", "_b", F.lit(None).cast(
-            per_bucket.schema["_last"].dataType).alias("_last"))
+        keys_buckets = (L.select("_k", F.date_trunc(bucket, F.col("_ts")).alias("_b")).distinct()
+                        .select("_k", "_b", F.lit(None).cast(per_bucket.schema["_last"].dataType).alias("_last")))
         grid = per_bucket.unionByName(keys_buckets)
         prev = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         carry = (grid.groupBy("_k", "_b").agg(F.first("_last", ignorenulls=True).alias("_last"))
