@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barmarts.operators.quality import enforce_gates
 from barmarts.operators.upsert import read_bronze, upsert_into_path
-from barmarts.schemas import BRONZE, BRONZE_COLUMNS
+from barmarts.schemas import BRONZE, BRONZE_COLUMNS, REQUIRED_NOT_NULL
 from barmarts.session import shared_dir
 
 
@@ -28,14 +28,19 @@ def landed_stream(spark: SparkSession, landing_root: str, max_files_per_trigger:
 
 def start_upsert_stream(spark: SparkSession, landing_root: str, table_path: str,
                         checkpoint: str | None = None, available_now: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        null_gate: bool = True) -> StreamingQuery:
+    """``null_gate`` applies the incremental path's Q12 (no NULL/NaN in the required
+    columns) to every micro-batch. Q13 (every configured symbol present) is a per-day
+    batch rule and is left to ``plans.pipeline.incremental_load``: files land piecemeal."""
     checkpoint = checkpoint or shared_dir(spark, "stream-checkpoints")
+    required = REQUIRED_NOT_NULL if null_gate else None
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # A file landed twice carries identical rows: collapse exact copies. Two different
         # versions of one key in a micro-batch still refuse the whole micro-batch (Q11).
         batch = batch.dropDuplicates()
-        enforce_gates(batch, required=None)
+        enforce_gates(batch, required=required)
         upsert_into_path(batch.sparkSession, table_path, batch)
 
     writer = (landed_stream(spark, landing_root, max_files_per_trigger).writeStream

@@ -191,3 +191,11 @@ def test_stream_refuses_conflicting_versions(spark):
     a.unionByName(b).coalesce(1).write.option("header", True).csv(f"{root}/landing")
     with pytest.raises(Exception, match="no_duplicate_keys=1"):
         run_available_now(spark, f"{root}/landing", f"{root}/bronze", checkpoint=f"{root}/ckpt")
+
+
+def test_stream_refuses_null_required(spark):
+    from barmarts.streaming.ingest import run_available_now
+    root = shared_dir(spark, "test-stream-null")
+    _bars(spark, [_row("A", "2024-01-02", adj=float("nan"))]).write.option("header", True).csv(f"{root}/landing")
+    with pytest.raises(Exception, match="no_null_required=1"):
+        run_available_now(spark, f"{root}/landing", f"{root}/bronze", checkpoint=f"{root}/ckpt")
