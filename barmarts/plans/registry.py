@@ -18,12 +18,13 @@ from barmarts.operators.asof import asof_join
 from barmarts.operators.enrich import with_dimension
 from barmarts.operators.normalise import history_since, newest_bar_per_symbol, normalise_landing
 from barmarts.operators.silver import silver
-from barmarts.operators.upsert import upsert, upsert_into_path
+from barmarts.operators.upsert import read_bronze, upsert, upsert_into_path
+from barmarts.plans.pipeline import historical_load, incremental_load, materialise_marts
 from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, LOAD_TYPES,
                               LONG_TERM_COLUMNS, MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS,
                               RISK_COLUMNS, SILVER_COLUMNS, SILVER_NULLABLE)
 from barmarts.session import shared_dir
-from barmarts.sources.landing import consolidate, write_landing
+from barmarts.sources.landing import consolidate, read_vendor_csv, write_landing
 from barmarts.sources.tables import bars_from_tables, brand_dimension, bronze_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +184,38 @@ def stream_upsert(spark, sf):
     return run_available_now(spark, f"{root}/landing", f"{root}/bronze", checkpoint=f"{root}/checkpoint")
 
 
+def _land_vendor_csv(spark, sf, root, since=None):
+    vendor = _vendor_shaped(spark, sf)
+    if since is not None:
+        vendor = vendor.where(F.col("Date") >= since)  # ISO dates compare as text
+    vendor.write.option("header", True).csv(f"{root}/landing")
+    return read_vendor_csv(spark, f"{root}/landing")
+
+
+def historical_backfill(spark, sf):
+    """Landed vendor CSV -> P1-P6 -> Q15 (historical policy) -> upsert into Bronze."""
+    root = shared_dir(spark, "historical-backfill")
+    historical_load(spark, _land_vendor_csv(spark, sf, root), f"{root}/bronze",
+                    "yahoo_finance", "batch-1", "2024-01-02 00:00:00")
+    return read_bronze(spark, f"{root}/bronze")
+
+
+def incremental_daily(spark, sf):
+    """Newest landed bar per symbol -> Q11-Q14 (universe = brands of part) -> upsert."""
+    root = shared_dir(spark, "incremental-daily")
+    target, _ = _upsert_inputs(spark, sf)
+    upsert_into_path(spark, f"{root}/bronze", target)
+    universe = read_table(spark, sf, "part").select(F.col("p_brand").alias("symbol")).distinct()
+    return incremental_load(spark, _land_vendor_csv(spark, sf, root, since=UPSERT_BATCH_FROM),
+                            f"{root}/bronze", universe, "yahoo_finance", "batch-2", "2024-01-03 00:00:00")
+
+
+def materialised_alerts(spark, sf):
+    """Every model written in order (Q9 first); the written alerts table."""
+    written = materialise_marts(spark, _bars(spark, sf), shared_dir(spark, "materialised-marts"))
+    return written["alerts"].drop("gold_created_at_utc")
+
+
 def all_queries() -> dict[str, Query]:
     sv, mo = _silver, _monthly
     return {
@@ -226,4 +259,7 @@ def all_queries() -> dict[str, Query]:
         "split_rejects": lambda s, sf: quality.split_rejects(_landed_drops(s, sf), policy="historical"),
         "partitioned_landing_roundtrip": partitioned_landing_roundtrip,
         "stream_upsert": stream_upsert,
+        "historical_backfill": historical_backfill,
+        "incremental_daily": incremental_daily,
+        "materialised_alerts": materialised_alerts,
     }
