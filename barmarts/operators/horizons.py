@@ -9,7 +9,7 @@ horizons cost one ``groupBy(symbol)`` that combines map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmarts.functions.returns import ratio_pct, ratio_return_pct
@@ -86,21 +86,27 @@ def horizon_returns(silver: DataFrame) -> DataFrame:
     MAX the first bar.
     """
     ref = reference_date(silver)
+    # 1D / 1W bases = lag-1 / lag-5 of the last row = the 2nd / 6th latest close. A top-6
+    # per symbol (limited per task before the shuffle) gives them without running the
+    # lag window over every row.
+    newest = Window.partitionBy("symbol").orderBy(F.col(PD).desc())
+    recent = (silver.select("symbol", ADJ, F.row_number().over(newest).alias("_rd"))
+              .where(F.col("_rd") <= 6)
+              .groupBy("symbol").agg(F.max(F.when(F.col("_rd") == 2, F.col(ADJ))).alias("_b_1D"),
+                                     F.max(F.when(F.col("_rd") == 6, F.col(ADJ))).alias("_b_1W")))
     bases = {
-        "1D": F.max_by("previous_adjusted_closing_price", "price_date"),
-        "1W": F.max_by("adjusted_close_5d_ago", "price_date"),
         "YTD": F.max_by(ADJ, F.when(F.col(PD) < F.trunc(ref, "year"), F.col(PD))),
         "MAX": F.min_by(ADJ, "price_date"),
     }
     for h, months in HORIZON_MONTHS.items():
         bases[h] = F.max_by(ADJ, _on_or_before(F.add_months(ref, -months)))
-    wide = silver.groupBy("symbol").agg(
+    wide = (silver.groupBy("symbol").agg(
         F.max("price_date").alias("latest_date"),
         F.max_by(ADJ, "price_date").alias("latest_adjusted_close"),
-        *[bases[h].alias(f"_b{i}") for i, h in enumerate(HORIZONS)],
-    )
+        *[e.alias(f"_b_{h}") for h, e in bases.items()],
+    ).join(recent, "symbol", "left"))
     stacked = F.explode(F.array(*[
-        F.struct(F.lit(h).alias("horizon"), F.lit(i).alias("horizon_order"), F.col(f"_b{i}").alias("b"))
+        F.struct(F.lit(h).alias("horizon"), F.lit(i).alias("horizon_order"), F.col(f"_b_{h}").alias("b"))
         for i, h in enumerate(HORIZONS)]))
     long = wide.select("symbol", "latest_date", "latest_adjusted_close", stacked.alias("_h"))
     return long.select(
