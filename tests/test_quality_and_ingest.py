@@ -199,3 +199,15 @@ def test_stream_refuses_null_required(spark):
     _bars(spark, [_row("A", "2024-01-02", adj=float("nan"))]).write.option("header", True).csv(f"{root}/landing")
     with pytest.raises(Exception, match="no_null_required=1"):
         run_available_now(spark, f"{root}/landing", f"{root}/bronze", checkpoint=f"{root}/ckpt")
+
+
+def test_register_view_and_approx_profile(spark):
+    from barmarts.sources.landing import register_view
+    bars = bars_from_tables(spark, SF_SMALL)
+    register_view(bars, "bars_view")
+    exact = quality.table_profile(spark.table("bars_view")).first()
+    approx = quality.table_profile(bars, approx=True).first()
+    assert exact.total_rows == spark.sql("SELECT COUNT(*) FROM bars_view").first()[0]
+    assert (approx.total_rows, approx.earliest_date, approx.latest_date) == \
+        (exact.total_rows, exact.earliest_date, exact.latest_date)
+    assert abs(approx.total_symbols - exact.total_symbols) <= 2
