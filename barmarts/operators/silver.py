@@ -101,8 +101,9 @@ def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
     halo = (targets.join(tails, (F.col("symbol") == F.col("_tsym"))
                          & (F.col("_g") == F.col("_offset") - F.col("_i")), "left")
             .groupBy("symbol", "_chunk")
-            .agg(F.max("_offset").alias("_offset"),
-                 F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_halo")))
+            .agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_halo")))
+    # grouped by exactly the join keys, so Catalyst can drop the join when unused
+    offsets = chunks.groupBy("symbol", "_chunk").agg(F.max("_offset").alias("_offset"))
     wc = Window.partitionBy("symbol", "_chunk").orderBy("price_date")
     rows = base.select(
         "*",
@@ -110,9 +111,11 @@ def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
         F.lag(adj, 1).over(wc).alias("_l1"),
         F.lag(adj, depth).over(wc).alias("_l5"),
     )
-    # left join: equal to inner here (every chunk has a halo row), and lets Catalyst drop
-    # the whole halo branch when a consumer reads no lag column
-    out = rows.join(halo, ["symbol", "_chunk"], "left")
+    # left joins: equal to inner here (every chunk has an offset and a halo row), and they
+    # let Catalyst drop the halo branch when a consumer reads no lag column, and both
+    # branches when it reads neither lags nor the trading-day ordinal
+    out = (rows.join(offsets, ["symbol", "_chunk"], "left")
+           .join(halo, ["symbol", "_chunk"], "left"))
     return out.select(
         *[c for c in src.columns],
         (F.col("_offset") + F.col("_rn")).cast("int").alias("trading_day_number"),
