@@ -17,6 +17,7 @@ from barmarts.operators.normalise import newest_bar_per_symbol, normalise_landin
 from barmarts.operators.quality import GateError, enforce_gates, split_rejects, unique_report
 from barmarts.operators.silver import silver
 from barmarts.operators.upsert import upsert_into_path
+from barmarts.session import shared_dir
 from barmarts.sources.landing import materialise
 
 
@@ -73,7 +74,11 @@ def historical_load(spark: SparkSession, landed: DataFrame, table_path: str, sou
     """Normalise -> split (historical policy keeps good symbols) -> upsert the good rows.
     Returns the rejected rows (empty when every symbol passed)."""
     batch = normalise_landing(landed, source_provider, "historical", batch_id, ingested_at_utc)
-    tagged = split_rejects(batch, policy="historical")
+    # The split is evaluated once and written to a quarantine table in the shared folder;
+    # accepted and rejected rows are then read from it (no recomputation, lineage cut).
+    quarantine = shared_dir(spark, "quarantine", batch_id)
+    split_rejects(batch, policy="historical").write.parquet(quarantine)
+    tagged = spark.read.parquet(quarantine)
     good = tagged.where(F.col("status") == "accepted").drop("status", "reject_reason")
     enforce_gates(good, required=None)  # nothing accepted -> refuse (Q14); keys unique (Q11)
     upsert_into_path(spark, table_path, good)

@@ -39,9 +39,14 @@ def start_upsert_stream(spark: SparkSession, landing_root: str, table_path: str,
     def sink(batch: DataFrame, batch_id: int) -> None:
         # A file landed twice carries identical rows: collapse exact copies. Two different
         # versions of one key in a micro-batch still refuse the whole micro-batch (Q11).
-        batch = batch.dropDuplicates()
-        enforce_gates(batch, required=required)
-        upsert_into_path(batch.sparkSession, table_path, batch)
+        # The micro-batch is read by the gates and by the upsert, so it is kept for the
+        # call (a lost executor recomputes it from the landed files).
+        batch = batch.dropDuplicates().persist()
+        try:
+            enforce_gates(batch, required=required)
+            upsert_into_path(batch.sparkSession, table_path, batch)
+        finally:
+            batch.unpersist()
 
     writer = (landed_stream(spark, landing_root, max_files_per_trigger).writeStream
               .foreachBatch(sink).option("checkpointLocation", checkpoint))
