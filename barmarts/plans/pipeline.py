@@ -55,9 +55,11 @@ def materialise_marts(spark: SparkSession, bronze: DataFrame, root: str,
     dup = unique_report(bronze, "bronze", ["symbol", "price_date"], "composite_key").first()
     if dup.failed_rows:
         raise GateError(f"Bronze has {dup.failed_rows} duplicated (symbol, price_date) keys")
-    s = materialise(silver(bronze, split_by=split_by, audit=True), f"{root}/silver")
+    s = materialise(silver(bronze, split_by=split_by, audit=True), f"{root}/silver",
+                    sort_by=["symbol", "price_date"])
     base = s.drop("silver_created_at_utc")
-    monthly = materialise(gold._audit(gold.monthly_performance(base), True), f"{root}/monthly")
+    monthly = materialise(gold._audit(gold.monthly_performance(base), True), f"{root}/monthly",
+                          sort_by=["symbol", "month_start_date"])
     m = monthly.drop("gold_created_at_utc")
     return {
         "silver": s,

@@ -52,8 +52,12 @@ def consolidate(spark: SparkSession, root: str, out: str, layout: str = "partiti
 
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> DataFrame:
-    """Replace a table at ``path``; returns a DataFrame over what was written."""
+                fmt: str = "parquet", sort_by: list[str] | None = None) -> DataFrame:
+    """Replace a table at ``path``; returns a DataFrame over what was written.
+    ``sort_by`` orders rows inside each write task (storage order for O1: tight row-group
+    min/max stats, no global sort)."""
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
