@@ -68,7 +68,7 @@ def bars_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Bump when the bar derivation changes, so stored Bronze snapshots are not reused.
-BARS_VERSION = "3"
+BARS_VERSION = "4"
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -90,33 +90,37 @@ def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     return h.hexdigest()[:24]
 
 
+def _done_runs(fs, base) -> list[str]:
+    if not fs.exists(base):
+        return []
+    return sorted(st.getPath().getName()[:-len(".done")] for st in fs.listStatus(base)
+                  if st.getPath().getName().endswith(".done"))
+
+
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze bars for the tables under ``sf_dir``, stored once per input snapshot.
 
     As in a medallion pipeline, Bronze is a written table that every model reads; the
     trades are aggregated once, not once per mart query. The table lives in the shared
-    checkpoint folder (survives executor loss), is written to a private folder and then
-    renamed into place (concurrent writers cannot interleave), and is keyed by the
-    input files' fingerprint, so changed inputs produce a new table.
+    checkpoint folder (survives executor loss) under the input files' fingerprint, so
+    changed inputs produce a new table. Each writer writes its own folder and then creates
+    a ``<run>.done`` marker (atomic create-if-absent); readers take the first completed
+    run, so concurrent or failed writers never expose partial data and no rename is needed.
     """
     sf_dir = sf_dir.rstrip("/")
     inputs = [f"{sf_dir}/lineitem.parquet", f"{sf_dir}/part.parquet"]
     # an optional namespace separates runs that must not share stored tables (the bench)
     ns = spark.conf.get("spark.barmarts.bronze.namespace", "") or "default"
-    final = shared_dir(spark, "bronze", ns, input_fingerprint(spark, inputs), fresh=False)
-    p, fs = _fs_path(spark, final)
-    jvm = spark.sparkContext._jvm
-    if not fs.exists(p):  # only complete outputs are renamed into place
-        tmp = f"{final}.tmp-{uuid.uuid4().hex}"
+    base = shared_dir(spark, "bronze", ns, input_fingerprint(spark, inputs), fresh=False)
+    p, fs = _fs_path(spark, base)
+    runs = _done_runs(fs, p)
+    if not runs:
+        run = uuid.uuid4().hex
         (bars_from_tables(spark, sf_dir).sortWithinPartitions("symbol", "price_date")
-         .write.mode("overwrite").parquet(tmp))
-        if not fs.exists(p):
-            fs.mkdirs(p.getParent())
-            if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), p):
-                fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)  # another writer won
-        else:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
-    return spark.read.parquet(final).select(*BRONZE_COLUMNS)
+         .write.parquet(f"{base}/{run}"))
+        fs.create(_fs_path(spark, f"{base}/{run}.done")[0], False).close()
+        runs = _done_runs(fs, p)
+    return spark.read.parquet(f"{base}/{runs[0]}").select(*BRONZE_COLUMNS)
 
 
 def brand_dimension(part: DataFrame) -> DataFrame:
