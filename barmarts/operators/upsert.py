@@ -15,6 +15,8 @@ half-replaced table.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,10 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", MONTH).sortWithinPartitions(MONTH, *KEY)
 
 
+def _hpath(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def _table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds data: a partition folder or a data file. (No ``_SUCCESS``
     check: dynamic partition overwrite does not leave one at the table root.)"""
@@ -70,18 +76,31 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_into_path(spark: SparkSession, path: str, batch: DataFrame,
-                     keys: list[str] = KEY) -> DataFrame:
-    """Upsert ``batch`` into the month-partitioned parquet table at ``path``."""
+                     keys: list[str] = KEY, token: str | None = None) -> DataFrame:
+    """Upsert ``batch`` into the month-partitioned parquet table at ``path``.
+
+    ``token`` names a replayable unit of work (a stream's micro-batch). The merged months
+    are staged under it with a done marker; a replay after a crash in the final overwrite
+    rewrites from the staged rows instead of re-merging with a half-replaced table.
+    """
     batch = batch.select(*BRONZE_COLUMNS)
     if not _table_exists(spark, path):
         _by_month(_with_month(batch)).write.mode("overwrite").partitionBy(MONTH).parquet(path)
         return read_bronze(spark, path)
-    touched = _with_month(batch).select(MONTH).distinct()
-    current = spark.read.parquet(path).join(touched, MONTH, "left_semi").select(*BRONZE_COLUMNS)
-    # Stage the merged months as a written table in the shared folder: the final write
-    # then reads the staged files, never the partitions it is replacing.
-    staging = shared_dir(spark, "upsert-staging")
-    _with_month(upsert(current, batch, keys)).write.parquet(staging)
+    if token is None:
+        staging = shared_dir(spark, "upsert-staging")
+    else:
+        tag = hashlib.sha256(path.encode()).hexdigest()[:16]
+        staging = shared_dir(spark, "upsert-staging", tag, token, fresh=False)
+    marker = _hpath(spark, staging + ".done")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(marker):
+        touched = _with_month(batch).select(MONTH).distinct()
+        current = spark.read.parquet(path).join(touched, MONTH, "left_semi").select(*BRONZE_COLUMNS)
+        # Stage the merged months as a written table in the shared folder: the final write
+        # then reads the staged files, never the partitions it is replacing.
+        _with_month(upsert(current, batch, keys)).write.mode("overwrite").parquet(staging)
+        fs.create(marker, True).close()
     merged = spark.read.parquet(staging)
     (_by_month(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(MONTH).parquet(path))

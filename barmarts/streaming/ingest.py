@@ -10,6 +10,8 @@ checkpoint folder, so a restarted driver resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,6 +37,8 @@ def start_upsert_stream(spark: SparkSession, landing_root: str, table_path: str,
     batch rule and is left to ``plans.pipeline.incremental_load``: files land piecemeal."""
     checkpoint = checkpoint or shared_dir(spark, "stream-checkpoints")
     required = REQUIRED_NOT_NULL if null_gate else None
+    # one stream = one checkpoint location; (stream, batch id) names a replayable upsert
+    stream_tag = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # A file landed twice carries identical rows: collapse exact copies. Two different
@@ -44,7 +48,7 @@ def start_upsert_stream(spark: SparkSession, landing_root: str, table_path: str,
         batch = batch.dropDuplicates().persist()
         try:
             enforce_gates(batch, required=required)
-            upsert_into_path(batch.sparkSession, table_path, batch)
+            upsert_into_path(batch.sparkSession, table_path, batch, token=f"{stream_tag}-{batch_id}")
         finally:
             batch.unpersist()
 

@@ -211,3 +211,19 @@ def test_register_view_and_approx_profile(spark):
     assert (approx.total_rows, approx.earliest_date, approx.latest_date) == \
         (exact.total_rows, exact.earliest_date, exact.latest_date)
     assert abs(approx.total_symbols - exact.total_symbols) <= 2
+
+
+def test_upsert_replay_uses_staged_rows(spark):
+    """A replayed unit of work rewrites from its staged merge, not from the current table."""
+    path = shared_dir(spark, "test-replay") + "/bronze"
+    target = _bars(spark, [_row("A", "2024-01-02", adj=1.0), _row("A", "2024-01-03", adj=2.0)])
+    batch = _bars(spark, [_row("A", "2024-01-03", adj=20.0)])
+    upsert_into_path(spark, path, target)
+    first = _sorted(upsert_into_path(spark, path, batch, token="t-1"))
+    # simulate a crash that lost the month folder after the merge was staged
+    other = _bars(spark, [_row("A", "2024-01-03", adj=20.0)])
+    from barmarts.operators.upsert import _by_month, _with_month, MONTH
+    _by_month(_with_month(other)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(MONTH).parquet(path)
+    replay = _sorted(upsert_into_path(spark, path, batch, token="t-1"))
+    assert replay == first and len(replay) == 2
