@@ -22,7 +22,8 @@ INCREMENTAL_PARTITIONS = ["symbol", "load_type", "price_date"]
 def write_landing(df: DataFrame, root: str, load_type: str = "historical") -> None:
     """Partitioned CSV; re-running replaces only the partitions it writes."""
     parts = INCREMENTAL_PARTITIONS if load_type == "incremental" else HISTORICAL_PARTITIONS
-    (df.select(*BRONZE_COLUMNS).write.mode("overwrite")
+    # REBALANCE on the partition columns: few files per folder, AQE splits a hot symbol
+    (df.select(*BRONZE_COLUMNS).hint("rebalance", *parts).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("header", True)
      .partitionBy(*parts).csv(root))
 
