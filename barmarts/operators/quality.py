@@ -125,11 +125,12 @@ def gate_report(batch: DataFrame, universe: DataFrame | None = None, keys: list[
     """Q11-Q14 (+ S11): one row per gate ``(gate, failed, passed)``."""
     dup = duplicate_row_count(batch, keys).select(
         F.lit("no_duplicate_keys").alias("gate"), F.col("duplicate_rows").alias("failed"))
-    nulls = batch.agg(F.sum(F.when(required_null_flag(batch, required), 1).otherwise(0)).alias("_n")) \
-        .select(F.lit("no_null_required").alias("gate"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("failed"))
-    empty = batch.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.lit("not_empty").alias("gate"), F.when(F.col("_n") == 0, 1).otherwise(0).cast("bigint").alias("failed"))
-    parts = [dup, nulls, empty]
+    # null/NaN count and emptiness in one pass over the batch
+    flat = batch.agg(
+        F.coalesce(F.sum(F.when(required_null_flag(batch, required), 1).otherwise(0)), F.lit(0))
+        .cast("bigint").alias("no_null_required"),
+        F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("not_empty"))
+    parts = [dup, flat.unpivot([], ["no_null_required", "not_empty"], "gate", "failed")]
     if universe is not None:
         present = batch.select(F.col(symbol).alias("symbol")).distinct()
         miss = universe.select("symbol").join(present, "symbol", "left_anti")
