@@ -93,6 +93,17 @@ def accepted_values_report(df: DataFrame, table: str, column: str, values: list)
                            F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0))))
 
 
+def accepted_values_multi(df: DataFrame, table: str, accepted: dict[str, list]) -> DataFrame:
+    """Q5-Q8 for several columns of one table in a single aggregate pass."""
+    cols = list(accepted)
+    counts = df.agg(*[F.coalesce(F.sum(F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(v)), 1)
+                                       .otherwise(0)), F.lit(0)).cast("bigint").alias(c)
+                      for c, v in accepted.items()])
+    return (counts.unpivot([], cols, "column_name", "failed_rows")
+            .select(F.lit("accepted_values").alias("check"), F.lit(table).alias("table_name"),
+                    "column_name", "failed_rows"))
+
+
 def recompute_failures(monthly: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Stored monthly pct differs from the recomputed one by more than tolerance."""
     first, last = F.col("first_adjusted_closing_price"), F.col("last_adjusted_closing_price")

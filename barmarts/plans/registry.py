@@ -137,11 +137,11 @@ def dq_accepted_values(spark, sf):
     s = _silver(spark, sf)
     a = gold.alert_candidates(gold.monthly_performance(s))
     return quality.union_reports([
-        quality.accepted_values_report(s, "silver", "symbol", ACCEPTED_SYMBOLS),
-        quality.accepted_values_report(s, "silver", "source_provider", ACCEPTED_PROVIDERS),
-        quality.accepted_values_report(s, "silver", "data_loaded_as", LOAD_TYPES),
-        quality.accepted_values_report(a, "alerts", "alert_type", ALERT_TYPES),
-        quality.accepted_values_report(a, "alerts", "alert_severity", ALERT_SEVERITIES),
+        quality.accepted_values_multi(s, "silver", {"symbol": ACCEPTED_SYMBOLS,
+                                                    "source_provider": ACCEPTED_PROVIDERS,
+                                                    "data_loaded_as": LOAD_TYPES}),
+        quality.accepted_values_multi(a, "alerts", {"alert_type": ALERT_TYPES,
+                                                    "alert_severity": ALERT_SEVERITIES}),
     ])
 
 
