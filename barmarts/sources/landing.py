@@ -29,12 +29,15 @@ def write_landing(df: DataFrame, root: str, load_type: str = "historical") -> No
 
 
 def read_landing(spark: SparkSession, root: str, layout: str = "partitioned") -> DataFrame:
-    """S3: one distributed read of the whole tree; an empty tree raises (Q14)."""
+    """S3: one distributed read of the whole tree; a tree without files raises (Q14).
+    The check uses the file listing Spark already made to plan the scan."""
     if layout == "files":
         df = (spark.read.schema(BRONZE).option("header", True)
               .option("recursiveFileLookup", True).csv(root))
     else:
         df = (spark.read.schema(BRONZE).option("header", True).option("basePath", root).csv(root))
+    if not df.inputFiles():
+        raise FileNotFoundError(f"no landed files under {root}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE.fields])
 
 

@@ -227,3 +227,11 @@ def test_upsert_replay_uses_staged_rows(spark):
         .partitionBy(MONTH).parquet(path)
     replay = _sorted(upsert_into_path(spark, path, batch, token="t-1"))
     assert replay == first and len(replay) == 2
+
+
+def test_read_landing_empty_tree_raises(spark):
+    import os
+    root = shared_dir(spark, "test-empty-landing")
+    os.makedirs(root.replace("file:", ""), exist_ok=True)
+    with pytest.raises(FileNotFoundError):
+        read_landing(spark, root)
