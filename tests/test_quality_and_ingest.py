@@ -235,3 +235,13 @@ def test_read_landing_empty_tree_raises(spark):
     os.makedirs(root.replace("file:", ""), exist_ok=True)
     with pytest.raises(FileNotFoundError):
         read_landing(spark, root)
+
+
+def test_incremental_landing_layout(spark):
+    import os
+    root = shared_dir(spark, "test-landing-inc")
+    bars = newest_bar_per_symbol(bars_from_tables(spark, SF_SMALL)).withColumn("load_type", F.lit("incremental"))
+    write_landing(bars, f"{root}/land", "incremental")
+    leaf = [d for d, _, _ in os.walk(root.replace("file:", "")) if "price_date=" in d]
+    assert leaf and all("symbol=" in d and "load_type=incremental" in d for d in leaf)
+    assert _sorted(read_landing(spark, f"{root}/land")) == _sorted(bars)
