@@ -245,3 +245,13 @@ def test_incremental_landing_layout(spark):
     leaf = [d for d, _, _ in os.walk(root.replace("file:", "")) if "price_date=" in d]
     assert leaf and all("symbol=" in d and "load_type=incremental" in d for d in leaf)
     assert _sorted(read_landing(spark, f"{root}/land")) == _sorted(bars)
+
+
+def test_upsert_replaces_lineage_of_matched_rows(spark):
+    target = _bars(spark, [_row("A", "2024-01-02"), _row("A", "2024-01-03")])
+    batch = _bars(spark, [_row("A", "2024-01-03")]).withColumns(
+        {"load_type": F.lit("incremental"), "batch_id": F.lit("b9"),
+         "ingested_at_utc": F.lit(dt.datetime(2024, 2, 1))})
+    got = {r.price_date.day: (r.load_type, r.batch_id, r.ingested_at_utc) for r in upsert(target, batch).collect()}
+    assert got[3] == ("incremental", "b9", dt.datetime(2024, 2, 1))
+    assert got[2] == ("historical", "b0", dt.datetime(2024, 1, 1))
