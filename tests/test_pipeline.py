@@ -1,5 +1,4 @@
 """G7 / G8 end to end from landed vendor files, materialised marts, dimension file, MERGE."""
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
