@@ -19,6 +19,8 @@ from barmarts.functions.returns import safe_return, safe_return_pct
 from barmarts.schemas import SILVER_COLUMNS
 
 LAGS = (1, 5)
+# chunk units for the split form: finer units spread one symbol over more tasks
+SPLIT_UNITS = ("week", "month", "quarter", "year")
 
 
 def clean_bars(bronze: DataFrame) -> DataFrame:
@@ -62,10 +64,10 @@ def silver(bronze: DataFrame, split_by: str | None = "month", audit: bool = Fals
             F.lag("adjusted_closing_price", 1).over(w).alias("previous_adjusted_closing_price"),
             F.lag("adjusted_closing_price", 5).over(w).alias("adjusted_close_5d_ago"),
         )
-    elif split_by == "month":
-        out = _chunked_lags(src, F.trunc("price_date", "month"))
+    elif split_by in SPLIT_UNITS:
+        out = _chunked_lags(src, F.trunc("price_date", split_by))
     else:
-        raise ValueError(f"unknown split_by {split_by!r}")
+        raise ValueError(f"split_by must be None or one of {SPLIT_UNITS}, got {split_by!r}")
     out = _finish(out)
     if audit:
         out = out.withColumn("silver_created_at_utc", F.current_timestamp())

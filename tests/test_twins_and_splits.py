@@ -44,7 +44,9 @@ def test_join_form_fans_out_on_duplicate_key(spark, edge_bronze):
 
 def test_split_silver_matches_plain(spark):
     b = bars_from_tables(spark, SF_SMALL)
-    _same(silver(b), silver(b, split_by="month"))
+    plain = silver(b, split_by=None)
+    for unit in ("week", "month", "year"):
+        _same(plain, silver(b, split_by=unit))
 
 
 def test_split_silver_short_chunks(spark):
