@@ -80,3 +80,11 @@ def test_dimension_file_and_merge(spark):
     with pytest.raises(Exception, match="UNSUPPORTED"):  # no row-level MERGE on parquet: use upsert_into_path
         merge_into(spark, name, spark.table(name))
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_cluster_conf_bounds():
+    from barmarts.session import cluster_conf
+    big = cluster_conf(8000, input_tb=100)
+    assert int(big["spark.sql.shuffle.partitions"]) == 65536
+    small = cluster_conf(64, input_tb=0.001)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192

@@ -26,3 +26,30 @@ def test_split_equals_plain(spark, steps):
     plain = sorted(map(tuple, silver(df, split_by=None).select(*cols).collect()), key=repr)
     split = sorted(map(tuple, silver(df).select(*cols).collect()), key=repr)
     assert plain == split
+
+
+events = st.lists(st.tuples(st.sampled_from([1, 2, 3]), st.integers(min_value=0, max_value=60 * 24 * 5),
+                            st.booleans()), min_size=1, max_size=80)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(events)
+def test_asof_equals_brute_force(spark, evs):
+    from barmarts.operators.asof import asof_join
+    t0 = dt.datetime(2024, 1, 1)
+    left = [(i, k, t0 + dt.timedelta(minutes=m)) for i, (k, m, is_left) in enumerate(evs) if is_left]
+    right = [(k, t0 + dt.timedelta(minutes=m), float(i)) for i, (k, m, is_left) in enumerate(evs) if not is_left]
+    if not left:
+        return
+    L = spark.createDataFrame(left, "id long, k long, ts timestamp")
+    R = spark.createDataFrame(right, "k long, ts timestamp, v double")
+    expect = {}
+    for i, k, ts in left:
+        cands = [(rts, v) for rk, rts, v in right if rk == k and rts <= ts]
+        best = max(cands, key=lambda c: c[0]) if cands else (None, None)
+        ties = {v for rts, v in cands if rts == best[0]}
+        expect[i] = (best[0], ties if cands else {None})
+    for bucket in ("day", "hour", None):
+        for r in asof_join(L, R, "k", "ts", "ts", ["v"], bucket=bucket).collect():
+            ts, vals = expect[r.id]
+            assert r.r_ts == ts and r.r_v in vals
