@@ -484,6 +484,24 @@ f AS (
 SELECT {BRONZE_COLS}, CASE WHEN reject_reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status,
        reject_reason
 FROM f""",
+        "data_tests": marts + "\n, report AS (\n" + "\nUNION ALL\n".join(
+            nn
+            + [_unique_sql("long_term", "long_term", ["symbol"], "unique"),
+               _unique_sql("risk", "risk", ["symbol"], "unique"),
+               _unique_sql("market_summary", "market_summary", ["month_start_date"], "unique"),
+               _accepted_sql("silver", "symbol", R.ACCEPTED_SYMBOLS),
+               _accepted_sql("silver", "source_provider", R.ACCEPTED_PROVIDERS),
+               _accepted_sql("silver", "data_loaded_as", ["historical", "incremental"]),
+               _accepted_sql("alerts", "alert_type", ["STRONG_GAIN", "SHARP_DROP", "POSITIVE_MOMENTUM",
+                                                      "NEGATIVE_MOMENTUM"]),
+               _accepted_sql("alerts", "alert_severity", ["HIGH", "MEDIUM"]),
+               _unique_sql("bronze", "bars", ["symbol", "price_date"], "composite_key"),
+               _unique_sql("silver", "silver", ["symbol", "price_date"], "composite_key"),
+               _unique_sql("monthly", "monthly", ["symbol", "month_start_date"], "composite_key"),
+               _report_sql("recompute", "monthly", "monthly_return_pct", "COUNT(*)",
+                           "monthly WHERE first_adjusted_closing_price != 0 AND ABS(monthly_return_pct - "
+                           "(((last_adjusted_closing_price / first_adjusted_closing_price) - 1) * 100)) > 0.01")])
+        + "\n)\nSELECT *, failed_rows = 0 AS passed FROM report",
         "partitioned_landing_roundtrip": "WITH " + BARS + " SELECT * FROM bars",
         "stream_upsert": upsert_sql,
         "historical_backfill": "WITH " + BARS + """

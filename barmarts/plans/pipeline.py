@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from barmarts.operators import gold
 from barmarts.operators.normalise import newest_bar_per_symbol, normalise_landing
-from barmarts.operators.quality import GateError, enforce_gates, split_rejects, unique_report
+from barmarts.operators.quality import (GateError, accepted_values_multi, enforce_gates,
+                                        not_null_report, recompute_report, split_rejects,
+                                        union_reports, unique_report)
+from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, DEFAULT_PROVIDER,
+                              DEFAULT_UNIVERSE, LOAD_TYPES, LONG_TERM_COLUMNS,
+                              MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS, RISK_COLUMNS,
+                              SILVER_COLUMNS, SILVER_NULLABLE)
 from barmarts.operators.silver import silver
 from barmarts.operators.upsert import upsert_into_path
 from barmarts.session import shared_dir
@@ -94,3 +100,46 @@ def incremental_load(spark: SparkSession, landed: DataFrame, table_path: str, un
         normalise_landing(landed, source_provider, "incremental", batch_id, ingested_at_utc))
     enforce_gates(batch, universe)
     return upsert_into_path(spark, table_path, batch)
+
+
+def data_tests(bronze: DataFrame, accepted_symbols: list[str] | None = None,
+               accepted_providers: list[str] | None = None,
+               split_by: str | None = "month") -> DataFrame:
+    """The whole data-test suite as one report: not_null on Bronze (4), Silver (14) and every
+    Gold column; unique keys of long-term, risk and market summary; accepted values of
+    symbol, provider, load type, alert type and severity; composite keys of Bronze, Silver
+    and month-by-month; the monthly recompute check. One row per test with ``passed``."""
+    symbols = accepted_symbols if accepted_symbols is not None else DEFAULT_UNIVERSE
+    providers = accepted_providers if accepted_providers is not None else [DEFAULT_PROVIDER]
+    s = silver(bronze, split_by=split_by)
+    m = gold.monthly_performance(s)
+    alerts = gold.alert_candidates(m)
+    reports = [
+        not_null_report(bronze, "bronze", ["symbol", "price_date", "adjusted_close", "volume"]),
+        not_null_report(s, "silver", [c for c in SILVER_COLUMNS if c not in SILVER_NULLABLE]),
+        not_null_report(gold.long_term_performance(s), "long_term", LONG_TERM_COLUMNS),
+        not_null_report(m, "monthly", MONTHLY_COLUMNS),
+        not_null_report(gold.risk_summary(m), "risk", RISK_COLUMNS),
+        not_null_report(gold.monthly_market_summary(m), "market_summary", MARKET_SUMMARY_COLUMNS),
+        not_null_report(alerts, "alerts", ALERT_COLUMNS),
+        unique_report(gold.long_term_performance(s), "long_term", ["symbol"]),
+        unique_report(gold.risk_summary(m), "risk", ["symbol"]),
+        unique_report(gold.monthly_market_summary(m), "market_summary", ["month_start_date"]),
+        accepted_values_multi(s, "silver", {"symbol": symbols, "source_provider": providers,
+                                            "data_loaded_as": LOAD_TYPES}),
+        accepted_values_multi(alerts, "alerts", {"alert_type": ALERT_TYPES,
+                                                 "alert_severity": ALERT_SEVERITIES}),
+        unique_report(bronze, "bronze", ["symbol", "price_date"], "composite_key"),
+        unique_report(s, "silver", ["symbol", "price_date"], "composite_key"),
+        unique_report(m, "monthly", ["symbol", "month_start_date"], "composite_key"),
+        recompute_report(m),
+    ]
+    return union_reports(reports).withColumn("passed", F.col("failed_rows") == 0)
+
+
+def assert_data_tests(report: DataFrame) -> None:
+    """Raise naming every failed test (collects only the failed report rows)."""
+    failed = report.where(~F.col("passed")).collect()
+    if failed:
+        names = ", ".join(f"{r.check}({r.table_name}.{r.column_name})={r.failed_rows}" for r in failed)
+        raise GateError(f"{len(failed)} data tests failed: {names}")

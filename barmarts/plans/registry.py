@@ -19,7 +19,7 @@ from barmarts.operators.enrich import with_dimension
 from barmarts.operators.normalise import history_since, newest_bar_per_symbol, normalise_landing
 from barmarts.operators.silver import silver
 from barmarts.operators.upsert import read_bronze, upsert, upsert_into_path
-from barmarts.plans.pipeline import historical_load, incremental_load, materialise_marts
+from barmarts.plans.pipeline import data_tests, historical_load, incremental_load, materialise_marts
 from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, LOAD_TYPES,
                               LONG_TERM_COLUMNS, MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS,
                               RISK_COLUMNS, SILVER_COLUMNS, SILVER_NULLABLE)
@@ -255,6 +255,7 @@ def all_queries() -> dict[str, Query]:
         "dq_accepted_values": dq_accepted_values,
         "dq_composite_key": dq_composite_key,
         "dq_recompute": lambda s, sf: quality.recompute_report(mo(s, sf)),
+        "data_tests": lambda s, sf: data_tests(_bars(s, sf), ACCEPTED_SYMBOLS, ACCEPTED_PROVIDERS),
         "gate_report": gate_report,
         "split_rejects": lambda s, sf: quality.split_rejects(_landed_drops(s, sf), policy="historical"),
         "partitioned_landing_roundtrip": partitioned_landing_roundtrip,

@@ -88,3 +88,17 @@ def test_cluster_conf_bounds():
     assert int(big["spark.sql.shuffle.partitions"]) == 65536
     small = cluster_conf(64, input_tb=0.001)
     assert int(small["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_data_tests_suite(spark, edge_bronze):
+    from barmarts.plans.pipeline import assert_data_tests, data_tests
+    rep = data_tests(bars_from_tables(spark, SF_SMALL), [f"Brand#{i}" for i in range(1, 26)], ["synthetic"])
+    assert rep.count() == 75
+    assert_data_tests(rep)  # the derived bars pass every test
+    bad = {(r.check, r.table_name, r.column_name): r.failed_rows
+           for r in data_tests(edge_bronze, ["AAA", "BBB"], ["synthetic"]).where("NOT passed").collect()}
+    assert bad[("not_null", "silver", "opening_price")] == 1          # NULL open survives Silver
+    assert bad[("accepted_values", "silver", "symbol")] == 2          # CCC is not in the universe
+    assert bad[("not_null", "risk", "monthly_volatility_pct")] == 2   # one-month / flat symbols
+    with pytest.raises(GateError, match="data tests failed"):
+        assert_data_tests(data_tests(edge_bronze, ["AAA", "BBB"], ["synthetic"]))
