@@ -24,7 +24,7 @@ from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, LOAD
                               LONG_TERM_COLUMNS, MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS,
                               RISK_COLUMNS, SILVER_COLUMNS, SILVER_NULLABLE)
 from barmarts.session import shared_dir
-from barmarts.sources.landing import consolidate, read_vendor_csv, write_landing
+from barmarts.sources.landing import consolidate, read_landing, read_vendor_csv, write_landing
 from barmarts.sources.tables import bars_from_tables, brand_dimension, bronze_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +168,13 @@ def partitioned_landing_roundtrip(spark, sf):
     return consolidate(spark, f"{root}/landing", f"{root}/consolidated")
 
 
+def landing_profile(spark, sf):
+    """A11 over a landed tree: land the bars, read the whole tree back, profile per symbol."""
+    root = shared_dir(spark, "landing-profile")
+    write_landing(_bars(spark, sf), f"{root}/landing", "historical")
+    return quality.profile_by_symbol(read_landing(spark, f"{root}/landing"))
+
+
 def stream_upsert(spark, sf):
     from barmarts.streaming.ingest import run_available_now
     root = shared_dir(spark, "stream-upsert")
@@ -259,6 +266,7 @@ def all_queries() -> dict[str, Query]:
         "gate_report": gate_report,
         "split_rejects": lambda s, sf: quality.split_rejects(_landed_drops(s, sf), policy="historical"),
         "partitioned_landing_roundtrip": partitioned_landing_roundtrip,
+        "landing_profile": landing_profile,
         "stream_upsert": stream_upsert,
         "historical_backfill": historical_backfill,
         "incremental_daily": incremental_daily,

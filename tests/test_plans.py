@@ -71,7 +71,7 @@ def test_no_single_partition_exchange(spark, key):
     assert "SinglePartition" not in p, p
 
 
-SIDE_EFFECTS = {"partitioned_landing_roundtrip", "stream_upsert", "historical_backfill",
+SIDE_EFFECTS = {"partitioned_landing_roundtrip", "stream_upsert", "historical_backfill", "landing_profile",
                 "incremental_daily", "materialised_alerts"}
 
 
