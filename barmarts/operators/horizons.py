@@ -123,12 +123,25 @@ def horizon_ranking(returns: DataFrame, horizon: str) -> DataFrame:
                        name="return_rank")
 
 
-def growth_of_100(silver: DataFrame, symbols: list[str] | None = None, months: int = 12) -> DataFrame:
-    """Each symbol's close scaled so its first bar on or after ``add_months(ref, -months)``
-    is exactly 100. The per-symbol base is an aggregate joined back on symbol (AQE
-    broadcasts it at runtime when it is small)."""
-    start = F.add_months(reference_date(silver), -months)
-    rows = silver.where(F.col(PD) >= start)
+def growth_of_100(silver: DataFrame, symbols: list[str] | None = None, months: int = 12,
+                  horizon: str | None = None) -> DataFrame:
+    """Each symbol's close scaled so its first bar on or after the window start is
+    exactly 100. The start is ``add_months(ref, -months)``, or follows a dashboard
+    ``horizon`` (1M..5Y as months, YTD = 1 January of the ref year, MAX = no bound).
+    The per-symbol base is an aggregate joined back on symbol (AQE broadcasts it at
+    runtime when it is small)."""
+    ref = reference_date(silver)
+    if horizon is None:
+        start = F.add_months(ref, -months)
+    elif horizon in HORIZON_MONTHS:
+        start = F.add_months(ref, -HORIZON_MONTHS[horizon])
+    elif horizon == "YTD":
+        start = F.trunc(ref, "year")
+    elif horizon == "MAX":
+        start = None
+    else:
+        raise ValueError(f"growth_of_100 horizon must be one of {list(HORIZON_MONTHS)} + YTD, MAX")
+    rows = silver if start is None else silver.where(F.col(PD) >= start)
     if symbols is not None:
         rows = rows.where(F.col("symbol").isin(list(symbols)))
     rows = rows.select("symbol", "price_date", ADJ)

@@ -111,3 +111,12 @@ def test_leaders_match_rank_windows_with_nan_and_null(spark):
     exp_b = {r.month_start_date: r.symbol for r in ref.where("b = 1").collect()}
     exp_w = {r.month_start_date: r.symbol for r in ref.where("w = 1").collect()}
     assert got == {k: (exp_b[k], exp_w[k]) for k in exp_b}
+
+
+def test_growth_of_100_horizons(spark):
+    s = silver(_bronze(spark, SERIES))
+    ytd = horizons.growth_of_100(s, ["GAP"], horizon="YTD")
+    assert ytd.agg(F.min("base_date")).first()[0] == D("2024-01-31")
+    mx = horizons.growth_of_100(s, ["GAP"], horizon="MAX")
+    assert mx.count() == len(SERIES["GAP"]) and mx.agg(F.min("base_date")).first()[0] == D("2023-06-30")
+    assert horizons.growth_of_100(s, ["GAP"], horizon="1M").agg(F.min("base_date")).first()[0] == D("2024-04-20")
