@@ -120,3 +120,10 @@ def test_growth_of_100_horizons(spark):
     mx = horizons.growth_of_100(s, ["GAP"], horizon="MAX")
     assert mx.count() == len(SERIES["GAP"]) and mx.agg(F.min("base_date")).first()[0] == D("2023-06-30")
     assert horizons.growth_of_100(s, ["GAP"], horizon="1M").agg(F.min("base_date")).first()[0] == D("2024-04-20")
+
+
+def test_seasonality_since(spark):
+    series = {"AAA": [("2023-01-02", 10), ("2023-01-31", 11), ("2024-01-02", 10), ("2024-01-31", 10.5)]}
+    m = gold.monthly_performance(silver(_bronze(spark, series)))
+    assert seasonality.seasonality_heatmap(m, since="2024-01-01").first().m01 == 5.0
+    assert seasonality.seasonality_leaders(m, since="2024-01-01").first().observations == 1
