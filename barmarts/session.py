@@ -50,7 +50,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("BARMARTS_DRIVER_MEMORY", "16g"))
+    if master.startswith("local"):  # local mode: the driver JVM is the whole cluster
+        conf.setdefault("spark.driver.memory", os.environ.get("BARMARTS_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
