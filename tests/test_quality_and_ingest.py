@@ -255,3 +255,19 @@ def test_upsert_replaces_lineage_of_matched_rows(spark):
     got = {r.price_date.day: (r.load_type, r.batch_id, r.ingested_at_utc) for r in upsert(target, batch).collect()}
     assert got[3] == ("incremental", "b9", dt.datetime(2024, 2, 1))
     assert got[2] == ("historical", "b0", dt.datetime(2024, 1, 1))
+
+
+def test_dimension_csv_and_empty_profiles(spark):
+    from barmarts.sources.landing import read_dimension
+    root = shared_dir(spark, "test-dim-csv")
+    spark.createDataFrame([("AAA", "A fund", "Equity", "US", "Large cap")],
+                          "symbol string, name string, asset_class string, region string, category string") \
+        .write.option("header", True).csv(f"{root}/dim")
+    d = read_dimension(spark, f"{root}/dim", fmt="csv").first()
+    assert (d.symbol, d.region) == ("AAA", "US")
+    empty = _bars(spark, [_row("A", "2024-01-02")]).where(F.lit(False))
+    p = quality.table_profile(empty).first()
+    assert (p.total_rows, p.total_symbols, p.earliest_date) == (0, 0, None)
+    assert quality.duplicate_row_count(empty).first().duplicate_rows == 0
+    assert {r.gate: r.passed for r in quality.gate_report(empty).collect()} == \
+        {"no_duplicate_keys": True, "no_null_required": True, "not_empty": False}
