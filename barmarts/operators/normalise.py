@@ -49,7 +49,7 @@ def stamp_lineage(df: DataFrame, source_provider: str, load_type: str, batch_id:
         "source_provider": F.lit(source_provider),
         "load_type": F.lit(load_type),
         "batch_id": F.lit(batch_id),
-        "ingested_at_utc": F.to_timestamp(F.lit(ingested_at_utc)),
+        "ingested_at_utc": F.to_timestamp_ntz(F.lit(ingested_at_utc)),
     }
     if symbol is not None:
         cols["symbol"] = F.lit(symbol)
@@ -74,8 +74,6 @@ def cast_to_bronze(df: DataFrame) -> DataFrame:
         elif f.name == "volume":
             # numeric text (integral or not) -> int64, bad text raises under ANSI
             c = c.cast("double").cast("bigint")
-        elif f.name == "ingested_at_utc":
-            c = F.to_timestamp(c)
         else:
             c = c.cast(f.dataType)
         exprs.append(c.alias(f.name))

@@ -16,7 +16,8 @@ BRONZE = T.StructType([
     T.StructField("source_provider", T.StringType(), False),
     T.StructField("load_type", T.StringType(), False),
     T.StructField("batch_id", T.StringType(), False),
-    T.StructField("ingested_at_utc", T.TimestampType(), False),
+    # UTC wall-clock instant, stored zone-free (the same type the landed parquet carries)
+    T.StructField("ingested_at_utc", T.TimestampNTZType(), False),
 ])
 
 BRONZE_COLUMNS = BRONZE.names

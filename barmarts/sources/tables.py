@@ -59,7 +59,7 @@ def trade_bars(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.lit(BARS_PROVIDER).alias("source_provider"),
         F.lit(BARS_LOAD_TYPE).alias("load_type"),
         F.lit(BARS_BATCH_ID).alias("batch_id"),
-        F.to_timestamp(F.lit(BARS_INGESTED_AT)).alias("ingested_at_utc"),
+        F.to_timestamp_ntz(F.lit(BARS_INGESTED_AT)).alias("ingested_at_utc"),
     ).select(*BRONZE_COLUMNS)
 
 
@@ -68,7 +68,7 @@ def bars_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Bump when the bar derivation changes, so stored Bronze snapshots are not reused.
-BARS_VERSION = "4"
+BARS_VERSION = "5"
 
 
 def _fs_path(spark: SparkSession, path: str):
