@@ -33,7 +33,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 OP7_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 win AS (SELECT rid, i, words[i:i + 2] AS win FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
 twice AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, win) > 1),
 rep AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY rid),
@@ -72,7 +72,7 @@ SELECT doc_id, coalesce(out.text, CASE WHEN documents.text IS NOT NULL THEN '' E
 OP10_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
                                          ELSE w END) AS sh FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
