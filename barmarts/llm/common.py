@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +41,25 @@ class Workspace:
             p.getFileSystem(conf).delete(p, True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make the library importable in Python workers (once per session): its sources go to
+    them as a zip file, so a session started without --py-files works as well."""
+    sc = spark.sparkContext
+    if getattr(sc, "_barmarts_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(package):  # else the library itself came as a zip file
+        path = os.path.join(tempfile.mkdtemp(prefix="barmarts-"), "barmarts_workers.zip")
+        with zipfile.ZipFile(path, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        out.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(path)
+    sc._barmarts_shipped = True
+
+
 def split_words(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+` of a text, in order; null and blank texts give []."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -4,12 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmarts.llm import line_dedup, minhash, quality
+from barmarts.llm import bpe, decontaminate, langid, line_dedup, minhash, quality, sharding, toxicity
+from barmarts.llm.common import id_fold
 from barmarts.sources.tables import read_table
 
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+SHARDS = [f"shard-{k:03d}" for k in range(64)]
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    fold = id_fold(F.col("doc_id"), 3)
+    model = toxicity.fit(docs, labels, fold != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    found = decontaminate.with_matches(docs.select("doc_id", "text"), items)
+    return found.select("doc_id", F.inline("matches"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read_table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return bpe.digests(bpe.decode(ids, ranks)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fold = id_fold(F.col("doc_id"), 5)
+    model = langid.fit(docs, fold != 0)
+    return langid.predict(docs, model).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
+
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -27,7 +66,9 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_quality_rules, op8_line_dedup, op10_minhash_dedup)}
+    return {f.__name__: f for f in (
+        op1_toxicity, op3_decontamination, op4_sharding, op5_bpe, op6_language_id, op7_quality_rules, op8_line_dedup,
+        op10_minhash_dedup)}
 
 
 OP7_SQL = r"""
