@@ -109,10 +109,13 @@ def member_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width:
     texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("rep"))
     sets = (texts.select("rep", "f1", F.sort_array(shingle_hashes(F.col("text"), width)).alias("s"))
             .where(F.xxhash64("s") == F.col("f1")).dropDuplicates(["rep"]))
-    word = lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(SKETCH_WORDS - 1))
-    bits = [F.aggregate(F.filter("s", lambda x, k=k: word(x) == k), F.lit(0).cast("long"),
-                        lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
-            .alias(f"x{k}") for k in range(SKETCH_WORDS)]
+
+    def sketch_word(k: int) -> Column:
+        mine = F.filter("s", lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(SKETCH_WORDS - 1)) == k)
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    bits = [sketch_word(k).alias(f"x{k}") for k in range(SKETCH_WORDS)]
     return sets.select("rep", F.size("s").alias("n"), "s", *bits)
 
 

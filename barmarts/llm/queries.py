@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmarts.llm import bpe, decontaminate, langid, line_dedup, minhash, quality, sharding, toxicity
+from barmarts.llm import bpe, decontaminate, langid, licenses, line_dedup, minhash, quality, sharding, toxicity, url_lm
 from barmarts.llm.common import id_fold
 from barmarts.sources.tables import read_table
 
@@ -25,6 +25,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_lm.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     found = decontaminate.with_matches(docs.select("doc_id", "text"), items)
@@ -60,6 +68,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", "n_lines", "n_dropped")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(read_table(spark, sf_dir, "documents"), width=2, threshold=80).select(
         "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -67,8 +80,8 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_toxicity, op3_decontamination, op4_sharding, op5_bpe, op6_language_id, op7_quality_rules, op8_line_dedup,
-        op10_minhash_dedup)}
+        op1_toxicity, op2_url_filter, op3_decontamination, op4_sharding, op5_bpe, op6_language_id, op7_quality_rules, op8_line_dedup,
+        op9_license_scan, op10_minhash_dedup)}
 
 
 OP7_SQL = r"""
@@ -125,5 +138,37 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS comp
 """
 
 
+def _op9_sql() -> str:
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+    # words are joined by two blanks here, so that a match can take one on each side
+    rows = ", ".join(f"({r.priority}, {text(r.keyword)}, {text(' (?:' + r.pattern.replace(' ?', '(?:  )?').replace('[^ ]', '[^~]').replace(' ', '  ').replace('[^~]', '[^ ]') + ') ')}, {text(r.label)}, {r.confidence})"
+                     for r in licenses.rules())
+    base = ", ".join(f"({text(' ' + p.replace(' ', '  ') + ' ')}, {text(label)})" for p, label in licenses.BASE)
+    spaces = "(length({0}) - length(replace({0}, ' ', '')))"
+    found = """SELECT rid, label, {more} unnest(range(1, len(m) + 1)) AS k, m, string_split_regex(c2, pattern) AS p
+               FROM (SELECT *, regexp_extract_all(c2, pattern) AS m FROM {source}) WHERE len(m) > 0"""
+    start = (f"(list_sum(list_transform(p[:k], lambda x: {spaces.format('x')})) + coalesce(list_sum(list_transform(m[:k - 1], lambda x: {spaces.format('x')})), 0) + 1) // 2 - 1")
+    size = f"({spaces.format('m[k]')} - 2) // 2 + 1"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_replace(' ' || translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || ' ',
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g') AS c FROM documents),
+g AS (SELECT rid, c, replace(c, ' ', '  ') AS c2 FROM d WHERE {' OR '.join(f"contains(c, {text(x)})" for x in licenses.ROOTS)}),
+rules(priority, keyword, pattern, label, confidence) AS (VALUES {rows}),
+base(pattern, label) AS (VALUES {base}),
+b AS (SELECT rid, label, {start} AS start FROM ({found.format(more='', source='(SELECT g.*, base.* FROM g, base)')})),
+h AS (SELECT rid, label, priority, confidence, {start} AS start, {size} AS size
+      FROM ({found.format(more='priority, confidence,', source='(SELECT g.*, rules.* FROM g JOIN rules ON contains(g.c, rules.keyword))')})),
+kept AS (SELECT rid, label, confidence FROM h
+         QUALIFY coalesce(max(start + size) OVER (PARTITION BY rid ORDER BY start, start + size DESC, priority ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < start + size),
+bs AS (SELECT rid, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY rid),
+ls AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rid, label FROM b UNION SELECT rid, label FROM kept) GROUP BY rid),
+sc AS (SELECT rid, max(confidence) AS score FROM kept GROUP BY rid)
+SELECT doc_id, {spaces.format('c')} - 1 AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, CASE WHEN n_base > 0 THEN 0.6 END, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN bs USING (rid) LEFT JOIN ls USING (rid) LEFT JOIN sc USING (rid)
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op7_quality_rules": OP7_SQL, "op8_line_dedup": OP8_SQL, "op10_minhash_dedup": OP10_SQL}
+    return {"op7_quality_rules": OP7_SQL, "op8_line_dedup": OP8_SQL, "op9_license_scan": _op9_sql(), "op10_minhash_dedup": OP10_SQL}
