@@ -4,10 +4,11 @@ A document's set holds its distinct w-word shingles; documents are linked if
 100 * |A and B| >= threshold * |A or B|. Classes are the connected components of the links.
 
 Method. Two small collections of ``groups`` hash groups each, every group the concatenation
-of ``width`` minhashes, give groups^2 tables: table (i, j) has the key (u_i, v_j). So
-2 * groups * width minhashes do the work of groups^2 * 2 * width. Two sets of similarity J
-meet in some table with probability (1 - (1 - J^width)^groups)^2; with the defaults
-(width 2, groups 10) a pair at exactly J = 0.8 is missed with probability 7e-5.
+of ``band`` minhashes, give groups^2 tables: table (i, j) has the key (u_i, v_j). So
+2 * groups * band minhashes do the work of groups^2 * 2 * band. Two sets of similarity J
+meet in some table with probability (1 - (1 - J^band)^groups)^2; with the defaults
+(band 3, groups 12) a pair at exactly J = 0.8 is missed with probability 4e-4, one at
+J = 0.85 with 2e-5, and a class is lost only if all its links are.
 
 * Equal sets are one class before anything is paired (pre-aggregated by a 128-bit
   fingerprint), so exact copies cost one row per task.
@@ -15,6 +16,9 @@ meet in some table with probability (1 - (1 - J^width)^groups)^2; with the defau
   splits the hash range into as many bins and takes each bin's least hash, one pass for all.
   Sets of up to 1.25 * ONE_PASS shingles carry both kinds, so any two sets whose sizes allow a
   similarity of 0.8 have a kind in common.
+* Of a bucket's sets only those with a partner go on that agrees in at least ``AGREE`` of 42
+  eight-bit minhash prints (a pair at J = 0.8 has about 34; fewer than 21 have probability
+  5e-6). That is a semi-join, so a bucket yields no pairs at this point.
 * In each bucket every set is compared with the bucket's least set only (a star). The
   components of the verified links are then known, and only sets of one bucket that lie in
   different components are compared in a second pass. Near copies of one text therefore
@@ -38,7 +42,9 @@ from pyspark.sql import functions as F
 from barmarts.llm.common import Workspace, ascii_lower, connected_components, split_words
 
 SKETCH_WORDS = 8
-ONE_PASS = 160
+ONE_PASS = 288
+PRINTS = 6  # longs of seven 8-bit prints
+AGREE = 21
 
 
 def shingle_hashes(text: Column, width: int) -> Column:
@@ -119,13 +125,50 @@ def member_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width:
     return sets.select("rep", F.size("s").alias("n"), "s", *bits)
 
 
+def prints(classes: DataFrame) -> DataFrame:
+    """(rep, n, small0.., large0..): seven 8-bit prints of the first minhashes in each long."""
+    def packed(kind: str, k: int) -> Column:
+        return F.aggregate(F.slice(kind, 7 * k + 1, 7), F.lit(0).cast("long"),
+                           lambda acc, x: F.shiftleft(acc, 8).bitwiseOR(x.bitwiseAND(F.lit(255).cast("long")))).alias(f"{kind}{k}")
+    return classes.select("rep", "n", *[packed(kind, k) for kind in ("small", "large") for k in range(PRINTS)])
+
+
+def _agree(a: str, b: str) -> Column:
+    """The pair agrees in at least AGREE prints of a kind that both have, and its sizes fit."""
+    low = F.lit(0x007F7F7F7F7F7F7F)
+
+    def equal(kind: str, k: int) -> Column:
+        x = F.col(f"{a}.{kind}{k}").bitwiseXOR(F.col(f"{b}.{kind}{k}"))
+        # the top bit of a byte stays clear exactly if the byte is 0, that is, the prints are equal
+        full = ((x.bitwiseAND(low) + low).bitwiseOR(x)).bitwiseAND(F.lit(0x0080808080808080))
+        return F.lit(7) - F.bit_count(full)
+
+    def total(kind: str) -> Column:
+        return sum((equal(kind, k) for k in range(1, PRINTS)), equal(kind, 0))
+
+    return (total("small") >= AGREE) | (total("large") >= AGREE)
+
+
+def _sizes(a: str, b: str, threshold: int) -> Column:
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return 100 * F.least(na, nb) >= threshold * F.greatest(na, nb)
+
+
 def _possible(a: str, b: str, threshold: int) -> Column:
     """Sizes and odd sketches allow the similarity (never false for a link)."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     differing = sum((F.bit_count(F.col(f"{a}.x{k}").bitwiseXOR(F.col(f"{b}.x{k}"))) for k in range(1, SKETCH_WORDS)),
                     F.bit_count(F.col(f"{a}.x0").bitwiseXOR(F.col(f"{b}.x0"))))
-    return ((100 * F.least(na, nb) >= threshold * F.greatest(na, nb))
-            & ((100 + threshold) * differing <= (100 - threshold) * (na + nb)))
+    return _sizes(a, b, threshold) & ((100 + threshold) * differing <= (100 - threshold) * (na + nb))
+
+
+def bucket_members(classes: DataFrame, groups: int, band: int, threshold: int, ws: Workspace) -> DataFrame:
+    """(key, rep) of every class that agrees with another one in the bucket."""
+    keys = table_keys(classes, groups, band)
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    rows = ws.store(keys.join(shared, "key").join(prints(classes), "rep"), "rows")
+    return rows.alias("l").join(rows.alias("r"), F.expr("l.key = r.key AND l.rep <> r.rep") & _sizes("l", "r", threshold)
+                                & _agree("l", "r"), "left_semi").select("key", "rep")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -136,23 +179,23 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.where(100 * F.col("i") >= threshold * (F.col("t") - F.col("i"))).select("a", "b")
 
 
-def near_classes(docs: DataFrame, width: int = 5, threshold: int = 80, groups: int = 10, band: int = 2) -> DataFrame:
+def near_classes(docs: DataFrame, width: int = 5, threshold: int = 80, groups: int = 12, band: int = 3) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document.
 
     ``width``: words a shingle; ``threshold``: similarity in percent; ``groups`` and
-    ``band``: hash groups in each collection and minhashes in each group.
+    ``band``: hash groups in each collection and minhashes in each group (2 * groups * band
+    must be even and at least 42).
     """
     ws = Workspace(docs.sparkSession, "minhash")
     docs = docs.select("doc_id", "text")
     signed = ws.store(signatures(docs, width, 2 * groups * band), "signatures")
     classes = ws.store(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n").agg(
         F.min("doc_id").alias("rep"), F.first("small").alias("small"), F.first("large").alias("large")), "classes")
-
-    keys = table_keys(classes, groups, band)
-    buckets = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    members = ws.store(keys.join(buckets.select("key", "pivot"), "key"), "members")
-    sets = ws.store(member_sets(docs, members, classes, width), "sets")
+    near = ws.store(bucket_members(classes, groups, band, threshold, ws), "near")
+    sets = ws.store(member_sets(docs, near, classes, width), "sets")
     sketches = sets.drop("s")
+    pivots = near.groupBy("key").agg(F.min("rep").alias("pivot"))
+    members = ws.store(near.join(pivots, "key"), "members")
 
     # first pass: every set with the least pivot that it may be linked with
     star = members.where("rep <> pivot").select("rep", "pivot").distinct()
@@ -180,7 +223,7 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: int = 80, groups: i
     out = ws.store(signed.select("doc_id", "f1", "f2", "n").join(ids, ["f1", "f2"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("doc_id")).alias("component_id")), "out")
-    ws.drop("signatures", "classes", "members", "sets", "star", "links-1", "components-1", "open", "cross", "links-2", "components-2")
+    ws.drop("signatures", "classes", "rows", "near", "members", "sets", "star", "links-1", "components-1", "open", "cross", "links-2", "components-2")
     return out
 
 
