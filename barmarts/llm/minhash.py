@@ -113,8 +113,10 @@ def member_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width:
     """(rep, n, s, x0..): set and odd sketch of every class that shares a bucket."""
     ids = members.select("rep").distinct().join(classes.select("rep", "f1"), "rep")
     texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("rep"))
+    # the fingerprint test stays inside the aggregate: as a filter it would become a join key
+    # and every text of the corpus would be cut into shingles for it
     sets = (texts.select("rep", "f1", F.sort_array(shingle_hashes(F.col("text"), width)).alias("s"))
-            .where(F.xxhash64("s") == F.col("f1")).dropDuplicates(["rep"]))
+            .groupBy("rep").agg(F.first(F.when(F.xxhash64("s") == F.col("f1"), F.col("s")), ignorenulls=True).alias("s")))
 
     def sketch_word(k: int) -> Column:
         mine = F.filter("s", lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(SKETCH_WORDS - 1)) == k)

@@ -131,8 +131,8 @@ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(r
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
 e AS (SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 80 * (p.n + q.n - i)),
-both AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-reach AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT reach.node, both.b FROM reach JOIN both ON both.a = reach.seen)
+sym AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT reach.node, sym.b FROM reach JOIN sym ON sym.a = reach.seen)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) c USING (doc_id)
 """
