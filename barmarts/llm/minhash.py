@@ -13,7 +13,8 @@ J = 0.85 with 2e-5, and a class is lost only if all its links are.
 * Equal sets are one class before anything is paired (pre-aggregated by a 128-bit
   fingerprint), so exact copies cost one row per task.
 * A small set takes each minhash over all its shingles; a set of ``ONE_PASS`` shingles or more
-  splits the hash range into as many bins and takes each bin's least hash, one pass for all.
+  splits the hash range into as many bins and takes each bin's least hash, one pass for all (an empty bin
+  gives 0, so two sets agree in a bin with probability J or more).
   Sets of up to 1.25 * ONE_PASS shingles carry both kinds, so any two sets whose sizes allow a
   similarity of 0.8 have a kind in common.
 * Of a bucket's sets only those with a partner go on that agrees in at least ``AGREE`` of 42
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from barmarts.llm.common import Workspace, ascii_lower, connected_components, split_words
 
 SKETCH_WORDS = 8
-ONE_PASS = 288
+ONE_PASS = 144
 PRINTS = 6  # longs of seven 8-bit prints
 AGREE = 21
 
