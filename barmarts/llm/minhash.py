@@ -76,12 +76,17 @@ def one_pass_minhashes(s: Column, hashes: int) -> Column:
     def bin_of(x: Column) -> Column:
         return F.shiftright(F.shiftrightunsigned(x, 32) * hashes, 32)
 
-    def least(bins: Column) -> Column:
-        at = lambda j: F.array_position(bins, j).cast("int")
+    def firsts(bins: Column) -> Column:
+        first = F.filter(s, lambda x, i: (i == 0) | (F.get(bins, i) != F.get(bins, F.greatest(i - 1, F.lit(0)))))
+        return F.struct(F.array_distinct(bins).alias("bin"), first.alias("least"))
+
+    def spread(found: Column) -> Column:
+        at = lambda j: F.array_position(found["bin"], j).cast("int")
         return F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)).cast("array<bigint>"),
-                           lambda j: F.when(at(j) == 0, F.lit(0).cast("long")).otherwise(F.get(s, at(j) - 1)))
+                           lambda j: F.when(at(j) == 0, F.lit(0).cast("long")).otherwise(F.get(found["least"], at(j) - 1)))
 
-    return F.get(F.transform(F.array(F.transform(s, bin_of)), least), F.lit(0))
+    found = F.transform(F.array(F.transform(s, bin_of)), firsts)
+    return F.get(F.transform(found, spread), F.lit(0))
 
 
 def signatures(docs: DataFrame, width: int, hashes: int) -> DataFrame:
