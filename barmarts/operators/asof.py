@@ -22,7 +22,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
               right_cols: list[str], bucket: str | None = "day",
               prefix: str = "r_") -> DataFrame:
     """Left rows with ``prefix + right_ts`` and ``prefix + c`` for c in ``right_cols``
-    (NULL when no right row precedes)."""
+    (NULL when no right row precedes). Of several right rows at one timestamp the one with
+    the greatest ``right_cols``, in their order, is taken."""
     rcols = [right_ts] + [c for c in right_cols if c != right_ts]
 
     lcols = left.columns
@@ -38,14 +39,14 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     else:
         both = both.withColumn("_b", F.date_trunc(bucket, F.col("_ts")))
         part = ["_k", "_b"]
-    w = Window.partitionBy(*part).orderBy("_ts", "_tag").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*part).orderBy("_ts", "_tag", "_r").rowsBetween(Window.unboundedPreceding, 0)
     # _r is NULL on left rows, so the last non-NULL _r is the latest right row so far
     matched = both.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
     out = matched.where(F.col("_tag") == 1)
     if bucket is not None:
         # carry-in: latest right row of earlier buckets of the same key
         per_bucket = (R.withColumn("_b", F.date_trunc(bucket, F.col("_ts")))
-                      .groupBy("_k", "_b").agg(F.max_by("_r", "_ts").alias("_last")))
+                      .groupBy("_k", "_b").agg(F.max("_r").alias("_last")))
         keys_buckets = (L.select("_k", F.date_trunc(bucket, F.col("_ts")).alias("_b")).distinct()
                         .select("_k", "_b", F.lit(None).cast(per_bucket.schema["_last"].dataType).alias("_last")))
         grid = per_bucket.unionByName(keys_buckets)

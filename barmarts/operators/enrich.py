@@ -1,17 +1,14 @@
 """Dimension enrichment (symbol -> name, asset class, region, category).
 
-Left join, so bars of symbols missing from the dimension survive. The dimension is
-broadcast only after its row count is proven below ``max_rows``; a larger one is
-joined by shuffle.
+Left join, so bars of symbols missing from the dimension survive. A plain equi-join: AQE
+broadcasts the dimension if its size in bytes at run time allows, and splits a hot symbol
+of the bars otherwise. Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from barmarts.operators.ranking import broadcast_if_small
 
-
-def with_dimension(df: DataFrame, dimension: DataFrame, key: str = "symbol",
-                   max_rows: int = 1_000_000) -> DataFrame:
-    return df.join(broadcast_if_small(dimension, max_rows), key, "left")
+def with_dimension(df: DataFrame, dimension: DataFrame, key: str = "symbol") -> DataFrame:
+    return df.join(dimension, key, "left")

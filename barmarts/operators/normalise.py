@@ -30,7 +30,9 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def drop_header_rows(df: DataFrame, date_col: str = "price_date") -> DataFrame:
-    """P1 for two-level vendor files read as CSV: drop the extra header lines."""
+    """P1 for two-level vendor files read as CSV: drop the extra header lines (typed dates have none)."""
+    if dict(df.dtypes)[date_col] != "string":
+        return df
     return df.where(~F.col(date_col).isin(HEADER_ROW_LABELS) | F.col(date_col).isNull())
 
 
@@ -66,14 +68,14 @@ def require_columns(df: DataFrame, columns: list[str] = BRONZE_COLUMNS) -> DataF
 
 def cast_to_bronze(df: DataFrame) -> DataFrame:
     """P5 + P6 + S8: typed columns in the fixed Bronze order."""
-    exprs = []
+    exprs, kinds = [], dict(df.dtypes)
     for f in BRONZE.fields:
         c = F.col(f.name)
         if f.name == "price_date":
             c = F.to_date(c)
         elif f.name == "volume":
-            # numeric text (integral or not) -> int64, bad text raises under ANSI
-            c = c.cast("double").cast("bigint")
+            # numeric text (integral or not) -> int64 exactly, bad text raises under ANSI
+            c = (c.cast("decimal(38,10)") if kinds[f.name] == "string" else c).cast("bigint")
         else:
             c = c.cast(f.dataType)
         exprs.append(c.alias(f.name))
@@ -82,25 +84,43 @@ def cast_to_bronze(df: DataFrame) -> DataFrame:
 
 def normalise_landing(df: DataFrame, source_provider: str | None = None,
                       load_type: str | None = None, batch_id: str | None = None,
-                      ingested_at_utc: str | None = None, symbol: str | None = None) -> DataFrame:
-    """P1-P6 composed. Lineage is stamped only when given (stored files already carry it)."""
+                      ingested_at_utc: str | None = None, symbol: str | None = None,
+                      tag_faults: bool = False) -> DataFrame:
+    """P1-P6 composed. Lineage is stamped only when given (stored files already carry it).
+    ``tag_faults`` keeps rows whose values do not cast and names the column in ``_fault``."""
     out = rename_vendor_columns(normalise_headers(df))
     if "price_date" in out.columns:
         out = drop_header_rows(out)
     if load_type is not None:
         out = stamp_lineage(out, source_provider, load_type, batch_id, ingested_at_utc, symbol)
-    return cast_to_bronze(require_columns(out))
+    return (try_cast_to_bronze if tag_faults else cast_to_bronze)(require_columns(out))
+
+
+def try_cast_to_bronze(df: DataFrame) -> DataFrame:
+    """P5 without raising: typed columns plus ``_fault``, naming the first column whose value
+    is there but does not cast (null if all do)."""
+    kinds, exprs, fault = dict(df.dtypes), [], F.lit(None).cast("string")
+    for f in reversed(BRONZE.fields):
+        raw = F.col(f.name)
+        if f.name == "volume" and kinds[f.name] == "string":
+            c = raw.try_cast("decimal(38,10)").try_cast("bigint")
+        else:
+            c = raw.try_cast(f.dataType)
+        exprs.insert(0, c.alias(f.name))
+        fault = F.when(raw.isNotNull() & c.isNull(), F.lit(f"cast_failed:{f.name}")).otherwise(fault)
+    return df.select(*exprs, fault.alias("_fault"))
 
 
 def newest_bar_per_symbol(df: DataFrame, symbol: str = "symbol", date: str = "price_date") -> DataFrame:
-    """the latest bar of each symbol (``row_number() = 1`` by date descending).
+    """the latest bar of each symbol (``rank() = 1`` by date descending): two different
+    bars of the newest day both stay, so that the duplicate gate (Q11) can refuse them.
 
     Catalyst adds a partial WindowGroupLimit before the shuffle, so each task sends at
     most one row per symbol.
     """
     from pyspark.sql import Window
     w = Window.partitionBy(symbol).orderBy(F.col(date).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return df.withColumn("_rn", F.rank().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def history_since(df: DataFrame, start: str, date: str = "price_date") -> DataFrame:

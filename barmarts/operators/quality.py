@@ -80,8 +80,9 @@ def not_null_report(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 
 def unique_report(df: DataFrame, table: str, columns: list[str], check: str = "unique") -> DataFrame:
-    """Q4 / Q9: number of (non-NULL) key groups that occur more than once."""
-    keyed = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
+    """Q4 / Q9: number of key groups that occur more than once. ``unique`` (Q4) leaves NULL
+    keys out, ``composite_key`` (Q9) counts them like any other value."""
+    keyed = df if check == "composite_key" else df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
     dup = keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return dup.agg(*_report(check, table, ",".join(columns), F.count(F.lit(1))))
 
@@ -104,15 +105,19 @@ def accepted_values_multi(df: DataFrame, table: str, accepted: dict[str, list])
                     "column_name", "failed_rows"))
 
 
+def _recompute_failed(tolerance: float) -> tuple[Column, Column]:
+    """(recomputed monthly pct, differs from the stored one by more than tolerance)."""
+    first, last = F.col("first_adjusted_closing_price"), F.col("last_adjusted_closing_price")
+    again = (F.try_divide(last, first) - 1) * 100
+    return again, (first != 0) & (F.abs(F.col("monthly_return_pct") - again) > tolerance)
+
+
 def recompute_failures(monthly: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Stored monthly pct differs from the recomputed one by more than tolerance."""
-    first, last = F.col("first_adjusted_closing_price"), F.col("last_adjusted_closing_price")
-    recomputed = (F.try_divide(last, first) - 1) * 100
-    return (monthly.select("symbol", "month_start_date", "first_adjusted_closing_price",
-                           "last_adjusted_closing_price", "monthly_return_pct",
-                           recomputed.alias("recalculated_monthly_return_pct"))
-            .where((first != 0) & (F.abs(F.col("monthly_return_pct")
-                                         - F.col("recalculated_monthly_return_pct")) > tolerance)))
+    again, failed = _recompute_failed(tolerance)
+    return monthly.where(failed).select(
+        "symbol", "month_start_date", "first_adjusted_closing_price", "last_adjusted_closing_price",
+        "monthly_return_pct", again.alias("recalculated_monthly_return_pct"))
 
 
 def recompute_report(monthly: DataFrame, table: str = "monthly", tolerance: float = 0.01) -> DataFrame:
@@ -120,6 +125,19 @@ def recompute_report(monthly: DataFrame, table: str = "monthly", tolerance: floa
         *_report("recompute", table, "monthly_return_pct", F.count(F.lit(1))))
 
 
+def value_report(df: DataFrame, table: str, not_null: list[str], accepted: dict[str, list] | None = None,
+                 recompute: bool = False, tolerance: float = 0.01) -> DataFrame:
+    """All value tests of one table (Q1-Q3, Q5-Q8, Q10) in a single aggregate pass."""
+    tests = {f"not_null|{c}": F.col(c).isNull() for c in not_null}
+    tests |= {f"accepted_values|{c}": F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in (accepted or {}).items()}
+    if recompute:
+        tests["recompute|monthly_return_pct"] = _recompute_failed(tolerance)[1]
+    counts = df.agg(*[F.count_if(cond).cast("bigint").alias(name) for name, cond in tests.items()])
+    parts = F.split("test", r"\|")
+    return (counts.unpivot([], list(tests), "test", "failed_rows")
+            .select(parts[0].alias("check"), F.lit(table).alias("table_name"), parts[1].alias("column_name"), "failed_rows"))
+
+
 # --- gates Q11-Q15 -----------------------------------------------------------------------
 
 def required_null_flag(df: DataFrame, columns: list[str] = REQUIRED_NOT_NULL) -> Column:
@@ -168,16 +186,18 @@ def enforce_gates(batch: DataFrame, universe: DataFrame | None = None, keys: lis
         return
     msg = ", ".join(f"{g}={n}" for g, n in sorted(failed.items()))
     if "all_symbols_present" in failed and universe is not None:
-        names = [r["symbol"] for r in missing_symbols(batch, universe).orderBy("symbol").collect()]
-        msg += f"; missing symbols: {names}"
+        names = [r["symbol"] for r in missing_symbols(batch, universe).orderBy("symbol").limit(20).collect()]
+        msg += f"; missing symbols: {names}" + (" and more" if failed["all_symbols_present"] > 20 else "")
     raise GateError(f"landing batch refused: {msg}")
 
 
 def split_rejects(batch: DataFrame, policy: str = "historical", keys: list[str] = KEY,
-                  required: list[str] = REQUIRED_NOT_NULL, symbol: str = "symbol") -> DataFrame:
+                  required: list[str] = REQUIRED_NOT_NULL, symbol: str = "symbol",
+                  fault: str | None = None) -> DataFrame:
     """Q15: tag every row ``accepted`` / ``rejected`` with a reason.
 
-    Row faults: a required value NULL/NaN, or a key seen more than once. ``historical``
+    Row faults: one named in the column ``fault`` (a value that did not cast; the column is
+    dropped), a required value NULL/NaN, or a key seen more than once. ``historical``
     rejects every row of a symbol with a faulty row and keeps the other symbols;
     ``incremental`` is all-or-nothing. Duplicate keys come from an aggregate joined back
     (a key repeated a million times is one aggregate row, and AQE splits the skewed join).
@@ -186,9 +206,11 @@ def split_rejects(batch: DataFrame, policy: str = "historical", keys: list[str]
         raise ValueError(f"unknown policy {policy!r}")
     dups = (batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
             .select(*keys, F.lit(True).alias("_dup")))
+    columns = [c for c in batch.columns if c != fault]
+    given = F.col(fault) if fault else F.lit(None).cast("string")
     rows = batch.join(dups, keys, "left").select(
-        *batch.columns,
-        F.when(required_null_flag(batch, required), "null_required")
+        *columns,
+        F.when(given.isNotNull(), given).when(required_null_flag(batch, required), "null_required")
          .when(F.col("_dup"), "duplicate_key").alias("_fault"))
     if policy == "historical":
         bad = rows.where(F.col("_fault").isNotNull()).select(symbol).distinct() \
@@ -199,6 +221,6 @@ def split_rejects(batch: DataFrame, policy: str = "historical", keys: list[str]
     else:
         n_bad = rows.where(F.col("_fault").isNotNull()).select(F.count(F.lit(1))).scalar()
         reason = F.coalesce(F.col("_fault"), F.when(n_bad > 0, F.lit("batch_failed")))
-    return rows.select(*batch.columns,
+    return rows.select(*columns,
                        F.when(reason.isNull(), "accepted").otherwise("rejected").alias("status"),
                        reason.alias("reject_reason"))

@@ -1,9 +1,11 @@
 """Ranks without a single-partition window.
 
 ``global_rank`` numbers rows 1..N in a total order: rows are range-partitioned on the
-order keys (balanced by sampling), numbered inside each range, and shifted by the row
-count of all earlier ranges. The only global step runs on one row per range partition
-(a proven bound: the shuffle partition count), which is also why broadcasting it is safe.
+order keys (balanced by sampling), numbered inside each range, and written once with their
+range number to the shared folder. The row counts of the ranges and the ranks both come
+from that table, so they always speak of the same ranges, and the input is computed once.
+The only global step runs on one row per range (bounded by the shuffle partition count),
+which is also why broadcasting it is safe.
 """
 
 from __future__ import annotations
@@ -11,23 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barmarts.session import shared_dir
+
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
                 partitions: int | None = None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
+    numbered = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    path = shared_dir(spark, "ranked")
+    numbered.write.parquet(path)
+    stored = spark.read.schema(numbered.schema).parquet(path)
+    sizes = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
+    return (stored.join(F.broadcast(offsets), "_pid")
             .withColumn(name, (F.col("_off") + F.col("_rn")).cast("int"))
             .drop("_pid", "_rn", "_off"))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only after proving the frame has at most ``max_rows`` rows;
-    otherwise leave the choice to the planner and AQE (shuffle join)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

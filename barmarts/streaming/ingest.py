@@ -3,29 +3,39 @@
 New landed CSV files -> typed Bronze rows -> exact copies collapsed -> duplicate-key
 gate -> upsert into the
 month-partitioned Bronze table, one ``foreachBatch`` call per micro-batch. The upsert
-is keyed, so replaying a micro-batch after a failure (same ``batch_id``) writes the
-same rows: the sink is idempotent. Offsets and the file log live under the shared
+is keyed and records (stream, ``batch_id``) with each published state, so replaying a
+micro-batch after a failure changes nothing: the sink is idempotent. Offsets and the file log live under the shared
 checkpoint folder, so a restarted driver resumes where it stopped.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from barmarts.operators.normalise import cast_to_bronze
 from barmarts.operators.quality import enforce_gates
 from barmarts.operators.upsert import read_bronze, upsert_into_path
-from barmarts.schemas import BRONZE, BRONZE_COLUMNS, REQUIRED_NOT_NULL
+from barmarts.schemas import BRONZE_COLUMNS, REQUIRED_NOT_NULL
 from barmarts.session import shared_dir
 
 
 def landed_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(BRONZE).option("header", True)
+    """Landed files as text columns in Bronze order (a header that differs is refused), typed
+    under ANSI, so a malformed value stops the stream instead of becoming NULL."""
+    text = T.StructType([T.StructField(c, T.StringType()) for c in BRONZE_COLUMNS])
+    reader = spark.readStream.schema(text).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(landing_root).select(*BRONZE_COLUMNS)
+    return cast_to_bronze(reader.csv(landing_root))
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the stream that owns the checkpoint; a checkpoint path used afresh has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def start_upsert_stream(spark: SparkSession, landing_root: str, table_path: str,
@@ -37,8 +47,6 @@ def start_upsert_stream(spark: SparkSession, landing_root: str, table_path: str,
     batch rule and is left to ``plans.pipeline.incremental_load``: files land piecemeal."""
     checkpoint = checkpoint or shared_dir(spark, "stream-checkpoints")
     required = REQUIRED_NOT_NULL if null_gate else None
-    # one stream = one checkpoint location; (stream, batch id) names a replayable upsert
-    stream_tag = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # A file landed twice carries identical rows: collapse exact copies. Two different
@@ -48,7 +56,7 @@ def start_upsert_stream(spark: SparkSession, landing_root: str, table_path: str,
         batch = batch.dropDuplicates().persist()
         try:
             enforce_gates(batch, required=required)
-            upsert_into_path(batch.sparkSession, table_path, batch, token=f"{stream_tag}-{batch_id}")
+            upsert_into_path(batch.sparkSession, table_path, batch, token=(_query_id(batch.sparkSession, checkpoint), batch_id))
         finally:
             batch.unpersist()
 

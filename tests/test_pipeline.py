@@ -32,10 +32,17 @@ def test_historical_then_incremental(spark):
     root = shared_dir(spark, "test-pipeline")
     days = ["2024-01-02", "2024-01-03", "2024-01-04"]
     rows = _vendor_rows("AAA", days) + _vendor_rows("BBB", days, 50.0)
-    rows += [("CCC", "2024-01-02", 1.0, 2.0, 0.5, 1.0, 1.0, "5"), ("CCC", "2024-01-02", 1.0, 2.0, 0.5, 1.0, 1.0, "5")]
+    twice = [("CCC", "2024-01-02", 1.0, 2.0, 0.5, 1.0, 1.0, "5")] * 2
+    with pytest.raises(GateError, match="no_duplicate_keys=1"):  # duplicates refuse the whole batch
+        historical_load(spark, _land(spark, rows + twice, f"{root}/dup"), f"{root}/bronze", "yahoo_finance", "b-0", "2024-01-05 00:00:00")
+    rows += [("CCC", "2024-01-02", 1.0, 2.0, 0.5, 1.0, 1.0, "12x"), ("CCC", "2024-01-03", 1.0, 2.0, 0.5, 1.0, 1.0, "7"),
+             ("AAA", "2014-12-31", 1.0, 2.0, 0.5, 1.0, 1.0, "5")]
     landed = _land(spark, rows, f"{root}/hist")
-    rejected = historical_load(spark, landed, f"{root}/bronze", "yahoo_finance", "b-1", "2024-01-05 00:00:00")
-    assert {r.symbol for r in rejected.collect()} == {"CCC"}  # duplicate key: symbol refused, others kept
+    report = historical_load(spark, landed, f"{root}/bronze", "yahoo_finance", "b-1", "2024-01-05 00:00:00",
+                             start_date="2015-01-01", universe=universe_frame(spark, ["AAA", "BBB", "CCC", "DDD"]))
+    # a value that does not cast rejects its symbol; a configured symbol without rows is reported
+    assert {(r.symbol, r.reject_reason) for r in report.collect()} == {
+        ("CCC", "cast_failed:volume"), ("CCC", "symbol_failed"), ("DDD", "nothing_returned")}
     table = read_bronze(spark, f"{root}/bronze")
     assert table.count() == 6
     # daily increment: newest bar per symbol; every configured symbol must be present
@@ -85,23 +92,36 @@ def test_dimension_file_and_merge(spark):
 def test_cluster_conf_bounds():
     from barmarts.session import cluster_conf
     big = cluster_conf(8000, input_tb=100)
-    assert int(big["spark.sql.shuffle.partitions"]) == 65536
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 * 1024 // 512  # 512 MB a partition
     small = cluster_conf(64, input_tb=0.001)
     assert int(small["spark.sql.shuffle.partitions"]) == 192
 
 
 def test_data_tests_suite(spark, edge_bronze):
-    from barmarts.plans.pipeline import assert_data_tests, data_tests
-    rep = data_tests(bars_from_tables(spark, SF_SMALL), [f"Brand#{i}" for i in range(1, 26)], ["synthetic"])
-    assert rep.count() == 75
+    from barmarts.plans.pipeline import assert_data_tests, data_tests, stored_marts
+    symbols = [f"Brand#{i}" for i in range(1, 26)]
+    bars = bars_from_tables(spark, SF_SMALL)
+    marts = materialise_marts(spark, bars, shared_dir(spark, "test-suite"))
+    rep = data_tests(bars, marts, symbols, ["synthetic"])
+    assert rep.count() == 81 and rep.where("check = 'not_null'").count() == 69
     assert_data_tests(rep)  # the derived bars pass every test
-    bad = {(r.check, r.table_name, r.column_name): r.failed_rows
-           for r in data_tests(edge_bronze, ["AAA", "BBB"], ["synthetic"]).where("NOT passed").collect()}
+    # a corrupted stored table fails: the suite reads what is stored, it rebuilds nothing
+    broken = dict(marts)
+    broken["monthly"] = marts["monthly"].withColumn("monthly_return_pct", F.col("monthly_return_pct") + 1)
+    broken["risk"] = marts["risk"].unionByName(marts["risk"].limit(1))
+    broken["silver"] = marts["silver"].withColumn("silver_created_at_utc", F.lit(None).cast("timestamp_ntz"))
+    broken["long_term"] = marts["long_term"].withColumn("symbol", F.lit(None).cast("string"))
+    failed = {(r.check, r.table_name) for r in data_tests(bars, broken, symbols, ["synthetic"]).where("NOT passed").collect()}
+    assert failed == {("recompute", "monthly"), ("unique", "risk"), ("not_null", "silver"), ("not_null", "long_term")}
+    root = shared_dir(spark, "test-suite-edge")
+    materialise_marts(spark, edge_bronze, root)
+    report = data_tests(edge_bronze, stored_marts(spark, root), ["AAA", "BBB"], ["synthetic"])
+    bad = {(r.check, r.table_name, r.column_name): r.failed_rows for r in report.where("NOT passed").collect()}
     assert bad[("not_null", "silver", "opening_price")] == 1          # NULL open survives Silver
     assert bad[("accepted_values", "silver", "symbol")] == 2          # CCC is not in the universe
     assert bad[("not_null", "risk", "monthly_volatility_pct")] == 2   # one-month / flat symbols
     with pytest.raises(GateError, match="data tests failed"):
-        assert_data_tests(data_tests(edge_bronze, ["AAA", "BBB"], ["synthetic"]))
+        assert_data_tests(report)
 
 
 def test_cli_build_and_test(spark):
@@ -111,8 +131,8 @@ def test_cli_build_and_test(spark):
     assert main(["build", "--bronze", f"{root}/bronze", "--out", f"{root}/marts"], spark) == 0
     assert spark.read.parquet(f"{root}/marts/alerts").count() > 0
     brands = ",".join(f"Brand#{i}" for i in range(1, 26))
-    assert main(["test", "--bronze", f"{root}/bronze", "--symbols", brands, "--providers", "synthetic"], spark) == 0
-    assert main(["test", "--bronze", f"{root}/bronze", "--symbols", "Brand#1"], spark) == 1
+    assert main(["test", "--bronze", f"{root}/bronze", "--marts", f"{root}/marts", "--symbols", brands, "--providers", "synthetic"], spark) == 0
+    assert main(["test", "--bronze", f"{root}/bronze", "--marts", f"{root}/marts", "--symbols", "Brand#1"], spark) == 1
 
 
 def test_cli_backfill_and_incremental(spark):

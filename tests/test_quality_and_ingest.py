@@ -3,6 +3,7 @@ landing round trip; stream = batch."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barmarts.operators import quality
@@ -213,20 +214,118 @@ def test_register_view_and_approx_profile(spark):
     assert abs(approx.total_symbols - exact.total_symbols) <= 2
 
 
-def test_upsert_replay_uses_staged_rows(spark):
-    """A replayed unit of work rewrites from its staged merge, not from the current table."""
+def test_upsert_replay_and_stops_lose_nothing(spark, monkeypatch):
+    from barmarts.operators import upsert as U
     path = shared_dir(spark, "test-replay") + "/bronze"
-    target = _bars(spark, [_row("A", "2024-01-02", adj=1.0), _row("A", "2024-01-03", adj=2.0)])
-    batch = _bars(spark, [_row("A", "2024-01-03", adj=20.0)])
-    upsert_into_path(spark, path, target)
-    first = _sorted(upsert_into_path(spark, path, batch, token="t-1"))
-    # simulate a crash that lost the month folder after the merge was staged
-    other = _bars(spark, [_row("A", "2024-01-03", adj=20.0)])
-    from barmarts.operators.upsert import _by_month, _with_month, MONTH
-    _by_month(_with_month(other)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(MONTH).parquet(path)
-    replay = _sorted(upsert_into_path(spark, path, batch, token="t-1"))
-    assert replay == first and len(replay) == 2
+    days = {d: _bars(spark, [_row("A", f"2024-01-0{d}", adj=float(d))]) for d in range(2, 7)}
+    state = lambda: {r.price_date.day: r.adjusted_close for r in U.read_bronze(spark, path).collect()}
+    upsert_into_path(spark, path, days[2])
+    upsert_into_path(spark, path, days[3], token=("s", 0))
+    upsert_into_path(spark, path, days[4])
+    upsert_into_path(spark, path, _bars(spark, [_row("A", "2024-01-03", adj=30.0)]))
+    upsert_into_path(spark, path, days[3], token=("s", 0))  # replay after other upserts
+    assert state() == {2: 2.0, 3: 30.0, 4: 4.0}
+    upsert_into_path(spark, path, days[5], token=("afresh", 0))  # a new stream starts at 0 again
+    assert state()[5] == 5.0
+    # a stop between the written months and the publication, with and without token
+    for token in (None, ("s", 1)):
+        with monkeypatch.context() as m:
+            def stop(*_):
+                raise RuntimeError("stopped")
+            m.setattr(U, "_publish", stop)
+            with pytest.raises(RuntimeError):
+                upsert_into_path(spark, path, days[6], token=token)
+        assert state() == {2: 2.0, 3: 30.0, 4: 4.0, 5: 5.0}
+    upsert_into_path(spark, path, days[6], token=("s", 1))
+    assert state() == {2: 2.0, 3: 30.0, 4: 4.0, 5: 5.0, 6: 6.0}
+    assert U.vacuum(spark, path) > 0 and len(state()) == 5
+
+
+def test_upsert_merges_again_when_another_writer_was_first(spark, monkeypatch):
+    from barmarts.operators import upsert as U
+    path = shared_dir(spark, "test-race") + "/bronze"
+    upsert_into_path(spark, path, _bars(spark, [_row("A", "2024-01-02")]))
+    real, done = U._publish, []
+
+    def late(*args):
+        if not done:
+            done.append(1)
+            upsert_into_path(spark, path, _bars(spark, [_row("B", "2024-01-02")]))
+        return real(*args)
+
+    monkeypatch.setattr(U, "_publish", late)
+    out = upsert_into_path(spark, path, _bars(spark, [_row("C", "2024-01-02")]))
+    assert {r.symbol for r in out.collect()} == {"A", "B", "C"}
+
+
+def test_landing_by_header(spark, tmp_path):
+    root = tmp_path / "tree"
+    names = ["symbol", "price_date", "open", "high", "low", "close", "adjusted_close", "volume", "source_provider",
+             "load_type", "batch_id", "ingested_at_utc"]
+    values = {"price_date": "2024-01-02", "open": "1", "high": "2.0", "low": "0.5", "close": "1.5", "adjusted_close": "1.5",
+              "volume": "9007199254740993", "source_provider": "p", "load_type": "historical", "batch_id": "b",
+              "ingested_at_utc": "2024-01-01 00:00:00"}
+    for symbol in ("0700", "1E5", "A+B"):
+        leaf = root / f"symbol={symbol}" / "load_type=historical"
+        leaf.mkdir(parents=True)
+        (leaf / "prices.csv").write_text(",".join(names) + "\n" + ",".join([symbol, *[values[n] for n in names[1:]]]) + "\n")
+    rows = {r.symbol: r for r in read_landing(spark, str(root)).collect()}
+    assert set(rows) == {"0700", "1E5", "A+B"} and rows["0700"].high == 2.0 and rows["1E5"].volume == 9007199254740993
+    # keys in the path only
+    path_only = tmp_path / "path_only"
+    for symbol in ("0700", "A+B"):
+        leaf = path_only / f"symbol={symbol}" / "load_type=historical"
+        leaf.mkdir(parents=True)
+        rest = [n for n in names if n not in ("symbol", "load_type")]
+        (leaf / "prices.csv").write_text(",".join(rest) + "\n" + ",".join(values[n] for n in rest) + "\n")
+    got = read_landing(spark, str(path_only)).collect()
+    assert {(r.symbol, r.load_type, r.high) for r in got} == {("0700", "historical", 2.0), ("A+B", "historical", 2.0)}
+    # another column order in one file is refused, not read by position
+    leaf = root / "symbol=Z" / "load_type=historical"
+    leaf.mkdir(parents=True)
+    (leaf / "prices.csv").write_text(",".join(names[::-1]) + "\n" + ",".join(["Z" if n == "symbol" else values[n] for n in names[::-1]]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_landing(spark, str(root)).collect()
+    (leaf / "prices.csv").write_text(",".join(names) + "\n" + ",".join("12x" if n == "volume" else "Z" if n == "symbol" else values[n] for n in names) + "\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_landing(spark, str(root)).collect()
+
+
+def test_typed_input_and_null_keys(spark):
+    bars = bars_from_tables(spark, SF_SMALL)
+    assert _sorted(normalise_landing(bars)) == _sorted(bars)
+    keys = spark.createDataFrame([("A", None), ("A", None), ("B", 1)], "a string, b int")
+    assert quality.unique_report(keys, "t", ["a", "b"], "composite_key").first().failed_rows == 1
+    assert quality.unique_report(keys, "t", ["a", "b"]).first().failed_rows == 0
+    two = _bars(spark, [_row("A", "2024-01-02", adj=1.0), _row("A", "2024-01-02", adj=2.0)])
+    assert newest_bar_per_symbol(two).count() == 2  # a conflict stays visible to the gate
+
+
+def test_partitioned_replace_drops_old_keys(spark):
+    from barmarts.sources.landing import materialise
+    path = shared_dir(spark, "test-replace")
+    materialise(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), path, ["k"])
+    assert [r.k for r in materialise(spark.createDataFrame([("b", 2)], "k string, v int"), path, ["k"]).collect()] == ["b"]
+
+
+def test_missing_shared_folder_raises_on_a_cluster():
+    from types import SimpleNamespace
+
+    from barmarts.session import _checkpoint_root
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                              sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        _checkpoint_root(cluster)
+
+
+def test_global_rank_on_many_rows(spark):
+    from barmarts.operators.ranking import global_rank
+    rows = spark.range(400_000).selectExpr(
+        "id", "CASE WHEN id % 1000 = 7 THEN NULL ELSE CAST(xxhash64(id) % 5000 AS double) END AS v", "repeat('x', 40) AS payload")
+    order = [F.col("v").desc_nulls_last(), F.col("id")]
+    out = global_rank(rows, order, partitions=16)
+    want = rows.withColumn("want", F.row_number().over(Window.orderBy(*order)))
+    assert out.join(want.select("id", "want"), "id").where("rank <> want").count() == 0 and out.count() == 400_000
 
 
 def test_read_landing_empty_tree_raises(spark):
