@@ -69,12 +69,15 @@ def return_ranking(snapshot: DataFrame) -> DataFrame:
 
 
 def freshness(silver: DataFrame) -> DataFrame:
-    """Latest market date, symbol count, symbols with a bar on that date."""
-    ref = reference_date(silver)
-    return silver.agg(
-        F.max("price_date").alias("latest_price_date"),
-        F.count_distinct(F.col("symbol")).alias("total_symbols"),
-        F.count_distinct(F.when(F.col(PD) == ref, F.col("symbol"))).alias("symbols_at_latest_date"),
+    """Latest market date, symbol count, symbols with a bar on that date.
+
+    Three small steps after one row per symbol: no distinct count, so no row is expanded."""
+    latest = silver.groupBy("symbol").agg(F.max("price_date").alias("_d"))
+    by_day = latest.groupBy("_d").agg(F.count("symbol").alias("_n"))
+    return by_day.agg(
+        F.max("_d").alias("latest_price_date"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_symbols"),
+        F.coalesce(F.max_by("_n", "_d"), F.lit(0)).alias("symbols_at_latest_date"),
     )
 
 

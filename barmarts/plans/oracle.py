@@ -532,6 +532,18 @@ WHERE NOT EXISTS (SELECT 1 FROM newest n WHERE n.symbol = t.symbol AND n.price_d
 UNION ALL
 SELECT * FROM newest""",
         "materialised_alerts": "WITH " + ",".join(STD) + alerts_body(),
+        "dimension_file_join": "WITH " + BARS + """
+, dim AS (SELECT p_brand AS symbol, MIN(p_name) AS name, MIN(p_type) AS asset_class, MIN(substr(p_type, 1, 3)) AS region,
+                 CAST(MAX(p_size) AS VARCHAR) AS category FROM part GROUP BY p_brand)
+SELECT b.*, d.name, d.asset_class, d.region, d.category FROM bars b LEFT JOIN dim d ON b.symbol = d.symbol""",
+        "missing_from_universe": "WITH " + BARS + f"""
+SELECT u.symbol FROM (SELECT unnest([{_in_list([*R.ACCEPTED_SYMBOLS, *R.DEFAULT_UNIVERSE])}]) AS symbol) u
+WHERE u.symbol NOT IN (SELECT symbol FROM bars)""",
+        "monthly_positions": with_ctes(*STD, body="""SELECT symbol, month_start_date, monthly_return_pct,
+  CAST(row_number() OVER (ORDER BY symbol, month_start_date) AS INTEGER) AS position FROM monthly"""),
+        "alert_positions": f"""SELECT symbol, month_start_date, alert_type,
+  CAST(row_number() OVER (ORDER BY month_start_date DESC, symbol) AS INTEGER) AS position
+FROM (WITH {",".join(STD)} {alerts_body()}) al""",
     }
 
 

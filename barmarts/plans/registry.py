@@ -17,12 +17,14 @@ from barmarts.operators import gold, horizons, quality, seasonality
 from barmarts.operators.asof import asof_join
 from barmarts.operators.enrich import with_dimension
 from barmarts.operators.normalise import history_since, newest_bar_per_symbol, normalise_landing
+from barmarts.operators.ranking import global_rank
 from barmarts.operators.silver import silver
 from barmarts.operators.upsert import read_bronze, upsert, upsert_into_path
 from barmarts.plans.pipeline import data_tests, historical_load, incremental_load, materialise_marts
-from barmarts.schemas import ALERT_SEVERITIES, ALERT_TYPES, LOAD_TYPES
+from barmarts.schemas import ALERT_SEVERITIES, ALERT_TYPES, DEFAULT_UNIVERSE, LOAD_TYPES
 from barmarts.session import shared_dir
-from barmarts.sources.landing import consolidate, read_landing, read_vendor_csv, write_landing
+from barmarts.sources.landing import (consolidate, read_dimension, read_landing, read_vendor_csv,
+                                      universe_frame, write_landing)
 from barmarts.sources.tables import bars_from_tables, brand_dimension, bronze_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +122,34 @@ def dq_not_null(spark, sf):
     return _data_tests(spark, sf).where("check = 'not_null'").drop("passed")
 
 
+def dimension_file_join(spark, sf):
+    """The dimension written as a file (all five columns), read back and joined."""
+    root = shared_dir(spark, "dimension")
+    part = read_table(spark, sf, "part")
+    (part.groupBy(F.col("p_brand").alias("symbol")).agg(
+        F.min("p_name").alias("name"), F.min("p_type").alias("asset_class"),
+        F.min(F.substring("p_type", 1, 3)).alias("region"), F.max("p_size").cast("string").alias("category"))
+     .write.json(f"{root}/dim"))
+    return with_dimension(_bars(spark, sf), read_dimension(spark, f"{root}/dim"))
+
+
+def missing_from_universe(spark, sf):
+    """Configured symbols without a bar."""
+    return quality.missing_symbols(_bars(spark, sf), universe_frame(spark, [*ACCEPTED_SYMBOLS, *DEFAULT_UNIVERSE]))
+
+
+def monthly_positions(spark, sf):
+    """O1 with the row's place in the final order made explicit."""
+    rows = _monthly(spark, sf).select("symbol", "month_start_date", "monthly_return_pct")
+    return global_rank(rows, [F.col("symbol").asc(), F.col("month_start_date").asc()], name="position")
+
+
+def alert_positions(spark, sf):
+    """O2 with the row's place made explicit (inside a month by symbol)."""
+    rows = gold.alert_candidates(_monthly(spark, sf)).select("symbol", "month_start_date", "alert_type")
+    return global_rank(rows, [F.col("month_start_date").desc(), F.col("symbol").asc()], name="position")
+
+
 def dq_unique(spark, sf):
     s = _silver(spark, sf)
     m = gold.monthly_performance(s)
@@ -267,4 +297,8 @@ def all_queries() -> dict[str, Query]:
         "historical_backfill": historical_backfill,
         "incremental_daily": incremental_daily,
         "materialised_alerts": materialised_alerts,
+        "dimension_file_join": dimension_file_join,
+        "missing_from_universe": missing_from_universe,
+        "monthly_positions": monthly_positions,
+        "alert_positions": alert_positions,
     }
