@@ -66,6 +66,7 @@ class PrefixEncoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
+        self._length = {i: len(t) for t, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self._last_merge: dict[int, tuple[int, int] | None] = {}
         self._pairs: dict[int, bool] = {}
@@ -115,17 +116,22 @@ class PrefixEncoder:
         return known
 
     def _token_at(self, data: bytes, stop: int, ending: Callable[[int], int]) -> int:
-        """The token that ends data[:stop]; ``ending(i)`` gives the one that ends data[:i]."""
+        """The token that ends data[:stop]; ``ending(i)`` gives the one that ends data[:i].
+
+        Only one candidate fits, so the likely ones go first: the token before with one byte
+        more, the byte alone, then starts inside that token, then longer ones.
+        """
         get, pairs = self.ranks.get, self._pairs
-        start = stop - self.longest if stop > self.longest else 0
-        while start < stop:
+        before = ending(stop - 1) if stop > 1 else -1
+        near = stop - 1 - len(self.bytes_of[before]) if stop > 1 else 0
+        low = stop - self.longest if stop > self.longest else 0
+        for start in chain((near, stop - 1), range(near + 1, stop - 1), range(near - 1, low - 1, -1)):
             token = get(data[start:stop])
             if token is not None:
-                before = ending(start) if start else -1
-                fits = pairs.get((before + 1 << 32) | token)
-                if self._may_follow(before, token) if fits is None else fits:
+                left = ending(start) if start else -1
+                fits = pairs.get((left + 1 << 32) | token)
+                if self._may_follow(left, token) if fits is None else fits:
                     return token
-            start += 1
         raise ValueError(f"no token for byte {data[stop - 1]}")
 
     def extend(self, data: bytes, last: list[int], end: int | None = None) -> list[int]:
@@ -166,19 +172,38 @@ class PrefixEncoder:
             return [whole]
         if len(piece) > SHARED_PREFIX_BYTES:
             return self.tokens(self.extend(piece, []))
-        known = self._prefixes
+        known, length = self._prefixes, self._length
         if len(known) > CACHE_ENTRIES:
             known.clear()
-        done = len(piece)
-        while done and piece[:done] not in known:
-            done -= 1
-        for stop in range(done + 1, len(piece) + 1):
-            known[piece[:stop]] = self._token_at(piece, stop, lambda i: known[piece[:i]])
+        # known prefixes are closed under prefixes: find the longest by bisection
+        low, high = 0, len(piece)
+        while low < high:
+            mid = (low + high + 1) >> 1
+            if piece[:mid] in known:
+                low = mid
+            else:
+                high = mid - 1
+        # _token_at, written out for the hot path
+        get, pairs = self.ranks.get, self._pairs
+        before = known[piece[:low]] if low else -1
+        for stop in range(low + 1, len(piece) + 1):
+            near = stop - 1 - length[before] if stop > 1 else 0
+            token = get(piece[near:stop])
+            if token is not None:
+                left = known[piece[:near]] if near else -1
+                fits = pairs.get((left + 1 << 32) | token)
+                if not (self._may_follow(left, token) if fits is None else fits):
+                    token = None
+            if token is None:
+                token = self._token_at(piece, stop, lambda i: known[piece[:i]])
+            known[piece[:stop]] = before = token
         out, at = [], len(piece)
         while at:
-            out.append(known[piece[:at]])
-            at -= len(self.bytes_of[out[-1]])
-        return out[::-1]
+            token = known[piece[:at]]
+            out.append(token)
+            at -= length[token]
+        out.reverse()
+        return out
 
 
 class TextEncoder:
@@ -190,25 +215,32 @@ class TextEncoder:
         self.uneven = regex.compile(r"\p{White_Space}{2}|\p{White_Space}$").search
         self.encoder = PrefixEncoder(ranks)
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def _keep(self, text: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        """Two generations: a full cache becomes the older one, what is used again comes back."""
+        if len(self.cache) >= CACHE_ENTRIES // 2:
+            self.older, self.cache = self.cache, {}
+        if len(text) <= 64:
+            self.cache[text] = ids
+        return ids
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         ids = self.cache.get(piece)
         if ids is None:
-            if len(self.cache) > CACHE_ENTRIES:
-                self.cache.clear()
-            ids = tuple(self.encoder.encode(piece.encode()))
-            if len(piece) <= 64:
-                self.cache[piece] = ids
+            ids = self.older.get(piece)
+            ids = self._keep(piece, tuple(self.encoder.encode(piece.encode())) if ids is None else ids)
         return ids
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
+        """A chunk that the cache does not hold."""
+        ids = self.older.get(chunk)
+        if ids is not None:
+            return self._keep(chunk, ids)
         pieces = self.split(chunk)
         if len(pieces) == 1:
             return self._piece(chunk)
-        ids = tuple(chain.from_iterable(map(self._piece, pieces)))
-        if len(chunk) <= 32:
-            self.cache[chunk] = ids
-        return ids
+        return self._keep(chunk, tuple(chain.from_iterable(map(self._piece, pieces))))
 
     def encode(self, text: str) -> list[int]:
         """A match never reaches from other characters into a following blank, so a text whose
