@@ -126,7 +126,8 @@ class ItemBlock:
         keys = np.array(sorted({*mine, *item}), dtype=np.uint64)
         weight = dict(zip(keys.tolist(), self.weights(keys)))
         low = sum(weight[k] * min(mine[k], item[k]) for k in weight)
-        return float(low / sum(weight[k] * max(mine[k], item[k]) for k in weight))
+        high = sum(weight[k] * max(mine[k], item[k]) for k in weight)
+        return round(float(low / high), 12)  # equal windows tie whatever the order of summing
 
     def matches(self, text: str | None) -> list[dict]:
         """Best window of every item that the text holds."""

@@ -70,8 +70,8 @@ def brute_matches(items, text):
             weight = lambda k: 1 / having[k] if k in having else 1.0
             v = sum(weight(k) * min(win[k], mine[k]) for k in win) / sum(weight(k) * max(win[k], mine[k]) for k in {*win, *mine})
             if v >= 0.8 - 1e-12 and (i not in found or v > found[i][0] + 1e-12):
-                found[i] = (round(v, 9), s)
-    return found
+                found[i] = (v, s)
+    return {i: (round(v, 9), s) for i, (v, s) in found.items()}
 
 
 def test_matches_against_brute_force(spark, edge, nothing):
