@@ -22,8 +22,9 @@ J = 0.85 with 2e-5, and a class is lost only if all its links are.
   5e-6). That is a semi-join, so a bucket yields no pairs at this point.
 * In each bucket every set is compared with the bucket's least set only (a star). The
   components of the verified links are then known, and only sets of one bucket that lie in
-  different components are compared in a second pass. Near copies of one text therefore
-  cost a star, not all pairs, and no link between different components is skipped.
+  different components are compared in a second pass, each pair in the first table where it
+  meets. Near copies of one text therefore cost a star, not all pairs, and no link between
+  different components is skipped.
 * Before a pair is built its sizes must allow the similarity, and so must its odd sketch:
   the number of differing sketch bits never exceeds the size of the symmetric difference,
   so the test loses no link. Links are confirmed on the full sets.
@@ -101,18 +102,43 @@ def signatures(docs: DataFrame, width: int, hashes: int) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min(F.struct(*kept)).alias("r")).select("doc_id", "r.*")
 
 
-def table_keys(classes: DataFrame, groups: int, width: int) -> DataFrame:
+def group_hashes(kind: str, side: str, groups: int, band: int) -> Column:
+    """The ``groups`` group hashes of one collection ("u" or "v") of one kind of minhashes."""
+    base = 0 if side == "u" else groups * band
+    return F.array(*[F.xxhash64(F.lit(kind + side), F.lit(i), *[F.get(kind, F.lit(base + i * band + k)) for k in range(band)])
+                     for i in range(groups)])
+
+
+def kind_keys(kind: str, groups: int, band: int) -> Column:
+    """Keys of all groups^2 tables, table (i, j) at place i * groups + j; [] without minhashes."""
+    us, vs = group_hashes(kind, "u", groups, band), group_hashes(kind, "v", groups, band)
+    keys = F.flatten(F.transform(us, lambda u: F.transform(vs, lambda v: F.xxhash64(u, v))))
+    return F.when(F.col(kind).isNotNull(), keys).otherwise(F.array().cast("array<bigint>"))
+
+
+def table_keys(classes: DataFrame, groups: int, band: int) -> DataFrame:
     """(rep, key): every class in its groups^2 tables."""
-    def keys(kind: str) -> Column:
-        h = F.col(kind)
+    return classes.select("rep", F.explode(F.concat(kind_keys("small", groups, band), kind_keys("large", groups, band))).alias("key"))
+
+
+def with_tables(rows: DataFrame, classes: DataFrame, groups: int, band: int) -> DataFrame:
+    """``rows`` (key, rep, ...) with the table (i, j) of the key and the class's group hashes."""
+    met = rows.join(classes.select("rep", "small", "large"), "rep").withColumn(
+        "_p", F.array_position(kind_keys("small", groups, band), F.col("key")))
+    small = F.col("_p") > 0
+    at = (F.when(small, F.col("_p")).otherwise(F.array_position(kind_keys("large", groups, band), F.col("key"))) - 1).cast("int")
+    hashes = {f"{side}s": F.when(small, group_hashes("small", side, groups, band)).otherwise(group_hashes("large", side, groups, band))
+              for side in "uv"}
+    return met.withColumns({"_at": at, **hashes}).withColumns(
+        {"i": F.floor(F.col("_at") / groups).cast("int"), "j": F.pmod(F.col("_at"), F.lit(groups))}).drop("_p", "_at", "small", "large")
+
 
-        def collection(side: str, base: int) -> Column:
-            return F.array(*[F.xxhash64(F.lit(kind + side), F.lit(i), *[F.get(h, F.lit(base + i * width + k)) for k in range(width)])
-                             for i in range(groups)])
-        us, vs = collection("u", 0), collection("v", groups * width)
-        return F.when(h.isNotNull(), F.flatten(F.transform(us, lambda u: F.transform(vs, lambda v: F.xxhash64(u, v)))))
-    both = F.concat(F.coalesce(keys("small"), F.array().cast("array<bigint>")), F.coalesce(keys("large"), F.array().cast("array<bigint>")))
-    return classes.select("rep", F.explode(both).alias("key"))
+def _first_table(a: str, b: str) -> Column:
+    """The rows' table is the first in which the pair meets, so a pair is built in one table only."""
+    def earlier(hashes: str, place: str) -> Column:
+        same = F.zip_with(F.col(f"{a}.{hashes}"), F.col(f"{b}.{hashes}"), lambda x, y: x == y)
+        return F.exists(F.slice(same, F.lit(1), F.col(f"{a}.{place}")), lambda x: x)
+    return ~earlier("us", "i") & ~earlier("vs", "j")
 
 
 def member_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -218,9 +244,10 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: int = 80, groups: i
     open_keys = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                            F.max(F.when(F.col("rep") == F.col("pivot"), F.col("comp"))).alias("main"))
                  .where("lo <> hi").select("key", "main"))
-    left_over = ws.store(placed.select("key", "rep", "comp").join(open_keys, "key").join(sketches, "rep"), "open")
+    left_over = ws.store(with_tables(placed.select("key", "rep", "comp").join(open_keys, "key").join(sketches, "rep"),
+                                     classes, groups, band), "open")
     cross = (left_over.where("comp <> main").alias("l").join(left_over.alias("r"), F.expr(
-        "l.key = r.key AND l.comp <> r.comp AND (r.comp = r.main OR l.rep < r.rep)") & _possible("l", "r", threshold))
+        "l.key = r.key AND l.comp <> r.comp AND (r.comp = r.main OR l.rep < r.rep)") & _possible("l", "r", threshold) & _first_table("l", "r"))
         .select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b")).distinct())
     more = ws.store(verified(ws.store(cross, "cross"), sets, threshold), "links-2")
     joined = ws.store(connected_components(links.unionByName(more), ws, "second"), "components-2")
