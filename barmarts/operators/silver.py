@@ -77,35 +77,25 @@ def silver(bronze: DataFrame, split_by: str | None = "month", audit: bool = Fals
 def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
     """Lags per (symbol, chunk) plus a halo from earlier chunks.
 
-    The full rows go through one window only. The chunk table (row counts, then
-    offsets by a window over one row per chunk) comes from a hash aggregate, and the
-    halo candidates - the last ``depth`` rows of every chunk - from a
-    ``row_number() <= depth`` top-k that Spark limits per task before the shuffle.
-    Every halo position of a chunk lies among the last ``depth`` rows of the chunk that
-    holds it, so the halo is an equi-join of small tables.
+    The full rows go through one window only. One aggregate gives each chunk's row count and
+    its last ``depth`` closes (a chunk holds at most one bar a day, so a year's list has 366
+    entries at most); a window over that small table turns them into each chunk's offset and
+    the ``depth`` closes before it. The ``depth`` chunks before suffice, as none is empty.
     """
     depth = max(LAGS)
     adj = "adjusted_closing_price"
     base = src.withColumn("_chunk", chunk_expr)
-    sizes = base.groupBy("symbol", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    prior = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = sizes.select("symbol", "_chunk", "_n",
-                          F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_offset"))
-    from_end = Window.partitionBy("symbol", "_chunk").orderBy(F.col("price_date").desc())
-    tails = (base.select("symbol", "_chunk", adj, F.row_number().over(from_end).alias("_rd"))
-             .where(F.col("_rd") <= depth)
-             .join(chunks, ["symbol", "_chunk"])
-             .select(F.col("symbol").alias("_tsym"),
-                     (F.col("_offset") + F.col("_n") - F.col("_rd") + 1).alias("_g"),
-                     F.col(adj).alias("_v")))
-    targets = chunks.select("symbol", "_chunk", "_offset",
-                            F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("_i"))
-    halo = (targets.join(tails, (F.col("symbol") == F.col("_tsym"))
-                         & (F.col("_g") == F.col("_offset") - F.col("_i")), "left")
-            .groupBy("symbol", "_chunk")
-            .agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_halo")))
+    newest_first = F.reverse(F.array_sort(F.collect_list(F.struct("price_date", adj))))
+    chunks = base.groupBy("symbol", "_chunk").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.transform(F.slice(newest_first, 1, depth), lambda x: x[adj]).alias("_tail"))
+    by_symbol = Window.partitionBy("symbol").orderBy("_chunk")
+    before = chunks.select(
+        "symbol", "_chunk",
+        F.coalesce(F.sum("_n").over(by_symbol.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.flatten(F.reverse(F.collect_list("_tail").over(by_symbol.rowsBetween(-depth, -1)))).alias("_halo"))
     # grouped by exactly the join keys, so Catalyst can drop the join when unused
-    offsets = chunks.groupBy("symbol", "_chunk").agg(F.max("_offset").alias("_offset"))
+    before = before.groupBy("symbol", "_chunk").agg(F.max("_offset").alias("_offset"), F.first("_halo").alias("_halo"))
     wc = Window.partitionBy("symbol", "_chunk").orderBy("price_date")
     rows = base.select(
         "*",
@@ -113,16 +103,14 @@ def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
         F.lag(adj, 1).over(wc).alias("_l1"),
         F.lag(adj, depth).over(wc).alias("_l5"),
     )
-    # left joins: equal to inner here (every chunk has an offset and a halo row), and they
-    # let Catalyst drop the halo branch when a consumer reads no lag column, and both
-    # branches when it reads neither lags nor the trading-day ordinal
-    out = (rows.join(offsets, ["symbol", "_chunk"], "left")
-           .join(halo, ["symbol", "_chunk"], "left"))
+    # a left join: equal to inner here (every chunk has a row), and it lets Catalyst drop the
+    # chunk branch when a consumer reads neither the lag columns nor the trading-day ordinal
+    out = rows.join(before, ["symbol", "_chunk"], "left")
     return out.select(
         *[c for c in src.columns],
         (F.col("_offset") + F.col("_rn")).cast("int").alias("trading_day_number"),
         F.when(F.col("_rn") > 1, F.col("_l1")).otherwise(
-            F.try_element_at("_halo", F.lit(0))).alias("previous_adjusted_closing_price"),
+            F.get("_halo", F.lit(0))).alias("previous_adjusted_closing_price"),
         F.when(F.col("_rn") > depth, F.col("_l5")).otherwise(
-            F.try_element_at("_halo", F.lit(depth) - F.col("_rn"))).alias("adjusted_close_5d_ago"),
+            F.get("_halo", F.lit(depth) - F.col("_rn"))).alias("adjusted_close_5d_ago"),
     )

@@ -98,3 +98,8 @@ def test_upsert_rewrites_only_touched_months(spark):
     upsert_into_path(spark, path, bars.where(F.col("price_date") >= "2001-10-01"))
     after = _manifest(spark, path)[1]["months"]
     assert set(after) == set(before) and {m for m in after if after[m] != before[m]} == {m for m in after if m >= "2001-10"}
+
+
+def test_silver_reads_bronze_twice(spark):
+    p = physical_tree(E.queries()["silver_prices"](spark, SF_SMALL))
+    assert p.count("Scan parquet") <= 2 and len(re.findall(r"(?<![A-Za-z])Exchange ", p)) <= 4
