@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from barmarts.operators.silver import silver
+from barmarts.plans.registry import all_queries
 from barmarts.sources.tables import bronze_table
 from conftest import SF_SMALL
 
@@ -75,7 +76,7 @@ SIDE_EFFECTS = {"partitioned_landing_roundtrip", "stream_upsert", "historical_ba
                 "incremental_daily", "materialised_alerts"}
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("key", sorted(set(all_queries()) - SIDE_EFFECTS))
 def test_no_python_in_plan(spark, key):
     p = plan(E.queries()[key](spark, SF_SMALL), "extended")
     assert not any(n in p for n in PY_NODES), key
