@@ -67,11 +67,13 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def candidate_lines(distinct_lines: DataFrame) -> DataFrame:
-    """Distinct lines of which a half occurs in another distinct line."""
-    halves = (distinct_lines.where("halves IS NOT NULL")
-              .select(*KEY, "first", F.explode("halves").alias("half")))
+    """Distinct lines of which a half occurs in another distinct line.
+
+    Only (half, k1) is shuffled; two lines of equal k1 would merely both become candidates."""
+    halves = distinct_lines.where("halves IS NOT NULL").select("k1", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
-    return halves.join(shared, "half").select(*KEY, "first").distinct()
+    found = halves.join(shared, "half").select("k1").distinct()
+    return distinct_lines.where("halves IS NOT NULL").select(*KEY, "first").join(found, "k1", "left_semi")
 
 
 def with_words(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -150,6 +152,8 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     dropped = (lines.select("place", *KEY).join(bad, KEY).where("near OR place <> first")
                .select(F.col("place.doc_id").alias("_d"), F.col("place._th").alias("_t"), F.col("place.line_no").alias("no"))
                .groupBy("_d", "_t").agg(F.collect_set("no").alias("_drops")))
+    dropped = ws.store(dropped, "dropped")
+    ws.drop("lines", "distinct", "candidates")  # before the texts are shuffled once more
     met = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_d"]) & (docs["_th"] == dropped["_t"]), "left").drop("_d", "_t", "_th")
     split = met.withColumn("_lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))
