@@ -65,6 +65,8 @@ def brute_matches(items, text):
     found = {}
     for i, w in toks.items():
         width, mine = min(5, len(w)), Counter(shingle(w, min(5, len(w))))
+        if not set(mine) & set(shingle(words, width)):
+            continue  # nothing shared, similarity 0 everywhere
         for s in range(len(words) - len(w) + 1 if w else 0):
             win = Counter(shingle(words[s:s + len(w)], width))
             weight = lambda k: 1 / having[k] if k in having else 1.0
