@@ -98,6 +98,48 @@ def test_license_intervals(spark, edge, nothing):
     assert len(licenses.rules()) > 300
 
 
+def matches_of(pattern):
+    """The least match of a pattern, and for each alternative and each optional part one match with it."""
+    def forms(tree):  # every choice on its own, the others at their least
+        parts = []
+        for kind, arg in tree:
+            if kind is parser.LITERAL:
+                parts.append([chr(arg)])
+            elif kind is parser.IN:
+                parts.append([chr(arg[0][1][0] if arg[0][0] is parser.RANGE else arg[0][1])])
+            elif kind is parser.NOT_LITERAL:
+                parts.append(["q"])
+            elif kind is parser.BRANCH:
+                parts.append([x for branch in arg[1] for x in forms(branch)])
+            elif kind is parser.SUBPATTERN:
+                parts.append(forms(arg[3]))
+            else:  # a repeated part: (least, most, tree)
+                inner = forms(arg[2])
+                parts.append([inner[0] * arg[0], *(x * max(arg[0], 1) for x in inner)])
+        least = [p[0] for p in parts]
+        return ["".join(least)] + ["".join([*least[:k], x, *least[k + 1:]]) for k, p in enumerate(parts) for x in p[1:]]
+    parser = re._parser
+    return list(dict.fromkeys(forms(parser.parse(pattern))))
+
+
+def test_every_rule_is_reached_by_a_match_alone(spark):
+    rules = licenses.rules()
+    texts, compiled = {}, [re.compile(r.pattern) for r in rules]
+    for rule, own in zip(rules, compiled):
+        made = matches_of(rule.pattern)
+        assert all(own.fullmatch(t) for t in made) and made
+        needed = [*licenses.literal_runs(rule.pattern), licenses.key_literal(rule), licenses.form_literal(rule)]
+        assert all(x in f" {t} " for t in made for x in needed), rule
+        texts |= dict.fromkeys([made[0], max(made, key=len)])
+    texts = [*texts, "Released under the GNU GPL.", "Distributed under the terms of the Apache 2.0", "FreeBSD"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.scan(docs).collect():
+        words = " ".join(re.findall("[a-z0-9]+", r.text.lower()))
+        best = next(rule for rule, own in zip(rules, compiled) if own.fullmatch(words))
+        assert [(d.start, d.end, d.label) for d in r.detections] == [(0, len(words.split()), best.label)], r.text
+        assert best.label in r.labels.split(",") and r.score == best.confidence
+
+
 # --- near duplicates ---------------------------------------------------------------------
 
 def brute_components(rows, width, threshold):
