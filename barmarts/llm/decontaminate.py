@@ -14,11 +14,16 @@ about 10 bits (standard deviation 3). Candidates are verified on the exact shing
 
 Items are taken to the workers in blocks of at most ``BLOCK_ITEMS`` items and
 ``BLOCK_BYTES`` of text, one pass over the documents per block, so no broadcast grows with
-the benchmark. Each document is judged in its own task; nothing is shuffled.
+the items. Weights come from the whole benchmark, whatever the block: shingles are counted
+once over all items, and those that several items hold go to every block with their counts
+(12 bytes each and their words; the only table that grows with the wording items share).
+Words have the same ids in every block. Each document is judged in its own task; documents
+are not shuffled.
 
 Defined results: null and empty texts match nothing; items without a word are skipped;
 very long texts are judged whole, in stretches around matching shingles; repeated rows are
-judged one by one; ties go to the least start; an empty table (either side) gives no match;
+judged one by one; ties go to the least start; of several texts under one item_id the best
+match counts; an empty table (either side) gives no match;
 other columns pass through, a column named ``matches`` is replaced.
 """
 
@@ -26,7 +31,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from hashlib import blake2b
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,32 +83,45 @@ def signed_bits(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 class _Known(dict):
-    """Ids of known words; 0 for the others."""
+    """Ids of known words, the same in every block; 0 for the others."""
 
     def __missing__(self, word: str) -> int:
         return 0
 
+    def learn(self, words: list[str]) -> np.ndarray:
+        for w in words:
+            if w not in self:
+                self[w] = int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "little") >> 1 or 1
+        return np.array([self[w] for w in words], dtype=np.int64)
+
+
+class Shared:
+    """Shingles that several items of the whole benchmark hold: words, keys and numbers of items."""
+
+    def __init__(self, rows: Iterable[tuple[str, int]]):
+        self.words, having = _Known(), {}
+        for shingle, n in rows:
+            ids = self.words.learn(shingle.split(" "))
+            having[int(shingle_keys(ids, len(ids))[0])] = n
+        self.keys = np.array(sorted(having), dtype=np.uint64)
+        self.n_items = np.array([having[k] for k in self.keys.tolist()], dtype=np.int32)
+
 
 class ItemBlock:
     """Items of one block: word ids, shingle weights, fingerprints and the block index."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.words = _Known()
-        rows = [(i, words_of((t or "").lower())) for i, t in items]
-        for _, ws in rows:
-            for w in ws:
-                if w not in self.words:
-                    self.words[w] = len(self.words) + 1
+    def __init__(self, items: list[tuple[int, str]], shared: Shared):
+        self.words = _Known(shared.words)
         by_size: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
-        having: Counter = Counter()
-        for item, ws in rows:
-            if ws:
-                ids = np.array([self.words[w] for w in ws], dtype=np.int64)
-                keys = shingle_keys(ids, min(WIDTH, len(ws)))
-                having.update(set(keys.tolist()))
-                by_size[len(ws)].append((item, keys))
-        self.known = np.array(sorted(having), dtype=np.uint64)
-        self.weight = np.array([1.0 / having[k] for k in self.known.tolist()])
+        held: set[int] = set()
+        for item, text in items:
+            ids = self.words.learn(words_of((text or "").lower()))
+            if len(ids):
+                keys = shingle_keys(ids, min(WIDTH, len(ids)))
+                held.update(keys.tolist())
+                by_size[len(ids)].append((item, keys))
+        self.known = np.array(sorted(held), dtype=np.uint64)
+        self.shared, self.weight = shared.keys, 1.0 / shared.n_items
         near = np.array([[bin(a ^ b).count("1") <= RADIUS // 8 for b in range(256)] for a in range(256)])
         self.sizes = {}
         for n, group in by_size.items():
@@ -112,10 +131,10 @@ class ItemBlock:
             self.sizes[n] = ([i for i, _ in group], [Counter(k.tolist()) for _, k in group], blocks.view(np.uint64)[:, 0], index)
 
     def weights(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.known):
+        if not len(self.shared):
             return np.ones(len(keys))
-        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
-        return np.where(self.known[at] == keys, self.weight[at], 1.0)
+        at = np.minimum(np.searchsorted(self.shared, keys), len(self.shared) - 1)
+        return np.where(self.shared[at] == keys, self.weight[at], 1.0)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
@@ -147,7 +166,7 @@ class ItemBlock:
                 continue
             weight = self.weights(keys)
             shared = np.concatenate([[0.0], np.cumsum(np.where(known, weight, 0.0))])
-            foreign = np.concatenate([[0], np.cumsum(~known)])
+            foreign = np.concatenate([[0.0], np.cumsum(np.where(known, 0.0, weight))])
             for n in self.sizes:
                 span = n - width + 1  # shingles in a window
                 if min(WIDTH, n) != width or len(ids) < n:
@@ -176,13 +195,42 @@ class ItemBlock:
             order = np.lexsort((w, far))
             order = order[far[order] <= RADIUS]
             for s, i in zip(run[w[order]].tolist(), i[order].tolist()):
-                if items[i] in best and best[items[i]][0] >= 1 and best[items[i]][1] <= s:
+                if items[i] in best and best[items[i]][0] >= 1 and best[items[i]][1] < s:
                     continue
                 value = self.similarity(keys[s:s + span], counts[i])
-                if value >= SIMILARITY - 1e-12 and (items[i] not in best or (-value, s) < (-best[items[i]][0], best[items[i]][1])):
+                if value >= SIMILARITY - 1e-12 and (items[i] not in best or _order((value, s, n)) < _order(best[items[i]])):
                     best[items[i]] = (value, s, n)
 
 
+def _order(found: tuple[float, int, int]) -> tuple[float, int, int]:
+    return -found[0], found[1], found[2]
+
+
+def merged(found: list[dict], more: list[dict]) -> list[dict]:
+    """The matches of two blocks: the best of each item."""
+    best: dict[int, dict] = {}
+    for m in [*found, *more]:
+        rank = _order((m["similarity"], m["start_word"], m["n_words"]))
+        old = best.get(m["item_id"])
+        if old is None or rank < _order((old["similarity"], old["start_word"], old["n_words"])):
+            best[m["item_id"]] = m
+    return [best[i] for i in sorted(best)]
+
+
+def shared_shingles(benchmark: DataFrame) -> DataFrame:
+    """(shingle, n): the shingles that ``n`` > 1 items of the whole benchmark hold, words joined by blanks."""
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([" ".join(words_of((t.as_py() or "").lower())) for t in batch.column(0)], pa.string())], names=["words"])
+
+    items = benchmark.where("item_id IS NOT NULL").select("text").mapInArrow(joined, "words string").where("words <> ''")
+    words = F.col("w")
+    width = F.least(F.lit(WIDTH), F.size(words))
+    each = F.transform(F.sequence(F.lit(1), F.size(words) - width + 1), lambda i: F.array_join(F.slice(words, i, width), " "))
+    return (items.select(F.split("words", " ").alias("w")).select(F.explode(F.array_distinct(each)).alias("shingle"))
+            .groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+
+
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Blocks of items, at most BLOCK_ITEMS items and BLOCK_BYTES of text each (one item at least)."""
     block, held = [], 0
@@ -203,15 +251,16 @@ def with_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs.drop("matches").withColumn("matches", F.array().cast(MATCH))
     spark = docs.sparkSession
     ship_package(spark)
+    counted = spark.sparkContext.broadcast(Shared((r.shingle, r.n) for r in shared_shingles(benchmark).toLocalIterator()))
     for block in item_blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
         text, found = out.columns.index("text"), out.columns.index("matches")
         schema = T.StructType([*out.drop("matches").schema.fields, T.StructField("matches", MATCH)])
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, text=text, found=found) -> Iterator[pa.RecordBatch]:
-            items = ItemBlock(shared.value)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, counted=counted, text=text, found=found) -> Iterator[pa.RecordBatch]:
+            items = ItemBlock(shared.value, counted.value)
             for batch in batches:
-                rows = [[*(m.as_py() or []), *items.matches(t.as_py())] for t, m in zip(batch.column(text), batch.column(found))]
+                rows = [merged(m.as_py() or [], items.matches(t.as_py())) for t, m in zip(batch.column(text), batch.column(found))]
                 columns = [c for k, c in enumerate(batch.columns) if k != found]
                 names = [c for k, c in enumerate(batch.schema.names) if k != found]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, ARROW_MATCH)], names=[*names, "matches"])

@@ -108,6 +108,26 @@ def test_item_blocks(spark, monkeypatch):
     assert [len(b) for b in parts] == [3, 3, 1] and all(r.n >= 1 for r in whole)
 
 
+def test_matches_do_not_depend_on_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 3))
+    passage = [word() for _ in range(20)]
+    items = [(k, " ".join([*passage, *(word() for _ in range(20 + k % 3))])) for k in range(7)] + [(2, " ".join(word() for _ in range(30)))]
+    docs = []
+    for k, (_, t) in enumerate(items):
+        w = t.split()
+        docs += [(k, " ".join([word(), *w, word()])), (10 + k, " ".join([*w[:30], word(), *w[31:]])),  # an own word changed
+                 (20 + k, " ".join([*w[:9], word(), *w[10:]])), (30 + k, " ".join([*w[4:], *items[k - 1][1].split()[:12]]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    found = lambda: {r.doc_id: [tuple(m) for m in r.matches] for r in decontaminate.with_matches(frame, bench).collect()}
+    whole = found()
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 3)
+    assert found() == whole and sum(map(len, whole.values())) >= 16
+    assert {d: {i: (round(v, 9), s) for i, s, _, v in m} for d, m in whole.items() if d % 10 not in (2, 7)} == {
+        d: {i: m for i, m in brute_matches([*items[:7], (99, items[7][1])], t).items() if i != 99} for d, t in docs if d % 10 not in (2, 7)}
+
+
 # --- sharding ----------------------------------------------------------------------------
 
 def test_table_is_balanced_and_stable():
