@@ -2,8 +2,9 @@
 
 Words are runs of letters and digits, lower-cased. A window of a document has as many words
 as the item it may hold (``n``); its shingles are its 5-word runs (the whole item where it
-has fewer words). The weight of a shingle is 1 / (number of items with it), so wording that
-many items share counts less; shingles of no item weigh 1. A window matches an item if
+has fewer words). The weight of a shingle is 1 / (number of different items with it; items of
+equal words count once), so wording that many items share counts less; shingles of no item
+weigh 1, so an edit inside shared wording costs more than its share. A window matches an item if
 sum(w * min(count)) >= 0.8 * sum(w * max(count)) over both multisets.
 
 Method. Windows whose shingles are mostly shingles of some item (a bound that no match can
@@ -218,12 +219,13 @@ def merged(found: list[dict], more: list[dict]) -> list[dict]:
 
 
 def shared_shingles(benchmark: DataFrame) -> DataFrame:
-    """(shingle, n): the shingles that ``n`` > 1 items of the whole benchmark hold, words joined by blanks."""
+    """(shingle, n): the shingles that ``n`` > 1 different items of the whole benchmark hold, words joined
+    by blanks. Items of equal words count once: a repeated item must not get harder to match."""
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([" ".join(words_of((t.as_py() or "").lower())) for t in batch.column(0)], pa.string())], names=["words"])
 
-    items = benchmark.where("item_id IS NOT NULL").select("text").mapInArrow(joined, "words string").where("words <> ''")
+    items = benchmark.where("item_id IS NOT NULL").select("text").mapInArrow(joined, "words string").where("words <> ''").distinct()
     words = F.col("w")
     width = F.least(F.lit(WIDTH), F.size(words))
     each = F.transform(F.sequence(F.lit(1), F.size(words) - width + 1), lambda i: F.array_join(F.slice(words, i, width), " "))

@@ -108,6 +108,16 @@ def test_item_blocks(spark, monkeypatch):
     assert [len(b) for b in parts] == [3, 3, 1] and all(r.n >= 1 for r in whole)
 
 
+@pytest.mark.parametrize("copies", [1, 2, 10])
+def test_one_word_edit_of_a_repeated_item(spark, copies):
+    words = [f"w{k}" for k in range(50)]
+    items = [(k, (" ".join(words), ", ".join(words).upper())[k % 2]) for k in range(copies)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(["a", *words[:25], "edit", *words[26:], "b"]))], "doc_id long, text string")
+    found = decontaminate.with_matches(docs, bench).first().matches
+    assert [(m.item_id, m.start_word, round(m.similarity, 9)) for m in found] == [(k, 1, round(41 / 51, 9)) for k in range(copies)]
+
+
 def test_matches_do_not_depend_on_blocks(spark, monkeypatch):
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("abcdefgh"), 3))
