@@ -30,7 +30,7 @@ URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "bl
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_lm.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    return url_lm.judge(pages, URL_RULES, whole=True).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,11 +17,15 @@ task), suffix counts come from the windows, and each URL joins its positions to
 windows' ratios. The model is a table and grows with the input; only the calibration
 histogram (at most 801 rows per class) reaches the driver.
 
+With ``whole`` (``op2_url_filter``) the models train on and score the whole URL, scheme, query
+and fragment included, and every row counts, in the window counts and in the calibration.
+Without it they read host + path, each distinct one once. Rules read host and path only.
+
 Rules: a rule ``host/path`` fits its host and all subdomains if the URL's path starts with
 the rule's path; the longest fitting rule decides, else the models do.
 
 Defined results: a null URL or one without ``://`` has empty host and path, no rule, and
-the score of the empty text; very long URLs are scored whole; repeated rows are judged one
+the score of the empty text (with ``whole``, the score of what is there); very long texts are scored to their end; repeated rows are judged one
 by one; with no accepted or no rejected training URL every score is 0 and the verdict is
 allow; an empty table gives an empty result; other columns pass through, columns named like
 a result column are replaced.
@@ -70,10 +74,10 @@ def windows_of(text: Column, order: int) -> Column:
 def window_ratios(train: DataFrame, windows: DataFrame, order: int, ws: Workspace) -> DataFrame:
     """(win, ratio): log P(last character | rejected) - log P(... | accepted) for ``windows``.
 
-    ``train`` has text and rejected (boolean); ``windows`` the distinct windows to score.
+    ``train`` has text, rejected (boolean) and copies; ``windows`` the distinct windows to score.
     """
-    seen = (train.select("rejected", F.explode(windows_of(F.col("text"), order)).alias("win"))
-            .groupBy("win").agg(F.count_if(F.col("rejected")).alias("r"), F.count_if(~F.col("rejected")).alias("a")))
+    seen = (train.select("rejected", "copies", F.explode(windows_of(F.col("text"), order)).alias("win"))
+            .groupBy("win").agg(*_sides()))
     suffix = F.transform(F.sequence(F.lit(0), F.lit(order)), lambda k: F.struct(
         k.alias("k"), F.substring("win", order + 1 - k, k + 1).alias("gram")))
     grams = ws.store(seen.select("r", "a", F.explode(suffix).alias("x")).groupBy("x.k", "x.gram")
@@ -96,10 +100,16 @@ def window_ratios(train: DataFrame, windows: DataFrame, order: int, ws: Workspac
     return by_order.select("win", (log_likelihood("r", "nr", "tr") - log_likelihood("a", "na", "ta")).alias("ratio"))
 
 
+def _sides() -> list[Column]:
+    """Copies of rejected (r) and accepted (a) rows."""
+    return [F.sum(F.when(side, F.col("copies")).otherwise(0)).alias(name)
+            for name, side in (("r", F.col("rejected")), ("a", ~F.col("rejected")))]
+
+
 def calibrate(scored: DataFrame) -> float:
-    """Threshold with the highest balanced accuracy over ``scored`` (score, rejected)."""
-    binned = scored.select("rejected", F.round(F.greatest(F.lit(-8.0), F.least(F.lit(8.0), "score")) / 0.02).cast("int").alias("bin"))
-    rows = binned.groupBy("bin").agg(F.count_if(F.col("rejected")).alias("r"), F.count_if(~F.col("rejected")).alias("a")).orderBy("bin").collect()
+    """Threshold with the highest balanced accuracy over ``scored`` (score, rejected, copies)."""
+    binned = scored.select("rejected", "copies", F.round(F.greatest(F.lit(-8.0), F.least(F.lit(8.0), "score")) / 0.02).cast("int").alias("bin"))
+    rows = binned.groupBy("bin").agg(*_sides()).orderBy("bin").collect()
     n_r, n_a = sum(x.r for x in rows), sum(x.a for x in rows)
     if not n_r or not n_a:
         return 0.0
@@ -116,13 +126,17 @@ def calibrate(scored: DataFrame) -> float:
     return (low + high) / 2 * 0.02
 
 
-def judge(pages: DataFrame, rules: dict[str, str], url: str = "url", key: str = "page_id", order: int = ORDER) -> DataFrame:
+def judge(pages: DataFrame, rules: dict[str, str], url: str = "url", key: str = "page_id", order: int = ORDER,
+          whole: bool = False) -> DataFrame:
     """``pages`` with host, path, rule, score and verdict; the models learn from the URLs that a rule decides."""
     ws = Workspace(pages.sparkSession, "url-lm")
     rule, by_rule = rule_columns(rules)
-    parted = with_host_and_path(pages, url).withColumns({"rule": rule, "_by_rule": by_rule}).withColumn("_text", F.concat("host", "path"))
+    # the URL is taken first: host and path replace columns of these names
+    parted = (with_host_and_path(pages.withColumn("_url", F.coalesce(F.col(url), F.lit(""))), url)
+              .withColumns({"rule": rule, "_by_rule": by_rule})
+              .withColumn("_text", F.col("_url") if whole else F.concat("host", "path")).drop("_url"))
     texts = ws.store(parted.select(F.col("_text").alias("text"), (F.col("_by_rule") == "block").alias("rejected"))
-                     .groupBy("text", "rejected").agg(F.count(F.lit(1)).alias("copies")), "texts")
+                     .groupBy("text", "rejected").agg((F.count(F.lit(1)) if whole else F.lit(1).cast("long")).alias("copies")), "texts")
     labelled = texts.where("rejected IS NOT NULL")
     held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
     train = labelled.where(~held)
@@ -132,7 +146,7 @@ def judge(pages: DataFrame, rules: dict[str, str], url: str = "url", key: str =
         windows = ws.store(places.groupBy("win").agg(F.count(F.lit(1)).alias("c")).select("win"), "windows")
         ratios = ws.store(window_ratios(train, windows, order, ws), "ratios")
         scores = ws.store(places.join(ratios, "win").groupBy("text").agg(F.avg("ratio").alias("score")), "scores")
-        threshold = calibrate(labelled.where(held).join(scores, "text").select("rejected", "score"))
+        threshold = calibrate(labelled.where(held).join(scores, "text").select("rejected", "copies", "score"))
     else:
         scores, threshold = texts.select("text").distinct().withColumn("score", F.lit(0.0)), 0.0
     out = parted.join(scores.withColumnRenamed("text", "_text"), "_text")

@@ -212,6 +212,22 @@ def test_url_scores_against_brute_force(spark):
         assert r.rule is None or r.verdict == URL_RULES[r.rule]
 
 
+def test_whole_urls_and_copies_count(spark):
+    urls = [f"http://{host}/{'en' if k % 2 else 'de'}/{k % 7}?q={k % 5}#{host[0]}" for k in range(24) for host in ("example.net", "a.net", "b.org")]
+    urls += urls[:3] * 9 + ["https://b.org/x", "https://b.org/x?q=casino", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = url_lm.judge(pages, URL_RULES, whole=True).withColumn("held", F.pmod(F.xxhash64(F.coalesce("url", F.lit(""))), F.lit(5)) == 0)
+    no_python(out)
+    rows = {r.page_id: r for r in out.collect()}
+    train = [(r.url, int(URL_RULES[r.rule] == "block")) for r in rows.values() if r.rule and not r.held]  # every row
+    assert len(rows) == len(urls) and len(train) > len(set(train)) and len({k for _, k in train}) == 2
+    for r in rows.values():
+        assert r.score == pytest.approx(brute_ratio(train, r.url or "", url_lm.ORDER), abs=1e-9)
+    assert rows[len(urls) - 3].score != rows[len(urls) - 2].score  # they differ in the query only
+    scored = spark.createDataFrame([(0.1, False, 1), (0.3, True, 1), (0.5, False, 8), (0.7, True, 3)], "score double, rejected boolean, copies long")
+    assert 0.5 < url_lm.calibrate(scored) < 0.7  # one row each, 0.1 to 0.3 would be as good
+
+
 def test_url_parts_and_rules(spark):
     urls = [None, "", "nope", "http://A.Example.NET/en/x?y#z", "https://example.net?q", "ftp://x.org/fr/1", "http://example.com/de/", "http://myexample.com/de/", "http://ü.net/", "http://a.net/" + "x" * 50_000]
     pages = spark.createDataFrame(list(enumerate(urls)) + [(1, "")], "page_id long, url string").withColumn("verdict", F.lit("clash"))
