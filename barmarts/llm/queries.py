@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmarts.llm import bpe, decontaminate, langid, licenses, line_dedup, minhash, quality, sharding, toxicity, url_lm
+from barmarts.llm import bpe, decontaminate, langid, licenses, line_dedup, minhash, quality, repair, sharding, toxicity, url_lm
 from barmarts.llm.common import id_fold
 from barmarts.sources.tables import read_table
 
@@ -78,10 +78,16 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.with_digest(repair.repair(repair.damage(rows))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_url_filter, op3_decontamination, op4_sharding, op5_bpe, op6_language_id, op7_quality_rules, op8_line_dedup,
-        op9_license_scan, op10_minhash_dedup)}
+        op9_license_scan, op10_minhash_dedup, op11_conversation_repair)}
 
 
 OP7_SQL = r"""
