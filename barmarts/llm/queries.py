@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmarts.llm import bpe, decontaminate, langid, licenses, line_dedup, minhash, quality, repair, sharding, toxicity, url_lm
+from barmarts.llm import bpe, decontaminate, langid, licenses, line_dedup, minhash, quality, repair, sharding, tokalign, toxicity, url_lm
 from barmarts.llm.common import id_fold
 from barmarts.sources.tables import read_table
 
@@ -84,10 +84,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokalign.read_files(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    return tokalign.score_links(read_table(spark, sf_dir, "documents").select("doc_id", "text"), files)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_url_filter, op3_decontamination, op4_sharding, op5_bpe, op6_language_id, op7_quality_rules, op8_line_dedup,
-        op9_license_scan, op10_minhash_dedup, op11_conversation_repair)}
+        op9_license_scan, op10_minhash_dedup, op11_conversation_repair, op12_token_alignment)}
 
 
 OP7_SQL = r"""
