@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmarts.llm import bpe, decontaminate, langid, licenses, line_dedup, minhash, quality, repair, sharding, tokalign, toxicity, url_lm
+from barmarts.llm import bpe, decontaminate, langid, licenses, line_dedup, minhash, quality, repair, sharding, substrings, tokalign, toxicity, url_lm
 from barmarts.llm.common import id_fold
 from barmarts.sources.tables import read_table
 
@@ -89,10 +89,15 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokalign.score_links(read_table(spark, sf_dir, "documents").select("doc_id", "text"), files)
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_url_filter, op3_decontamination, op4_sharding, op5_bpe, op6_language_id, op7_quality_rules, op8_line_dedup,
-        op9_license_scan, op10_minhash_dedup, op11_conversation_repair, op12_token_alignment)}
+        op9_license_scan, op10_minhash_dedup, op11_conversation_repair, op12_token_alignment, op13_substring_dedup)}
 
 
 OP7_SQL = r"""
