@@ -7,13 +7,13 @@ volume of ``"12x"`` fails the job with CAST_INVALID_INPUT instead of becoming NU
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barmarts.schemas import BRONZE, BRONZE_COLUMNS, VENDOR_RENAMES
 
+#: Column of the landing reader that holds a line of another length than the header.
+MALFORMED = "_malformed"
 # Values a vendor's second/third header line puts in the date column.
 HEADER_ROW_LABELS = ["Ticker", "Date", "Price"]
 
@@ -29,11 +29,16 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalise_name(c) for c in df.columns])
 
 
+def is_header_row(df: DataFrame, date_col: str = "price_date") -> Column:
+    """An extra header line of a two-level vendor file (typed dates have none)."""
+    if dict(df.dtypes).get(date_col) != "string":
+        return F.lit(False)
+    return F.coalesce(F.col(date_col).isin(HEADER_ROW_LABELS), F.lit(False))
+
+
 def drop_header_rows(df: DataFrame, date_col: str = "price_date") -> DataFrame:
-    """P1 for two-level vendor files read as CSV: drop the extra header lines (typed dates have none)."""
-    if dict(df.dtypes)[date_col] != "string":
-        return df
-    return df.where(~F.col(date_col).isin(HEADER_ROW_LABELS) | F.col(date_col).isNull())
+    """P1 for two-level vendor files read as CSV: drop the extra header lines."""
+    return df.where(~is_header_row(df, date_col))
 
 
 def rename_vendor_columns(df: DataFrame, renames: dict[str, str] = VENDOR_RENAMES) -> DataFrame:
@@ -87,10 +92,16 @@ def normalise_landing(df: DataFrame, source_provider: str | None = None,
                       ingested_at_utc: str | None = None, symbol: str | None = None,
                       tag_faults: bool = False) -> DataFrame:
     """P1-P6 composed. Lineage is stamped only when given (stored files already carry it).
-    ``tag_faults`` keeps rows whose values do not cast and names the column in ``_fault``."""
+    ``tag_faults`` keeps rows that do not fit and says why in ``_fault``: extra header lines
+    (``header_row``), lines of another length (``malformed_line``, their text in ``_line``), values
+    that do not cast. Without it, header lines are dropped and the others raise."""
     out = rename_vendor_columns(normalise_headers(df))
-    if "price_date" in out.columns:
-        out = drop_header_rows(out)
+    if not tag_faults:
+        if "price_date" in out.columns:
+            out = drop_header_rows(out)
+        if MALFORMED in out.columns:
+            out = out.where(F.when(F.col(MALFORMED).isNull(), True).otherwise(
+                F.raise_error(F.concat(F.lit("malformed line: "), F.col(MALFORMED))).cast("boolean")))
     if load_type is not None:
         out = stamp_lineage(out, source_provider, load_type, batch_id, ingested_at_utc, symbol)
     return (try_cast_to_bronze if tag_faults else cast_to_bronze)(require_columns(out))
@@ -98,7 +109,7 @@ def normalise_landing(df: DataFrame, source_provider: str | None = None,
 
 def try_cast_to_bronze(df: DataFrame) -> DataFrame:
     """P5 without raising: typed columns plus ``_fault``, naming the first column whose value
-    is there but does not cast (null if all do)."""
+    is there but does not cast (null if all do), and ``_line``, the text of a malformed line."""
     kinds, exprs, fault = dict(df.dtypes), [], F.lit(None).cast("string")
     for f in reversed(BRONZE.fields):
         raw = F.col(f.name)
@@ -108,7 +119,9 @@ def try_cast_to_bronze(df: DataFrame) -> DataFrame:
             c = raw.try_cast(f.dataType)
         exprs.insert(0, c.alias(f.name))
         fault = F.when(raw.isNotNull() & c.isNull(), F.lit(f"cast_failed:{f.name}")).otherwise(fault)
-    return df.select(*exprs, fault.alias("_fault"))
+    line = F.col(MALFORMED) if MALFORMED in df.columns else F.lit(None).cast("string")
+    fault = F.when(line.isNotNull(), "malformed_line").when(is_header_row(df), "header_row").otherwise(fault)
+    return df.select(*exprs, fault.alias("_fault"), line.alias("_line"))
 
 
 def newest_bar_per_symbol(df: DataFrame, symbol: str = "symbol", date: str = "price_date") -> DataFrame:
@@ -127,7 +140,3 @@ def history_since(df: DataFrame, start: str, date: str = "price_date") -> DataFr
     """bars on or after the configured start date (pushed to the scan)."""
     return df.where(F.col(date) >= F.to_date(F.lit(start)))
 
-
-def union_batches(*dfs: DataFrame) -> DataFrame:
-    """U1."""
-    return reduce(lambda a, b: a.unionByName(b), dfs)

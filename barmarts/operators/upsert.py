@@ -5,12 +5,14 @@ are inserted. Parquet tables have no row-level MERGE, so the primary form is
 ``target LEFT ANTI JOIN batch_keys UNION ALL batch``. ``merge_into`` emits the MERGE
 statement for catalogs whose tables support it.
 
-``upsert_into_path`` keeps Bronze as parquet folders by month. An upsert never touches a
-file that readers may be using: it merges the months of the batch with their current
-folders, writes the result to a new data folder, and then publishes one small manifest
-(month -> folder) by creating the next numbered file. A stop before that file exists leaves
-the table as it was; a writer that finds the number taken by another one merges again on
-the newer state. Months the batch does not touch keep their folders.
+``upsert_into_path`` keeps Bronze as Parquet folders by month, for one writer at a time. It
+merges the months of the batch with their current folders into a new version folder and then
+replaces one small pointer file (month -> folder) by an atomic rename. Readers that come before
+see the old rows, later ones the new; a stop in between leaves the table as it was. Months that
+the batch does not touch keep their folders, and folders replaced by the update before are
+removed, so a reader has until the next update. Two concurrent writers are refused where the
+second sees the pointer change; tables that several jobs write belong in a catalog with
+row-level operations (``merge_into``).
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from barmarts.schemas import BRONZE, BRONZE_COLUMNS, KEY
 from barmarts.session import shared_dir
 
 MONTH = "price_month"
+POINTER = "CURRENT.json"
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str] = KEY) -> DataFrame:
@@ -62,85 +65,67 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _manifest(spark: SparkSession, path: str) -> tuple[int, dict]:
-    """Number and content of the newest published manifest; (0, empty) for a new table."""
-    p, fs = _fs(spark, f"{path}/_manifests")
-    numbers = [int(st.getPath().getName()) for st in fs.listStatus(p)
-               if st.getPath().getName().isdigit()] if fs.exists(p) else []
-    if not numbers:
-        return 0, {"months": {}, "applied": {}}
-    text = spark.read.option("wholetext", True).text(f"{path}/_manifests/{max(numbers):012d}").first()[0]
-    return max(numbers), json.loads(text)
+def read_pointer(spark: SparkSession, path: str) -> dict:
+    """months: month -> folder; streams: stream -> last batch written; retired: folders that the
+    last update replaced. Empty for a new table."""
+    p, fs = _fs(spark, f"{path}/{POINTER}")
+    if not fs.exists(p):
+        return {"months": {}, "streams": {}, "retired": []}
+    return json.loads(spark.read.option("wholetext", True).text(f"{path}/{POINTER}").first()[0])
 
 
-def _publish(spark: SparkSession, path: str, number: int, manifest: dict) -> bool:
-    """Create manifest ``number``; False if another writer was first. The content is written
-    under a private name and renamed, so a half-written manifest is never seen."""
-    own, fs = _fs(spark, f"{path}/_manifests/.{uuid.uuid4().hex}")
-    final, _ = _fs(spark, f"{path}/_manifests/{number:012d}")
-    fs.mkdirs(final.getParent())
+def _replace_pointer(spark: SparkSession, path: str, pointer: dict) -> None:
+    """Write the pointer beside and rename it over the old one (atomic on HDFS and local disks)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    own, fs = _fs(spark, f"{path}/.{uuid.uuid4().hex}.json")
     out = fs.create(own, True)
-    out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    out.write(bytearray(json.dumps(pointer, sort_keys=True).encode()))
     out.close()
-    if fs.exists(final) or not fs.rename(own, final):
-        fs.delete(own, False)
-        return False
-    return True
+    own, final = fs.makeQualified(own), fs.makeQualified(_fs(spark, f"{path}/{POINTER}")[0])
+    overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), conf).rename(own, final, overwrite)
 
 
 def _read_months(spark: SparkSession, path: str, months: dict[str, str]) -> DataFrame:
     if not months:
         return spark.createDataFrame([], BRONZE)
     return (spark.read.schema(BRONZE).option("recursiveFileLookup", True)
-            .parquet(*[f"{path}/data/{folder}/{MONTH}={m}" for m, folder in sorted(months.items())]).select(*BRONZE_COLUMNS))
+            .parquet(*[f"{path}/{folder}/{MONTH}={m}" for m, folder in sorted(months.items())]).select(*BRONZE_COLUMNS))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The published state of the table at ``path`` (a plain parquet folder is read as it is)."""
-    number, manifest = _manifest(spark, path)
-    if not number:
-        return spark.read.parquet(path).select(*BRONZE_COLUMNS)
-    return _read_months(spark, path, manifest["months"])
+    """The current rows of the table at ``path`` (a plain Parquet folder is read as it is)."""
+    months = read_pointer(spark, path)["months"]
+    return _read_months(spark, path, months) if months else spark.read.parquet(path).select(*BRONZE_COLUMNS)
 
 
 def upsert_into_path(spark: SparkSession, path: str, batch: DataFrame, keys: list[str] = KEY,
                      token: tuple[str, int] | None = None) -> DataFrame:
     """Upsert ``batch`` into the table at ``path`` and return its new state.
 
-    ``token``: (stream, batch number) of a replayable unit of work. A number that this
-    stream has already published is skipped, so a replay after other upserts neither loses
-    nor reverts a row; one that was not published is merged with the current state.
-    Only the batch's months (bounded by the calendar) are listed on the driver.
+    ``token``: (stream, batch number) of a replayable unit of work; one that the pointer already
+    holds is skipped, so a replay after other updates neither loses nor reverts a row. Only the
+    batch's months (bounded by the calendar) are listed on the driver.
     """
+    before = read_pointer(spark, path)
+    if token is not None and before["streams"].get(token[0], -1) >= token[1]:
+        return read_bronze(spark, path)
     stored = shared_dir(spark, "upsert-batch")
     _with_month(batch.select(*BRONZE_COLUMNS)).write.parquet(stored)
     batch = spark.read.parquet(stored)
     touched = [r[0] for r in batch.select(MONTH).distinct().collect()]
-    while True:
-        number, manifest = _manifest(spark, path)
-        if token is not None and manifest["applied"].get(token[0], -1) >= token[1]:
-            break
-        current = _read_months(spark, path, {m: manifest["months"][m] for m in touched if m in manifest["months"]})
-        version = uuid.uuid4().hex
-        merged = upsert(current, batch.select(*BRONZE_COLUMNS), keys)
-        _by_month(_with_month(merged)).write.partitionBy(MONTH).parquet(f"{path}/data/{version}")
-        applied = dict(manifest["applied"])
-        if token is not None:
-            applied[token[0]] = token[1]
-        new = {"base": number, "months": {**manifest["months"], **dict.fromkeys(touched, version)}, "applied": applied}
-        if _publish(spark, path, number + 1, new):
-            break
-    p, fs = _fs(spark, stored)
-    fs.delete(p, True)
+    current = _read_months(spark, path, {m: before["months"][m] for m in touched if m in before["months"]})
+    version = f"v-{uuid.uuid4().hex}"
+    merged = upsert(current, batch.select(*BRONZE_COLUMNS), keys)
+    _by_month(_with_month(merged)).write.partitionBy(MONTH).parquet(f"{path}/{version}")
+    if read_pointer(spark, path) != before:
+        raise RuntimeError(f"another writer changed {path}; this table takes one writer at a time")
+    _replace_pointer(spark, path, {
+        "months": {**before["months"], **dict.fromkeys(touched, version)},
+        "streams": {**before["streams"], **(dict([token]) if token is not None else {})},
+        "retired": [f"{before['months'][m]}/{MONTH}={m}" for m in touched if m in before["months"]]})
+    for old in [stored, *(f"{path}/{folder}" for folder in before["retired"])]:
+        p, fs = _fs(spark, old)
+        fs.delete(p, True)
     return read_bronze(spark, path)
-
-
-def vacuum(spark: SparkSession, path: str) -> int:
-    """Delete data folders that the newest manifest does not name; returns their number.
-    Run it when no reader of an older state and no writer is at work."""
-    _, manifest = _manifest(spark, path)
-    p, fs = _fs(spark, f"{path}/data")
-    old = [st.getPath() for st in fs.listStatus(p) if st.getPath().getName() not in set(manifest["months"].values())]
-    for folder in old:
-        fs.delete(folder, True)
-    return len(old)

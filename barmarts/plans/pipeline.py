@@ -7,14 +7,16 @@ Catalyst and AQE plan each mart across the whole chain.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barmarts.operators import gold
 from barmarts.operators.normalise import newest_bar_per_symbol, normalise_landing
-from barmarts.operators.quality import (GateError, enforce_gates, missing_symbols, split_rejects,
+from barmarts.operators.observed import batch_metrics, judge, observed, store_observed
+from barmarts.operators.quality import (GateError, duplicate_row_count, enforce_gates, missing_symbols, split_rejects,
                                         union_reports, unique_report, value_report)
 from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, DEFAULT_PROVIDER,
                               DEFAULT_UNIVERSE, LOAD_TYPES, LONG_TERM_COLUMNS,
@@ -22,7 +24,7 @@ from barmarts.schemas import (ALERT_COLUMNS, ALERT_SEVERITIES, ALERT_TYPES, DEFA
                               SILVER_COLUMNS, SILVER_NULLABLE)
 from barmarts.operators.silver import silver
 from barmarts.operators.upsert import upsert_into_path
-from barmarts.session import shared_dir
+from barmarts.session import delete_folder, shared_dir
 from barmarts.sources.landing import materialise
 
 
@@ -50,29 +52,32 @@ def build_marts(bronze: DataFrame, split_by: str | None = "month", audit: bool =
     )
 
 
-def materialise_marts(spark: SparkSession, bronze: DataFrame, root: str,
-                      split_by: str | None = "month") -> dict[str, DataFrame]:
+def materialise_marts(spark: SparkSession, bronze: DataFrame, root: str, split_by: str | None = "month",
+                      store: Callable[..., DataFrame] | None = None) -> dict[str, DataFrame]:
     """S6 for every model: Silver first, then the marts read the written Silver and the
     written month-by-month table (written tables cut lineage and survive executor loss).
 
+    ``store(df, name, sort_by)`` writes a model; the default replaces a folder under ``root``,
+    ``sources.published.publisher`` publishes through the catalog, so that a stop or a reader in
+    the middle of a rebuild sees whole tables only.
+
     The Bronze key check (Q9) runs first: the one-pass marts and the reference's join
     forms agree only on unique keys, so duplicates refuse the build before any write."""
     dup = unique_report(bronze, "bronze", ["symbol", "price_date"], "composite_key").first()
     if dup.failed_rows:
         raise GateError(f"Bronze has {dup.failed_rows} duplicated (symbol, price_date) keys")
-    s = materialise(silver(bronze, split_by=split_by, audit=True), f"{root}/silver",
-                    sort_by=["symbol", "price_date"])
+    put = store or (lambda df, name, sort_by=None: materialise(df, f"{root}/{name}", sort_by=sort_by))
+    s = put(silver(bronze, split_by=split_by, audit=True), "silver", ["symbol", "price_date"])
     base = s.drop("silver_created_at_utc")
-    monthly = materialise(gold._audit(gold.monthly_performance(base), True), f"{root}/monthly",
-                          sort_by=["symbol", "month_start_date"])
+    monthly = put(gold._audit(gold.monthly_performance(base), True), "monthly", ["symbol", "month_start_date"])
     m = monthly.drop("gold_created_at_utc")
     return {
         "silver": s,
         "monthly": monthly,
-        "long_term": materialise(gold.long_term_performance(base, audit=True), f"{root}/long_term"),
-        "market_summary": materialise(gold.monthly_market_summary(m, audit=True), f"{root}/market_summary"),
-        "risk": materialise(gold.risk_summary(m, audit=True), f"{root}/risk"),
-        "alerts": materialise(gold.alert_candidates(m, audit=True), f"{root}/alerts"),
+        "long_term": put(gold.long_term_performance(base, audit=True), "long_term"),
+        "market_summary": put(gold.monthly_market_summary(m, audit=True), "market_summary"),
+        "risk": put(gold.risk_summary(m, audit=True), "risk"),
+        "alerts": put(gold.alert_candidates(m, audit=True), "alerts"),
     }
 
 
@@ -84,27 +89,34 @@ def historical_load(spark: SparkSession, landed: DataFrame, table_path: str, sou
 
     Duplicate keys among the rows that typed well refuse the whole batch before anything is
     written. A symbol with a value that does not cast, or a required value missing, is
-    rejected with its rows; the other symbols load. Returns the report: the rejected rows
-    with ``reject_reason``, and one row per symbol of ``universe`` that returned nothing.
+    rejected with its rows, as is one with a line of another length than the header; the other
+    symbols load. Returns the report: the rejected rows with ``reject_reason`` (and file and text
+    of malformed lines in ``_line``), extra header lines, and one row per symbol of ``universe``
+    that returned nothing.
     """
     batch = normalise_landing(landed, source_provider, "historical", batch_id, ingested_at_utc, tag_faults=True)
     if start_date is not None:
         batch = batch.where(F.col("price_date").isNull() | (F.col("price_date") >= F.to_date(F.lit(start_date))))
-    # The tagged rows are written once to the shared folder; gate, split and report read them
-    # from there (no recomputation, lineage cut).
-    stored = shared_dir(spark, "backfill", batch_id)
-    batch.write.parquet(f"{stored}/typed")
-    typed = spark.read.schema(batch.schema).parquet(f"{stored}/typed")
-    enforce_gates(typed.where("_fault IS NULL").drop("_fault"), required=None)  # Q11, Q14
-    split_rejects(typed, policy="historical", fault="_fault").write.parquet(f"{stored}/split")
-    tagged = spark.read.parquet(f"{stored}/split")
-    good = tagged.where(F.col("status") == "accepted").drop("status", "reject_reason")
-    if not good.isEmpty():
-        upsert_into_path(spark, table_path, good)
+    # The tagged rows are written once to the shared folder, measured by that write; gate, split
+    # and report read them from there (the landing is read once, lineage cut).
+    stored, fault = shared_dir(spark, "backfill", batch_id), F.col("_fault")
+    typed, seen = store_observed(batch, f"{stored}/typed", **batch_metrics(batch, sound=fault.isNull()))
+    judge(seen, nulls=False)  # Q14; missing values reject their symbol below
+    extra = duplicate_row_count(typed.where(fault.isNull())).first()["duplicate_rows"]
+    if extra:  # Q11
+        raise GateError(f"landing batch refused: no_duplicate_keys={extra}")
+    # an extra header line belongs to no symbol's rows: it is reported, and rejects nothing else
+    header = F.coalesce(fault == "header_row", F.lit(False))
+    split = split_rejects(typed.where(~header), policy="historical", fault="_fault").unionByName(
+        typed.where(header).drop("_fault").withColumns({"status": F.lit("rejected"), "reject_reason": F.lit("header_row")}))
+    tagged, counts = store_observed(split, f"{stored}/split", accepted=F.count_if(F.col("status") == "accepted"))
+    delete_folder(spark, f"{stored}/typed")
+    if counts["accepted"]:
+        upsert_into_path(spark, table_path, tagged.where(F.col("status") == "accepted"))
     report = tagged.where(F.col("status") == "rejected")
     if universe is None:
         return report
-    silent = missing_symbols(typed, universe)
+    silent = missing_symbols(tagged.where(F.col("reject_reason").isNull() | (F.col("reject_reason") != "header_row")), universe)
     return report.unionByName(silent.select("symbol", F.lit("rejected").alias("status"), F.lit("nothing_returned").alias("reject_reason")),
                               allowMissingColumns=True)
 
@@ -115,15 +127,30 @@ def incremental_load(spark: SparkSession, landed: DataFrame, table_path: str, un
 
     Only the newest bars are judged: an old bar that does not cast does not refuse the day,
     one among the newest does (a row whose date does not cast is refused too)."""
-    rows = normalise_landing(landed, source_provider, "incremental", batch_id, ingested_at_utc, tag_faults=True)
-    newest = newest_bar_per_symbol(rows)
-    faults = newest.where("_fault IS NOT NULL").unionByName(rows.where("_fault = 'cast_failed:price_date'"))
-    bad = faults.select("symbol", "_fault").limit(1).collect()
+    batch, day, newest = newest_batch(normalise_landing(landed, source_provider, "incremental", batch_id, ingested_at_utc, tag_faults=True))
+    stored = shared_dir(spark, "incremental", batch_id)
+    batch, seen = store_observed(batch, f"{stored}/newest", **newest)  # the only pass over the landing
+    bad = day.get["bad_row"] or seen["bad_newest"]
     if bad:
-        raise GateError(f"landing batch refused: {bad[0]['symbol']}: {bad[0]['_fault']}")
-    batch = newest.drop("_fault")
-    enforce_gates(batch, universe)
-    return upsert_into_path(spark, table_path, batch)
+        raise GateError(f"landing batch refused: {bad}")
+    judge(seen)  # Q12, Q14
+    batch = batch.drop("_fault", "_line")
+    enforce_gates(batch, universe, required=None)  # Q11, Q13, over the few rows written
+    out = upsert_into_path(spark, table_path, batch)
+    delete_folder(spark, stored)
+    return out
+
+
+def newest_batch(rows: DataFrame) -> tuple[DataFrame, Observation, dict[str, Column]]:
+    """The newest bar of each symbol, with what is measured below it (``bad_row``: a row whose date
+    or line is broken) and what is to be measured of it."""
+    def first_fault(cond: Column) -> Column:
+        return F.max(F.when(cond, F.concat(F.coalesce("symbol", F.lit("?")), F.lit(": "), "_fault")))
+    fault = F.col("_fault")
+    rows, day = observed(rows.where(fault.isNull() | (fault != "header_row")),
+                         bad_row=first_fault(fault.isin("cast_failed:price_date", "malformed_line")))
+    newest = newest_bar_per_symbol(rows)
+    return newest, day, {**batch_metrics(newest), "bad_newest": first_fault(fault.isNotNull())}
 
 
 MART_NAMES = ["silver", "long_term", "monthly", "market_summary", "risk", "alerts"]

@@ -86,5 +86,6 @@ def shared_dir(spark: SparkSession, *parts: str, fresh: bool = True) -> str:
     return "/".join([root, *leaf])
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    return _checkpoint_root(spark)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

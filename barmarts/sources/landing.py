@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barmarts.operators.normalise import normalise_name
+from barmarts.operators.normalise import MALFORMED, normalise_name
 from barmarts.schemas import BRONZE, BRONZE_COLUMNS, DEFAULT_UNIVERSE
 
 HISTORICAL_PARTITIONS = ["symbol", "load_type"]
@@ -46,14 +46,27 @@ def _path_key(name: str) -> Column:
     raw = F.regexp_extract(F.col("_metadata.file_path"), f"/{name}=([^/]*)/", 1)
     for _ in range(2):  # folder names are escaped once, the file's URI once more
         raw = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-    return raw
+    return F.when(raw != "", raw)
 
 
-def _read_strings(spark: SparkSession, root: str) -> DataFrame:
+def _required_key(name: str) -> Column:
+    """The path key; a file whose path lacks it stops the read and is named."""
+    key = _path_key(name)
+    return F.when(key.isNotNull(), key).otherwise(
+        F.raise_error(F.concat(F.lit(f"no column and no folder {name}=<value> for "), F.col("_metadata.file_path"))).cast("string"))
+
+
+def _read_strings(spark: SparkSession, root: str, malformed: bool = False) -> DataFrame:
     """All landed files as text columns, matched to the header: a file whose header differs
-    from the others' (names or order) is refused instead of read by position."""
-    return (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-            .option("recursiveFileLookup", True).csv(root))
+    from the others' (names or order) is refused instead of read by position. With
+    ``malformed`` the text of lines that do not fit the header is kept in a column of its own."""
+    reader = (spark.read.option("header", True).option("enforceSchema", False)
+              .option("recursiveFileLookup", True))
+    if not malformed:
+        return reader.option("inferSchema", False).csv(root)
+    names = reader.option("inferSchema", False).csv(root).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    return reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False).csv(root)
 
 
 def read_landing(spark: SparkSession, root: str, layout: str = "auto") -> DataFrame:
@@ -67,25 +80,30 @@ def read_landing(spark: SparkSession, root: str, layout: str = "auto") -> DataFr
         missing = [c for c in BRONZE_COLUMNS if c not in header]
         if missing:
             raise ValueError(f"landed files lack columns: {missing}")
+    absent = [c for c in BRONZE_COLUMNS if c not in header and c not in INCREMENTAL_PARTITIONS]
+    if absent:
+        raise ValueError(f"landed files lack columns: {absent}")
     df = _read_strings(spark, root)
     cols = []
     for f in BRONZE.fields:
         if f.name in header and not (layout == "partitioned" and f.name in INCREMENTAL_PARTITIONS and f.name not in df.columns):
             raw = F.col(f.name)
         else:
-            raw = _path_key(f.name)
+            raw = _required_key(f.name)
         cols.append(raw.cast("decimal(38,10)").cast("bigint") if f.name == "volume" else raw.cast(f.dataType))
     return df.select(*[c.alias(f.name) for c, f in zip(cols, BRONZE.fields)])
 
 
 def read_vendor_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw vendor CSV with its own headers, all columns as strings (normalised by P1-P6);
-    ``symbol`` comes from the landing path where the files do not carry it."""
-    df = _read_strings(spark, path)
+    ``symbol`` comes from the landing path where the files do not carry it. Lines that do not fit
+    the header come along with their text and file, to be rejected (never read as NULLs)."""
+    df = _read_strings(spark, path, malformed=True)
+    where = F.concat_ws(": ", "_metadata.file_path", F.col(MALFORMED))
+    df = df.withColumn(MALFORMED, F.when(F.col(MALFORMED).isNotNull(), where))
     if any(normalise_name(c) == "symbol" for c in df.columns):
         return df
-    key = _path_key("symbol")
-    return df.withColumn("symbol", F.when(key != "", key))
+    return df.withColumn("symbol", _path_key("symbol"))
 
 
 def consolidate(spark: SparkSession, root: str, out: str, layout: str = "auto") -> DataFrame:

@@ -89,15 +89,15 @@ def test_top_k_limits_before_shuffle(spark):
 
 def test_upsert_rewrites_only_touched_months(spark):
     from pyspark.sql import functions as F
-    from barmarts.operators.upsert import _manifest, upsert_into_path
+    from barmarts.operators.upsert import read_pointer, upsert_into_path
     from barmarts.session import shared_dir
     from barmarts.sources.tables import bars_from_tables
     bars = bars_from_tables(spark, SF_SMALL)
     path = shared_dir(spark, "test-touched") + "/t"
     upsert_into_path(spark, path, bars)
-    before = _manifest(spark, path)[1]["months"]
+    before = read_pointer(spark, path)["months"]
     upsert_into_path(spark, path, bars.where(F.col("price_date") >= "2001-10-01"))
-    after = _manifest(spark, path)[1]["months"]
+    after = read_pointer(spark, path)["months"]
     assert set(after) == set(before) and {m for m in after if after[m] != before[m]} == {m for m in after if m >= "2001-10"}
 
 

@@ -232,20 +232,25 @@ def test_upsert_replay_and_stops_lose_nothing(spark, monkeypatch):
         with monkeypatch.context() as m:
             def stop(*_):
                 raise RuntimeError("stopped")
-            m.setattr(U, "_publish", stop)
+            m.setattr(U, "_replace_pointer", stop)
             with pytest.raises(RuntimeError):
                 upsert_into_path(spark, path, days[6], token=token)
         assert state() == {2: 2.0, 3: 30.0, 4: 4.0, 5: 5.0}
     upsert_into_path(spark, path, days[6], token=("s", 1))
     assert state() == {2: 2.0, 3: 30.0, 4: 4.0, 5: 5.0, 6: 6.0}
-    assert U.vacuum(spark, path) > 0 and len(state()) == 5
+    # the folder that the last update replaced is still there for readers, older ones are gone
+    retired = U.read_pointer(spark, path)["retired"]
+    assert len(retired) == 1 and spark.read.parquet(f"{path}/{retired[0]}").count() == 4
+    upsert_into_path(spark, path, days[2])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{path}/{retired[0]}").count()
 
 
-def test_upsert_merges_again_when_another_writer_was_first(spark, monkeypatch):
+def test_second_writer_is_refused(spark, monkeypatch):
     from barmarts.operators import upsert as U
     path = shared_dir(spark, "test-race") + "/bronze"
     upsert_into_path(spark, path, _bars(spark, [_row("A", "2024-01-02")]))
-    real, done = U._publish, []
+    real, done = U.upsert, []
 
     def late(*args):
         if not done:
@@ -253,9 +258,10 @@ def test_upsert_merges_again_when_another_writer_was_first(spark, monkeypatch):
             upsert_into_path(spark, path, _bars(spark, [_row("B", "2024-01-02")]))
         return real(*args)
 
-    monkeypatch.setattr(U, "_publish", late)
-    out = upsert_into_path(spark, path, _bars(spark, [_row("C", "2024-01-02")]))
-    assert {r.symbol for r in out.collect()} == {"A", "B", "C"}
+    monkeypatch.setattr(U, "upsert", late)
+    with pytest.raises(RuntimeError, match="one writer"):
+        upsert_into_path(spark, path, _bars(spark, [_row("C", "2024-01-02")]))
+    assert {r.symbol for r in U.read_bronze(spark, path).collect()} == {"A", "B"}  # the first one's rows are not lost
 
 
 def test_landing_by_header(spark, tmp_path):
