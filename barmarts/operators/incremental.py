@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barmarts.functions.returns import ratio_pct
+
 #: log2 of a sketch's registers; the relative standard error is 1.04 / sqrt(2 ** LG).
 LG = 12
 STANDARD_ERROR = 1.04 / (1 << LG) ** 0.5
@@ -48,7 +50,7 @@ def risk_from_parts(parts: DataFrame) -> DataFrame:
     rounded = merged.withColumns({
         "avg_monthly_return_pct": F.round(F.when(n > 0, F.col("all")["mean"]), 2),
         "monthly_volatility_pct": F.round(F.when(n > 1, F.sqrt(F.col("all")["m2"] / (n - 1))), 2),
-        "positive_month_ratio_pct": F.round(F.col("positive_months_count") * F.lit(100.0).cast("decimal(4,1)") / F.col("total_months_count"), 2)})
+        "positive_month_ratio_pct": ratio_pct(F.col("positive_months_count"), F.col("total_months_count"))})
     volatility = F.col("monthly_volatility_pct")
     return rounded.select(
         "symbol", "total_months_count", "positive_months_count", "negative_months_count", "flat_months_count", "avg_monthly_return_pct",

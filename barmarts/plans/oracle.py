@@ -543,7 +543,9 @@ FROM (WITH {",".join(STD)} {alerts_body()}) al""",
 
 
 def all_sql() -> dict[str, str]:
+    from barmarts.plans.stored_queries import stored_sql
     out = {}
     out.update(core_sql())
     out.update(more_sql())
+    out.update(stored_sql())
     return out

@@ -21,6 +21,7 @@ from barmarts.operators.ranking import global_rank
 from barmarts.operators.silver import silver
 from barmarts.operators.upsert import read_bronze, upsert, upsert_into_path
 from barmarts.plans.pipeline import data_tests, historical_load, incremental_load, materialise_marts
+from barmarts.plans.stored_queries import stored_queries
 from barmarts.schemas import ALERT_SEVERITIES, ALERT_TYPES, DEFAULT_UNIVERSE, LOAD_TYPES
 from barmarts.session import shared_dir
 from barmarts.sources.landing import (consolidate, read_dimension, read_landing, read_vendor_csv,
@@ -301,4 +302,5 @@ def all_queries() -> dict[str, Query]:
         "missing_from_universe": missing_from_universe,
         "monthly_positions": monthly_positions,
         "alert_positions": alert_positions,
+        **stored_queries(),
     }

@@ -78,16 +78,12 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Hash of each input's content summary (total length, file and folder counts) and
-    modification time: one file-system call per input, no per-file listing on the driver."""
-    h = hashlib.sha256(BARS_VERSION.encode())
-    for path in paths:
-        p, fs = _fs_path(spark, path)
-        cs = fs.getContentSummary(p)
-        st = fs.getFileStatus(p)
-        h.update(f"{fs.makeQualified(p)}|{cs.getLength()}|{cs.getFileCount()}|"
-                 f"{cs.getDirectoryCount()}|{st.getModificationTime()}\n".encode())
-    return h.hexdigest()[:24]
+    """Hash of the path, length and time of every file below the inputs, so that a rewrite anywhere
+    in a tree counts. Spark lists the files (contents are not read); one row reaches the driver."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    each = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    seen = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(each), F.sum(each.cast("decimal(38,0)"))).first()
+    return hashlib.sha256(f"{BARS_VERSION}|{sorted(paths)}|{tuple(seen)}".encode()).hexdigest()[:24]
 
 
 def _done_runs(fs, base) -> list[str]:
