@@ -31,9 +31,10 @@ J = 0.85 with 2e-5, and a class is lost only if all its links are.
 
 Defined results: null and empty texts, and texts without a word, have an empty set and are
 linked with nothing; with fewer words than a shingle the whole sequence is one shingle;
-repeated rows are one document; documents with a null doc_id are returned with a null
-component, kept, and linked with nothing; ties go to the least doc_id; an empty table gives
-an empty result. Only doc_id and text are read, so other columns cannot clash.
+repeated rows are one document; an id with several texts gives a row for each distinct set, and
+joins the classes of all its texts (``near_dedup`` judges each text by its own links); every row
+with a null doc_id is returned with a null component, kept, and linked with nothing; ties go to
+the least doc_id; an empty table gives an empty result. Only doc_id and text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -91,15 +92,13 @@ def one_pass_minhashes(s: Column, hashes: int) -> Column:
 
 
 def signatures(docs: DataFrame, width: int, hashes: int) -> DataFrame:
-    """One row per doc_id: fingerprint f1, f2 and size n of its set, minhashes small and large."""
+    """Each row's fingerprint f1, f2 and size n of its set, minhashes small and large."""
     sets = docs.select("doc_id", F.sort_array(shingle_hashes(F.col("text"), width)).alias("s"))
     n = F.size("s")
-    rows = sets.select(
+    return sets.select(
         "doc_id", F.xxhash64("s").alias("f1"), F.xxhash64(F.lit("second"), F.col("s")).alias("f2"), n.alias("n"),
         F.when((n > 0) & (4 * n < 5 * ONE_PASS), small_minhashes(F.col("s"), hashes)).alias("small"),
         F.when(n >= ONE_PASS, one_pass_minhashes(F.col("s"), hashes)).alias("large"))
-    kept = [c for c in rows.columns if c != "doc_id"]
-    return rows.groupBy("doc_id").agg(F.min(F.struct(*kept)).alias("r")).select("doc_id", "r.*")
 
 
 def group_hashes(kind: str, side: str, groups: int, band: int) -> Column:
@@ -143,10 +142,10 @@ def _first_table(a: str, b: str) -> Column:
 
 def member_sets(docs: DataFrame, members: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """(rep, n, s, x0..): set and odd sketch of every class that shares a bucket."""
-    ids = members.select("rep").distinct().join(classes.select("rep", "f1"), "rep")
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("rep"))
+    ids = members.select("rep").distinct().join(classes.select("rep", "least", "f1"), "rep")
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("least"))
     # the fingerprint test stays inside the aggregate: as a filter it would become a join key
-    # and every text of the corpus would be cut into shingles for it
+    # and every text of the corpus would be cut into shingles for it; it also tells an id's texts apart
     sets = (texts.select("rep", "f1", F.sort_array(shingle_hashes(F.col("text"), width)).alias("s"))
             .groupBy("rep").agg(F.first(F.when(F.xxhash64("s") == F.col("f1"), F.col("s")), ignorenulls=True).alias("s")))
 
@@ -214,17 +213,29 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, width: int = 5, threshold: int = 80, groups: int = 12, band: int = 3) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every document.
+    """(doc_id, n_shingles, component_id): one row for each document's distinct set, one for
+    every row without an id.
 
-    ``width``: words a shingle; ``threshold``: similarity in percent; ``groups`` and
-    ``band``: hash groups in each collection and minhashes in each group (2 * groups * band
-    must be even and at least 42).
+    ``width``: words a shingle; ``threshold``: similarity in percent, 80 or more (the tests of
+    prints and kinds of minhashes are set for that); ``groups`` and ``band``: hash groups in each
+    collection and minhashes in each group (2 * groups * band must be even and at least 42).
     """
+    return _text_classes(docs, width, threshold, groups, band).select("doc_id", "n_shingles", "component_id")
+
+
+def _text_classes(docs: DataFrame, width: int, threshold: int, groups: int = 12, band: int = 3) -> DataFrame:
+    """(doc_id, f1, n_shingles, first, texts, component_id): ``first`` is the least doc_id that the
+    row's own text is linked with, ``texts`` the number of sets under its id, ``component_id`` the
+    least one when all texts of an id are joined as well."""
+    if threshold < 80:
+        raise ValueError("threshold: 80 or more")
     ws = Workspace(docs.sparkSession, "minhash")
     docs = docs.select("doc_id", "text")
     signed = ws.store(signatures(docs, width, 2 * groups * band), "signatures")
-    classes = ws.store(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("small").alias("small"), F.first("large").alias("large")), "classes")
+    known = signed.where("doc_id IS NOT NULL")
+    classes = ws.store(known.where("n > 0").groupBy("f1", "f2", "n").agg(
+        F.min("doc_id").alias("least"), F.first("small").alias("small"), F.first("large").alias("large"))
+        .withColumn("rep", F.monotonically_increasing_id()), "classes")
     near = ws.store(bucket_members(classes, groups, band, threshold, ws), "near")
     sets = ws.store(member_sets(docs, near, classes, width), "sets")
     sketches = sets.drop("s")
@@ -252,18 +263,39 @@ def near_classes(docs: DataFrame, width: int = 5, threshold: int = 80, groups: i
     more = ws.store(verified(ws.store(cross, "cross"), sets, threshold), "links-2")
     joined = ws.store(connected_components(links.unionByName(more), ws, "second"), "components-2")
 
-    ids = classes.select("f1", "f2", F.col("n").alias("_n"), "rep").join(
-        joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "f1", "f2", F.coalesce("component", "rep").alias("c"))
-    out = ws.store(signed.select("doc_id", "f1", "f2", "n").join(ids, ["f1", "f2"], "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("doc_id")).alias("component_id")), "out")
-    ws.drop("signatures", "classes", "rows", "near", "members", "sets", "star", "links-1", "components-1", "open", "cross", "links-2", "components-2")
+    # which class each text is in, and the least doc_id of the class's component
+    texts = ws.store(known.select("doc_id", "f1", "f2", "n").distinct().join(
+        classes.select("f1", "f2", "n", "rep", "least"), ["f1", "f2", "n"], "left"), "texts")
+    several = ws.store(texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts"), F.min("rep").alias("b")).where("texts > 1"), "several")
+    same_id = (texts.select("doc_id", "rep").join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b"))
+    links = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same_id)
+    whole = joined if several.isEmpty() else ws.store(connected_components(links, ws, "third"), "components-3")
+
+    def least(components: DataFrame, name: str) -> DataFrame:
+        met = components.withColumnRenamed("node", "rep").join(classes.select("rep", "least"), "rep")
+        return met.join(met.groupBy("component").agg(F.min("least").alias(name)), "component").select("rep", name)
+
+    rows = (texts.join(least(joined, "_own"), "rep", "left").join(least(whole, "_all"), "rep", "left")
+            .join(several.select("doc_id", "texts"), "doc_id", "left"))
+    rows = rows.select("doc_id", "f1", F.col("n").cast("long").alias("n_shingles"), F.coalesce("_own", "least", "doc_id").alias("first"),
+                       F.coalesce("texts", F.lit(1)).alias("texts"), F.coalesce("_all", "least", "doc_id").alias("component_id"))
+    # a text without words has no class; it goes with the other texts of its id
+    of_id = rows.where("texts > 1").groupBy("doc_id").agg(F.min("component_id").alias("_id"))
+    rows = rows.join(of_id, "doc_id", "left").withColumn("component_id", F.coalesce("_id", "component_id")).drop("_id")
+    nameless = signed.where("doc_id IS NULL").select(
+        "doc_id", "f1", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("first"), F.lit(1).cast("long").alias("texts"),
+        F.col("doc_id").alias("component_id"))
+    out = ws.store(rows.unionByName(nameless), "out")
+    ws.drop("signatures", "classes", "rows", "near", "members", "sets", "star", "links-1", "components-1", "open", "cross", "links-2",
+            "components-2", "texts", "several", "components-3")
     return out
 
 
 def near_dedup(docs: DataFrame, width: int = 5, threshold: int = 80, **how) -> DataFrame:
-    """``docs`` without the documents that are not the first of their class."""
-    gone = (near_classes(docs, width, threshold, **how).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_gone")))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """``docs`` without the rows whose text is not the first of those it is linked with."""
+    gone = (_text_classes(docs, width, threshold, **how).where("doc_id <> first").groupBy(F.col("doc_id").alias("_gone"))
+            .agg(F.max("texts").alias("_texts"), F.collect_set("f1").alias("_f1")))
+    met = docs.join(gone, docs["doc_id"] == gone["_gone"], "left")
+    # only rows of ids that hold several texts are fingerprinted again
+    mine = F.when(gone["_texts"] > 1, F.array_contains(gone["_f1"], F.xxhash64(F.sort_array(shingle_hashes(docs["text"], width))))).otherwise(True)
+    return met.where(gone["_gone"].isNull() | ~mine).select(*[docs[c] for c in docs.columns])

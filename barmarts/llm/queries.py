@@ -75,7 +75,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(read_table(spark, sf_dir, "documents"), width=2, threshold=80).select(
-        "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+        "doc_id", "n_shingles", "component_id", (F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).alias("kept"))
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,6 +180,24 @@ def test_near_classes_edges(edge, nothing):
     assert minhash.near_classes(nothing).count() == 0
 
 
+def test_near_classes_of_repeated_and_null_ids(spark):
+    texts = {"x": " ".join(f"w{k}" for k in range(60)), "y": " ".join(f"v{k}" for k in range(60)), "z": "entirely other words here", "": ""}
+    rows = [(1, "x"), (1, "y"), (1, "y"), (2, "y"), (3, "x"), (4, "z"), (4, ""), (5, ""), (6, "z"), (6, "x"), (None, "x"), (None, "z"), (None, "z"), (9, "")]
+    docs = spark.createDataFrame([(d, texts[t]) for d, t in rows], "doc_id long, text string").repartition(4)
+    for width in (2, 5):
+        out = minhash.near_classes(docs, width, 80).collect()
+        # 1 joins the classes of x and y, 6 those of z and x
+        assert sorted((r.doc_id, r.component_id) for r in out if r.doc_id is not None) == [
+            (1, 1), (1, 1), (2, 1), (3, 1), (4, 1), (4, 1), (5, 5), (6, 1), (6, 1), (9, 9)]
+        assert [(r.doc_id, r.component_id) for r in out if r.doc_id is None] == [(None, None)] * 3
+        left = sorted(((r.doc_id, r.text) for r in minhash.near_dedup(docs, width, 80).collect()), key=str)
+        # each text by its own links: the first document of x, y and z stays, and what has no words
+        want = [(1, "x"), (1, "y"), (1, "y"), (4, "z"), (4, ""), (5, ""), (9, ""), (None, "x"), (None, "z"), (None, "z")]
+        assert left == sorted(((d, texts[t]) for d, t in want), key=str)
+    with pytest.raises(ValueError, match="80 or more"):
+        minhash.near_classes(docs, 2, 50)
+
+
 # --- URLs --------------------------------------------------------------------------------
 
 def brute_ratio(train, text, order):
