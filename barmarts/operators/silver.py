@@ -75,27 +75,40 @@ def silver(bronze: DataFrame, split_by: str | None = "month", audit: bool = Fals
 
 
 def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
-    """Lags per (symbol, chunk) plus a halo from earlier chunks.
-
-    The full rows go through one window only. One aggregate gives each chunk's row count and
-    its last ``depth`` closes (a chunk holds at most one bar a day, so a year's list has 366
-    entries at most); a window over that small table turns them into each chunk's offset and
-    the ``depth`` closes before it. The ``depth`` chunks before suffice, as none is empty.
-    """
-    depth = max(LAGS)
-    adj = "adjusted_closing_price"
+    """Lags per (symbol, chunk) plus a halo from earlier chunks: the full rows go through one
+    window only, the chunk table through the others."""
     base = src.withColumn("_chunk", chunk_expr)
-    newest_first = F.reverse(F.array_sort(F.collect_list(F.struct("price_date", adj))))
-    chunks = base.groupBy("symbol", "_chunk").agg(
+    return lag_rows(base, chunk_context(chunk_table(base))).select(*src.columns, *LAG_COLUMNS)
+
+
+LAG_COLUMNS = ["trading_day_number", "previous_adjusted_closing_price", "adjusted_close_5d_ago"]
+
+
+def chunk_table(base: DataFrame) -> DataFrame:
+    """(symbol, _chunk) -> row count and the last closes, newest first (a chunk holds at most one
+    bar a day, so a year's list has 366 entries at most)."""
+    newest_first = F.reverse(F.array_sort(F.collect_list(F.struct("price_date", "adjusted_closing_price"))))
+    return base.groupBy("symbol", "_chunk").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.transform(F.slice(newest_first, 1, depth), lambda x: x[adj]).alias("_tail"))
+        F.transform(F.slice(newest_first, 1, max(LAGS)), lambda x: x["adjusted_closing_price"]).alias("_tail"))
+
+
+def chunk_context(chunks: DataFrame) -> DataFrame:
+    """Each chunk's offset and the closes before it. As many chunks before as the longest lag
+    suffice, as none is empty."""
+    depth = max(LAGS)
     by_symbol = Window.partitionBy("symbol").orderBy("_chunk")
     before = chunks.select(
         "symbol", "_chunk",
         F.coalesce(F.sum("_n").over(by_symbol.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.flatten(F.reverse(F.collect_list("_tail").over(by_symbol.rowsBetween(-depth, -1)))).alias("_halo"))
+        F.slice(F.flatten(F.reverse(F.collect_list("_tail").over(by_symbol.rowsBetween(-depth, -1)))), 1, depth).alias("_halo"))
     # grouped by exactly the join keys, so Catalyst can drop the join when unused
-    before = before.groupBy("symbol", "_chunk").agg(F.max("_offset").alias("_offset"), F.first("_halo").alias("_halo"))
+    return before.groupBy("symbol", "_chunk").agg(F.max("_offset").alias("_offset"), F.first("_halo").alias("_halo"))
+
+
+def lag_rows(base: DataFrame, before: DataFrame) -> DataFrame:
+    """``base`` (clean bars with ``_chunk``) with ordinal and lags, given each chunk's context."""
+    depth, adj = max(LAGS), "adjusted_closing_price"
     wc = Window.partitionBy("symbol", "_chunk").orderBy("price_date")
     rows = base.select(
         "*",
@@ -107,7 +120,7 @@ def _chunked_lags(src: DataFrame, chunk_expr) -> DataFrame:
     # chunk branch when a consumer reads neither the lag columns nor the trading-day ordinal
     out = rows.join(before, ["symbol", "_chunk"], "left")
     return out.select(
-        *[c for c in src.columns],
+        *base.columns,
         (F.col("_offset") + F.col("_rn")).cast("int").alias("trading_day_number"),
         F.when(F.col("_rn") > 1, F.col("_l1")).otherwise(
             F.get("_halo", F.lit(0))).alias("previous_adjusted_closing_price"),

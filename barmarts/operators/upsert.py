@@ -49,6 +49,15 @@ def merge_into(spark: SparkSession, target_table: str, batch: DataFrame,
     spark.sql(merge_sql(target_table, view, keys))
 
 
+def create_bucketed(df: DataFrame, name: str, buckets: int, path: str, keys: list[str] = KEY) -> DataFrame:
+    """Store ``df`` as a catalog table whose rows are dealt to ``buckets`` by key and sorted, so that
+    upserts and joins on the key find the target where it is (J9 without shuffling the target).
+    ``buckets`` should be at least the session's shuffle partitions."""
+    (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.date_format("price_date", "yyyy-MM"))
 
@@ -94,9 +103,12 @@ def _read_months(spark: SparkSession, path: str, months: dict[str, str]) -> Data
             .parquet(*[f"{path}/{folder}/{MONTH}={m}" for m, folder in sorted(months.items())]).select(*BRONZE_COLUMNS))
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The current rows of the table at ``path`` (a plain Parquet folder is read as it is)."""
+def read_bronze(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
+    """The current rows of the table at ``path`` (a plain Parquet folder is read as it is); with
+    ``only``, the folders of those months (yyyy-MM) are read."""
     months = read_pointer(spark, path)["months"]
+    if only is not None:
+        return _read_months(spark, path, {m: months[m] for m in only if m in months})
     return _read_months(spark, path, months) if months else spark.read.parquet(path).select(*BRONZE_COLUMNS)
 
 

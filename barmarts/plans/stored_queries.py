@@ -149,20 +149,61 @@ def profile_from_sketches(spark: SparkSession, sf: str) -> DataFrame:
         "total_rows", "earliest_date", "latest_date", "exact", (off <= 3 * incremental.STANDARD_ERROR * F.col("exact") + 0.5).alias("within_bound"))
 
 
+def silver_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """G1 after an upsert: stored Silver and chunk table, one upsert, changed chunks computed anew."""
+    from barmarts.operators import refresh
+    from barmarts.operators.upsert import read_bronze, upsert_into_path
+    from barmarts.plans.registry import _upsert_inputs
+    root = shared_dir(spark, "silver-refresh")
+
+    def store(df, name):
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    def months(df):
+        return [r[0].strftime("%Y-%m") for r in df.select("_chunk").distinct().collect()]  # bounded by the calendar
+    target, batch = _upsert_inputs(spark, sf)
+    bars = upsert_into_path(spark, f"{root}/bronze", target)
+    old, chunks = store(silver(bars), "silver"), store(refresh.month_chunks(bars), "chunks")
+    upsert_into_path(spark, f"{root}/bronze", batch)
+    touched = store(refresh.touched_chunks(batch), "touched")
+    after = store(refresh.refreshed_chunks(chunks, touched, read_bronze(spark, f"{root}/bronze", months(touched))), "chunks-after")
+    changed = store(refresh.changed_chunks(chunks, after, touched), "changed")
+    return store(refresh.refresh_silver(old, changed, read_bronze(spark, f"{root}/bronze", months(changed)), after), "silver-after")
+
+
+def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """J9 on a table bucketed by key: only the batch is shuffled."""
+    from barmarts.operators.upsert import create_bucketed, upsert
+    from barmarts.plans.registry import _upsert_inputs
+    target, batch = _upsert_inputs(spark, sf)
+    name, buckets = f"bars_{uuid.uuid4().hex[:12]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return upsert(create_bucketed(target, name, buckets, f"{shared_dir(spark, 'bucketed')}/bars"), batch)
+
+
 def stored_queries() -> dict:
     return {f.__name__: f for f in (
         clustered_lookup, published_alerts, registered_view_profile, observed_profile, backfill_report, stream_newest_bars,
-        stream_closed_days, risk_from_parts, profile_from_sketches)}
+        stream_closed_days, risk_from_parts, profile_from_sketches, silver_refresh, upsert_bucketed)}
+
+
+def _upserted(R) -> str:
+    """Bars after the upsert: the batch wins, the rest of the target stays."""
+    return f"""SELECT * REPLACE (CASE WHEN price_date >= DATE '{R.UPSERT_BATCH_FROM}' THEN adjusted_close * 2 ELSE adjusted_close END AS adjusted_close,
+        CASE WHEN price_date >= DATE '{R.UPSERT_BATCH_FROM}' THEN 'incremental' ELSE load_type END AS load_type) FROM bars"""
 
 
 def stored_sql() -> dict[str, str]:
     from barmarts.plans import registry as R
-    from barmarts.plans.oracle import BARS, BRONZE_COLS, NULL_REQUIRED, STD, _drops_cte, alerts_body, risk_body
+    from barmarts.plans.oracle import BARS, BRONZE_COLS, NULL_REQUIRED, STD, _drops_cte, alerts_body, risk_body, silver_cte
     bars = "WITH " + BARS
     brands = " UNION ALL ".join([f"SELECT unnest([{', '.join(repr(s) for s in [*(f'Brand#{k}' for k in range(1, 26)), *DEFAULT_UNIVERSE])}]) AS symbol"])
     bad = f"(symbol = '{BAD_VOLUME}' AND day(price_date) = 1)"
     short = f"(symbol = '{MALFORMED_LINES}' AND strftime(price_date, '%Y-%m') = '{MALFORMED_MONTH}')"
+    upserted = _upserted(R)
     return {
+        "silver_refresh": bars + f", up AS ({upserted})," + silver_cte("up") + " SELECT * FROM silver",
+        "upsert_bucketed": bars + f", up AS ({upserted}) SELECT * FROM up",
         "clustered_lookup": bars + f""" SELECT * FROM bars WHERE symbol BETWEEN '{LOOKUP_SYMBOLS[0]}' AND '{LOOKUP_SYMBOLS[1]}'
             AND price_date BETWEEN DATE '{LOOKUP_DATES[0]}' AND DATE '{LOOKUP_DATES[1]}'""",
         "published_alerts": "WITH " + ",".join(STD) + alerts_body(),

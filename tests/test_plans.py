@@ -74,7 +74,7 @@ def test_no_single_partition_exchange(spark, key):
 
 SIDE_EFFECTS = {"partitioned_landing_roundtrip", "stream_upsert", "historical_backfill", "landing_profile",
                 "incremental_daily", "materialised_alerts", "backfill_report", "published_alerts", "stream_newest_bars",
-                "stream_closed_days"}
+                "stream_closed_days", "silver_refresh"}
 
 
 @pytest.mark.parametrize("key", sorted(set(all_queries()) - SIDE_EFFECTS))

@@ -190,3 +190,48 @@ def test_sketches_merge(spark):
     p = incremental.profile_from_sketches(stored).first()
     assert p.total_rows == 60_000 and abs(p.about_symbols - 20_000) <= 3 * incremental.STANDARD_ERROR * 20_000
     assert incremental.profile_from_sketches(stored.where("false")).first().total_rows == 0
+
+
+# --- change propagation, bucketed target -------------------------------------------------
+
+def test_refresh_equals_a_full_rebuild(spark):
+    from barmarts.operators import refresh
+    from barmarts.operators.upsert import upsert
+    random.seed(8)
+    def bars(n, symbols="AB"):
+        days = {(random.choice(symbols), dt.date(2024, 1, 1) + dt.timedelta(days=random.randrange(200))) for _ in range(n)}
+        return spark.createDataFrame([(*_bar(s, d.isoformat(), random.uniform(1, 9))[:3], random.choice([11.0, 11.0, 8.0]), *_bar(s, d.isoformat(), random.uniform(1, 9))[4:])
+                                      for s, d in sorted(days)], BRONZE)
+    table = bars(150)
+    old, chunks = silver(table), refresh.month_chunks(table)
+    for batch in (bars(1), bars(12, "BC"), bars(60, "ABC"), bars(5, "D")):
+        after = upsert(table, batch)
+        touched = refresh.touched_chunks(batch)
+        now = refresh.refreshed_chunks(chunks, touched, after)
+        changed = refresh.changed_chunks(chunks, now, touched)
+        got, want = refresh.refresh_silver(old, changed, after, now).collect(), silver(after).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+        assert sorted(map(repr, now.collect())) == sorted(map(repr, refresh.month_chunks(after).collect()))
+    # an update that keeps a chunk's dates and last closes changes that chunk alone
+    first = old.where("symbol = 'A' AND trading_day_number = 1").first()
+    again = table.where((F.col("symbol") == "A") & (F.col("price_date") == F.lit(first.price_date)))
+    now = refresh.refreshed_chunks(chunks, refresh.touched_chunks(again), table)
+    assert refresh.changed_chunks(chunks, now, refresh.touched_chunks(again)).count() == 1
+
+
+def test_refresh_reads_the_folders_of_changed_months(spark):
+    from barmarts.operators.upsert import read_bronze, upsert_into_path
+    path = shared_dir(spark, "test-months") + "/bronze"
+    upsert_into_path(spark, path, bronze_table(spark, SF_SMALL))
+    some = read_bronze(spark, path, ["1999-02", "1999-03"])
+    assert {f.rsplit("price_month=", 1)[1][:7] for f in some.inputFiles()} == {"1999-02", "1999-03"}
+
+
+def test_bucketed_upsert_shuffles_the_batch_only(spark):
+    from barmarts.plans.stored_queries import upsert_bucketed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical_tree(upsert_bucketed(spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "LeftAnti" in plan
