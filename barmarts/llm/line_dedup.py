@@ -80,14 +80,14 @@ def with_words(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``lines`` (key columns and the place ``first``) with the words of that place."""
     wanted = lines.groupBy(F.col("first.doc_id").alias("d"), F.col("first._th").alias("t")).agg(
         F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), *KEY)).alias("wanted"))
-    texts = docs.select("doc_id", "_th", "text").dropDuplicates(["doc_id", "_th"])
+    texts = docs.select("doc_id", "_th", "text")
     met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["d"]) & (texts["_th"] == wanted["t"]))
     split = met.select("doc_id", "_th", F.split("text", "\n").alias("lines"), "wanted")
     one = split.select("doc_id", "_th", "lines", F.explode("wanted").alias("x"))
     return one.select(
         *[F.col(f"x.{k}").alias(k) for k in KEY],
         F.struct("doc_id", "_th", F.col("x.line_no").alias("line_no")).alias("first"),
-        F.split(F.btrim(F.get("lines", F.col("x.line_no")), F.lit(SPACES)), " ").alias("words"))
+        F.split(F.btrim(F.get("lines", F.col("x.line_no")), F.lit(SPACES)), " ").alias("words")).dropDuplicates(KEY)  # of repeated rows
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -147,13 +147,14 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         lines.groupBy(*KEY).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c"),
                                 F.first("halves").alias("halves")), "distinct")
     near = near_duplicates(docs, distinct_lines, ws).withColumn("near", F.lit(True))
-    bad = (distinct_lines.select(*KEY, "first", "c").join(near, KEY, "left")
-           .where("c > 1 OR near").select(*KEY, "first", F.coalesce("near", F.lit(False)).alias("near")))
+    # written, so that the join below has plain exchanges on both sides and a hot line is split (skew join)
+    bad = ws.store(distinct_lines.select(*KEY, "first", "c").join(near, KEY, "left")
+                   .where("c > 1 OR near").select(*KEY, "first", F.coalesce("near", F.lit(False)).alias("near")), "bad")
     dropped = (lines.select("place", *KEY).join(bad, KEY).where("near OR place <> first")
                .select(F.col("place.doc_id").alias("_d"), F.col("place._th").alias("_t"), F.col("place.line_no").alias("no"))
                .groupBy("_d", "_t").agg(F.collect_set("no").alias("_drops")))
     dropped = ws.store(dropped, "dropped")
-    ws.drop("lines", "distinct", "candidates")  # before the texts are shuffled once more
+    ws.drop("lines", "distinct", "candidates", "bad")  # before the texts are shuffled once more
     met = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_d"]) & (docs["_th"] == dropped["_t"]), "left").drop("_d", "_t", "_th")
     split = met.withColumn("_lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))
