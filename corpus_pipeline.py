@@ -20,7 +20,10 @@ from barmarts.sources.tables import read_table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality cascade keeps."""
-    return quality.quality(docs).where("kept").select(*docs.columns)
+    judged = quality.quality(docs).select(*docs.columns, "kept")
+    # the rows pass through one generator, which the filter is not pushed through: the counts behind
+    # ``kept`` are then worked out once a row, not in the filter and the projection
+    return judged.select(F.inline(F.array(F.struct("*")))).where("kept").select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
