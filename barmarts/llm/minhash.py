@@ -235,7 +235,9 @@ def _text_classes(docs: DataFrame, width: int, threshold: int, groups: int = 12,
     known = signed.where("doc_id IS NOT NULL")
     classes = ws.store(known.where("n > 0").groupBy("f1", "f2", "n").agg(
         F.min("doc_id").alias("least"), F.first("small").alias("small"), F.first("large").alias("large"))
-        .withColumn("rep", F.monotonically_increasing_id()), "classes")
+        # class numbers ascend with the least doc_id: the least one of a bucket, with which the others
+        # are compared first, is then the text that came first and not one of its copies
+        .repartitionByRange("least", "f1").sortWithinPartitions("least", "f1").withColumn("rep", F.monotonically_increasing_id()), "classes")
     near = ws.store(bucket_members(classes, groups, band, threshold, ws), "near")
     sets = ws.store(member_sets(docs, near, classes, width), "sets")
     sketches = sets.drop("s")
