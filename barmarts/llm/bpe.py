@@ -5,7 +5,8 @@ For every prefix of a byte string there is exactly one token that can end its en
 that ends p without t, followed by t, is itself what BPE makes of those two tokens' bytes.
 So bytes are appended exactly by extending the table, without looking at earlier bytes
 again, and after an edit the table is kept up to the edit and recomputed only until it
-agrees with the old one again. Pair checks are memoised.
+agrees with the old one again. Pair checks are memoised. The new pieces of a block of texts
+fill their tables side by side, one prefix length at a time (``PieceTable``).
 
 A text is split by the vocabulary's pattern first and each match is encoded separately;
 a match that is itself a token is that token. No special tokens. Texts are encoded in
@@ -27,6 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,12 @@ from barmarts.llm.common import ship_package
 
 CACHE_ENTRIES = 400_000
 SHARED_PREFIX_BYTES = 48
+BLOCK_BYTES = 4 << 20
+PIECES_AT_ONCE = 1 << 16
+PAIR_SLOTS = 1 << 20
+BASE = np.uint64(0x9E3779B97F4A7C15)  # odd: base of the hash of byte strings
+_SPACE = r"[\x{9}-\x{D} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"  # \p{White_Space}
+UNEVEN = f"{_SPACE}{{2}}|{_SPACE}$"
 MAX_RANK_FILE_BYTES = 64 << 20
 
 
@@ -206,14 +214,106 @@ class PrefixEncoder:
         return out
 
 
+class PieceTable:
+    """The prefix tables of many short pieces at once: a numpy column per prefix length.
+
+    A candidate token is looked up by the hash of its bytes. Adjacent tokens that may follow
+    each other and spell the piece are its encoding, so the spelling is checked at the end and a
+    piece that a hash collision misled is encoded alone.
+    """
+
+    def __init__(self, encoder: PrefixEncoder):
+        self.encoder = encoder
+        short = [(t, i) for t, i in encoder.ranks.items() if 0 < len(t) <= SHARED_PREFIX_BYTES]
+        self.power = np.cumprod(np.append(np.uint64(1), np.full(SHARED_PREFIX_BYTES, BASE)), dtype=np.uint64)
+        lengths = np.array([len(t) for t, _ in short], np.int64)
+        code = self._prefix_hashes([t for t, _ in short])[lengths, np.arange(len(short))]
+        order = np.argsort(code)
+        self.code, self.id = code[order], np.array([i for _, i in short], np.int64)[order]
+        self.length = np.zeros(max(encoder.bytes_of, default=0) + 1, np.int64)
+        self.length[[i for _, i in short]] = lengths
+        self.longest = int(lengths.max(initial=0))
+        self.pair_key = np.full(PAIR_SLOTS, -1, np.int64)
+        self.pair_fits = np.zeros(PAIR_SLOTS, bool)
+
+    def _prefix_hashes(self, pieces: list[bytes]) -> np.ndarray:
+        """Row i: the hashes of the first i bytes of every piece (of zeros past its end)."""
+        longest = max(map(len, pieces), default=1)
+        data = np.array(pieces, f"S{longest}").view(np.uint8).reshape(len(pieces), longest)
+        out = np.zeros((longest + 1, len(pieces)), np.uint64)
+        for k in range(longest):
+            out[k + 1] = out[k] * BASE + data[:, k] + np.uint64(1)
+        return out
+
+    def _token(self, hashes: np.ndarray, start: np.ndarray, stop: int, row: np.ndarray) -> np.ndarray:
+        """The token that spells [start:stop] of each row's piece, or -1."""
+        code = hashes[stop, row] - hashes[start, row] * self.power[stop - start]
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return np.where((self.code[at] == code) & (self.length[self.id[at]] == stop - start), self.id[at], -1)
+
+    def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = (left + 1 << 32) | right
+        slot = ((key * 0x2545F4914F6CDD1D) >> 33) & (PAIR_SLOTS - 1)
+        fits, known = self.pair_fits[slot], self.pair_key[slot] == key
+        if not known.all():
+            new, back = np.unique(key[~known], return_inverse=True)
+            get, follow = self.encoder._pairs.get, self.encoder._may_follow
+            answer = np.empty(len(new), bool)
+            for k, pair in enumerate(new.tolist()):
+                kept = get(pair)
+                answer[k] = follow((pair >> 32) - 1, pair & 0xFFFFFFFF) if kept is None else kept
+            fits[~known] = answer[back]
+            self.pair_key[slot[~known]], self.pair_fits[slot[~known]] = key[~known], answer[back]
+        return fits
+
+    def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of pieces of 1 to ``SHARED_PREFIX_BYTES`` bytes."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(-size, kind="stable")
+        inner, size = [pieces[k] for k in order.tolist()], size[order]
+        hashes = self._prefix_hashes(inner)
+        last = np.full((len(hashes), len(inner)), -1, np.int64)  # last[i]: token that ends the first i bytes
+        for stop in range(1, len(hashes)):
+            row = np.arange(np.searchsorted(-size, -stop, side="right"))  # pieces of at least stop bytes
+            before = last[stop - 1, row]
+            # the token before with one byte more, as a rule the one that fits
+            start = stop - 1 - np.where(before < 0, 0, self.length[before])
+            for width in range(0, min(stop, self.longest) + 1):
+                if width:
+                    start = np.full(len(row), stop - width)
+                token = self._token(hashes, start, stop, row)
+                found = np.flatnonzero(token >= 0)
+                found = found[self._fits(last[start[found], row[found]], token[found])]
+                last[stop, row[found]] = token[found]
+                row = np.delete(row, found)
+                if not len(row):
+                    break
+        steps, at, rows = [], size.copy(), np.arange(len(inner))
+        while at.any():
+            token = np.where(at > 0, last[at, rows], -1)
+            steps.append(token)
+            at = np.where(token < 0, 0, at - self.length[token])
+        found = np.stack(steps[::-1], axis=1) if steps else np.empty((0, 0), np.int64)
+        stops = np.cumsum((found >= 0).sum(axis=1)).tolist()
+        flat, text = found[found >= 0].tolist(), self.encoder.bytes_of.__getitem__
+        ids = [tuple(flat[a:b]) for a, b in zip([0, *stops], stops)]
+        if b"".join(map(text, flat)) != b"".join(inner):
+            ids = [x if b"".join(map(text, x)) == p else tuple(self.encoder.encode(p)) for x, p in zip(ids, inner)]
+        out: list[tuple[int, ...]] = [()] * len(pieces)
+        for k, x in zip(order.tolist(), ids):
+            out[k] = x
+        return out
+
+
 class TextEncoder:
     """Pattern split and a bounded cache of encoded pieces over a ``PrefixEncoder``."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         # white space as Unicode defines it, the same for every regex library
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        self.uneven = regex.compile(r"\p{White_Space}{2}|\p{White_Space}$").search
+        self.plain = r"| ?\p{L}+|" in pattern
         self.encoder = PrefixEncoder(ranks)
+        self.table = PieceTable(self.encoder)
         self.cache: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
@@ -242,17 +342,91 @@ class TextEncoder:
             return self._piece(chunk)
         return self._keep(chunk, tuple(chain.from_iterable(map(self._piece, pieces))))
 
+    def _known(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of every chunk; those that the caches do not hold are encoded side by side."""
+        known, cut, pieces = {}, {}, {}
+        get, older, ranks = self.cache.get, self.older.get, self.encoder.ranks.get
+        for c in chunks:
+            ids = get(c)
+            if ids is None:
+                ids = older(c)
+                if ids is not None:
+                    self._keep(c, ids)
+                elif self.plain and (c[1:] if c[:1] == " " else c).isalpha():
+                    pieces[c] = None  # letters after at most one blank are one match
+                    continue
+                else:
+                    cut[c] = parts = self.split(c)
+                    for piece in parts:
+                        if piece not in pieces:
+                            pieces[piece] = get(piece) or older(piece)
+                    continue
+            known[c] = ids
+        short = []
+        for piece, ids in pieces.items():
+            if ids is None:
+                data = piece.encode()
+                whole = ranks(data)
+                if whole is not None:
+                    pieces[piece] = (whole,)
+                elif len(data) <= SHARED_PREFIX_BYTES:
+                    short.append((piece, data))
+                else:
+                    pieces[piece] = tuple(self.encoder.encode(data))
+        for k in range(0, len(short), PIECES_AT_ONCE):
+            some = short[k:k + PIECES_AT_ONCE]
+            pieces.update(zip([p for p, _ in some], self.table.encode([d for _, d in some])))
+        for piece, ids in pieces.items():
+            self._keep(piece, ids)
+        for c, parts in cut.items():
+            known[c] = pieces[c] if len(parts) == 1 else self._keep(c, tuple(chain.from_iterable(pieces[p] for p in parts)))
+        return known | pieces
+
     def encode(self, text: str) -> list[int]:
-        """A match never reaches from other characters into a following blank, so a text whose
-        white space is single may be cut before every blank; others are split as a whole."""
-        chunks = self.split(text) if self.uneven(text) else text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
         get, chunk = self.cache.get, self._chunk
         out: list[int] = []
-        for c in chunks:
+        for c in self.split(text):
             ids = get(c)
             out += chunk(c) if ids is None else ids
         return out
 
+    def encode_column(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of every text of a column (null: none). Chunks are cut and told apart by Arrow, the new
+        ones encoded together, and their ids gathered; blocks hold about ``BLOCK_BYTES`` bytes."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return pa.array([], pa.list_(pa.int32()))
+        block = np.cumsum(pc.binary_length(texts).to_numpy()) // BLOCK_BYTES
+        ends = [*np.flatnonzero(np.diff(block)) + 1, len(texts)]
+        parts = [self._block(texts.slice(a, b - a)) for a, b in zip([0, *ends], ends)]
+        offsets = np.zeros(len(texts) + 1, np.int32)
+        np.cumsum(np.concatenate([n for _, n in parts]), out=offsets[1:])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([x for x, _ in parts])))
+
+    def _block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all the texts, and how many each has. A match never reaches from other
+        characters into a following blank, so a text whose white space is single may be cut before
+        every blank; others are cut by the pattern as a whole."""
+        whole = pc.or_(pc.match_substring_regex(texts, UNEVEN), pc.match_substring(texts, "\0"))
+        even = pc.split_pattern(pc.replace_substring(pc.if_else(whole, "", texts), " ", "\0 "), "\0")
+        codes = even.values.slice(even.offsets[0].as_py(), len(even.values)).dictionary_encode()
+        known = self._known(names := codes.dictionary.to_pylist())
+        ids = [known[c] for c in names]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
+        first, code = np.cumsum(size) - size, codes.indices.to_numpy()
+        count = size[code]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        out = flat[np.repeat(first[code] - upto[:-1], count) + np.arange(upto[-1])]
+        row = np.diff(upto[even.offsets.to_numpy() - even.offsets[0].as_py()])
+        odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if len(odd):
+            rows = np.split(out, np.cumsum(row)[:-1])
+            for k in odd.tolist():
+                rows[k] = np.array(self.encode(texts[k].as_py()), np.int32)
+            out, row = np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
+        return out, row
+
 
 _STATE: dict[int, TextEncoder] = {}
 
@@ -271,11 +445,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
             _STATE.clear()
             own = _STATE[id(shared.value)] = TextEncoder(shared.value, pattern)
         for batch in batches:
-            rows = [np.array(own.encode(t.as_py() or ""), dtype=np.int32) for t in batch.column(place)]
-            offsets = np.zeros(len(rows) + 1, dtype=np.int32)
-            np.cumsum([len(r) for r in rows], out=offsets[1:])
-            flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            ids = own.encode_column(batch.column(place))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
     return docs.mapInArrow(run, schema)
@@ -290,9 +460,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
     place = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {i: t for t, i in shared.value.items()}
+        token = {i: t for t, i in shared.value.items()}.__getitem__
         for batch in batches:
-            out = [b"".join([token[i] for i in (row.values.to_pylist() if row.is_valid else [])]) for row in batch.column(place)]
+            out = [b"".join(map(token, row.values.to_numpy().tolist())) if row.is_valid else b"" for row in batch.column(place)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -32,6 +33,27 @@ def test_ids_equal_the_reference_tokenizer(text):
     assert ENCODER.encode(text) == REFERENCE.encode_ordinary(text)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=60), st.text("ab é日'1. \n\t\0", max_size=90)), max_size=6))
+def test_columns_equal_single_texts(texts):
+    column = pa.array(["x", *texts, "y" * 300], pa.string()).slice(1)
+    assert ENCODER.encode_column(column).to_pylist() == [ENCODER.encode(t or "") for t in [*texts, "y" * 300]]
+
+
+def test_blocks_and_collisions_change_nothing(monkeypatch):
+    texts = ["one two  three", "", "four five-six 日本語 seven", "one\ttwo "] * 3 + ["z" * 70]
+    want = [REFERENCE.encode(t, disallowed_special=()) for t in texts]
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 20)
+    monkeypatch.setattr(bpe, "PIECES_AT_ONCE", 2)
+    assert bpe.TextEncoder(RANKS, public_tokenizers.PATTERN).encode_column(pa.array(texts)).to_pylist() == want
+    misled = bpe.TextEncoder(RANKS, public_tokenizers.PATTERN)
+    table, size = misled.table, misled.table.length[misled.table.id]
+    for n in np.unique(size):  # every hash names another token of its length
+        table.id[size == n] = np.roll(table.id[size == n], 1)
+    monkeypatch.setattr(misled.table, "_fits", lambda left, right: np.ones(len(right), bool))
+    assert misled.encode_column(pa.array(texts)).to_pylist() == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(min_size=1, max_size=60), st.binary(max_size=20), st.data())
 def test_append_and_edit_equal_a_fresh_table(data, more, draw):
