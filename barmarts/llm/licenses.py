@@ -12,13 +12,14 @@ Base phrases are found wherever their words stand consecutively; their labels al
 
 Defined results: null, empty and word-less texts have 0 words and no label (empty strings,
 score 0, null places); very long texts are scanned whole, each in its own row, without a
-shuffle; repeated rows are scanned one by one; an empty table gives an empty result; other
+shuffle, in time near linear in words and matches; repeated rows are scanned one by one; an empty table gives an empty result; other
 columns pass through, columns named like a result column are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,9 +32,7 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Phrase and label of the base scan.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 
-# Root words of the SQL twin's gate. Rules such as "released under the gnu gpl" hold none of
-# them, so ``scan`` does not use them; on such texts the twin finds less.
-ROOTS = ["licen", "cc by", "cc0", "copyright", "rights reserved", "public domain", "spdx", "creative commons", "copyleft", "unlicense"]
+RUN = 64
 
 # Families: label, keyword (in every match of the name), name as a pattern over words, may the name stand alone.
 FAMILIES = [
@@ -159,20 +158,45 @@ def _blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For every place the merge of 0 and all values before it. Arrays grow only inside blocks
+    of ``RUN`` values and over the blocks, so time stays near linear in the number of values."""
+    none = F.array().cast("array<int>")
+
+    def each(part: Column, first: Column) -> Column:
+        return F.aggregate(part, F.struct(first.alias("at"), none.alias("out")), lambda acc, v: F.struct(
+            merge(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), merge))
+        return _bind(each(totals, F.lit(0)), lambda first: F.flatten(F.transform(parts, lambda p, k: each(p, F.get(first, k)))))
+
+    def blocks(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")), lambda b: F.slice(v, b * RUN + 1, F.lit(RUN)))
+
+    return _bind(values, lambda v: F.when(F.size(v) == 0, none).otherwise(_bind(blocks(v), joined)))
+
+
 def places(words: Column, pattern: Column) -> Column:
     """(start, end) in words of every match, from left to right; end is past the last word."""
-    pieces, found = F.split(words, pattern), F.regexp_extract_all(words, pattern, 0)
     none = F.array().cast("array<struct<start:int,end:int>>")
-    empty = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def add(acc: Column, k: Column) -> Column:
-        before = acc["at"] + _blanks(F.get(pieces, k))
-        inner = _blanks(F.get(found, k))
-        return F.struct((before + inner).alias("at"), F.concat(acc["out"], F.array(F.struct(
-            (before - 1).alias("start"), (before + inner).alias("end")))).alias("out"))
+    def located(sizes: Column) -> Column:
+        return _bind(running(F.transform(sizes, lambda s: s["before"] + s["inner"]), lambda a, b: a + b), lambda at: F.transform(
+            sizes, lambda s, k: F.struct((F.get(at, k) + s["before"] - 1).alias("start"),
+                                         (F.get(at, k) + s["before"] + s["inner"]).alias("end"))))
+
+    def sized(found: Column) -> Column:
+        sizes = _bind(F.split(words, pattern), lambda pieces: F.transform(found, lambda x, k: F.struct(
+            _blanks(F.get(pieces, k)).alias("before"), _blanks(x).alias("inner"))))
+        return F.when(F.size(found) == 0, none).otherwise(_bind(sizes, located))
 
-    every = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), empty, add, lambda acc: acc["out"])
-    return F.when(F.size(found) == 0, none).otherwise(every)
+    return _bind(F.regexp_extract_all(words, pattern, 0), sized)
 
 
 def bounded(pattern: str) -> str:
@@ -201,15 +225,10 @@ def detections(words: Column, met: Column, ruleset: list[Rule]) -> Column:
     hits = F.flatten(F.transform(tried, lambda i: F.transform(places(words, F.get(pattern, i)), lambda p: F.struct(
         p["start"].alias("start"), (-p["end"]).alias("back"), i.alias("priority"),
         F.get(label, i).alias("label"), F.get(confidence, i).alias("confidence")))))
-    kind = "array<struct<start:int,back:int,priority:int,label:string,confidence:double>>"
-    start = F.struct(F.lit(0).alias("reach"), F.array().cast(kind).alias("kept"))
-
-    def keep(acc: Column, d: Column) -> Column:
-        # in this order only earlier matches can hold a later one
-        return F.struct(F.greatest(acc["reach"], -d["back"]).alias("reach"),
-                        F.when(acc["reach"] >= -d["back"], acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"))
-
-    return F.aggregate(F.array_sort(hits), start, keep, lambda acc: acc["kept"])
+    # in this order only earlier matches can hold a later one
+    return _bind(F.array_sort(hits), lambda every: _bind(
+        running(F.transform(every, lambda d: -d["back"]), lambda a, b: F.greatest(a, b)),
+        lambda reach: F.filter(every, lambda d, k: F.get(reach, k) < -d["back"])))
 
 
 def scan(docs: DataFrame, ruleset: list[Rule] | None = None) -> DataFrame:

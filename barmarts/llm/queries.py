@@ -158,7 +158,7 @@ def _op9_sql() -> str:
     def text(value: str) -> str:
         return "'" + value.replace("'", "''") + "'"
     # words are joined by two blanks here, so that a match can take one on each side
-    rows = ", ".join(f"({r.priority}, {text(r.keyword)}, {text(' (?:' + r.pattern.replace(' ?', '(?:  )?').replace('[^ ]', '[^~]').replace(' ', '  ').replace('[^~]', '[^ ]') + ') ')}, {text(r.label)}, {r.confidence})"
+    rows = ", ".join(f"({r.priority}, {text(licenses.key_literal(r))}, {text(' (?:' + r.pattern.replace(' ?', '(?:  )?').replace('[^ ]', '[^~]').replace(' ', '  ').replace('[^~]', '[^ ]') + ') ')}, {text(r.label)}, {r.confidence})"
                      for r in licenses.rules())
     base = ", ".join(f"({text(' ' + p.replace(' ', '  ') + ' ')}, {text(label)})" for p, label in licenses.BASE)
     spaces = "(length({0}) - length(replace({0}, ' ', '')))"
@@ -169,7 +169,7 @@ def _op9_sql() -> str:
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_replace(' ' || translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || ' ',
         '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g') AS c FROM documents),
-g AS (SELECT rid, c, replace(c, ' ', '  ') AS c2 FROM d WHERE {' OR '.join(f"contains(c, {text(x)})" for x in licenses.ROOTS)}),
+g AS (SELECT rid, c, replace(c, ' ', '  ') AS c2 FROM d),
 rules(priority, keyword, pattern, label, confidence) AS (VALUES {rows}),
 base(pattern, label) AS (VALUES {base}),
 b AS (SELECT rid, label, {start} AS start FROM ({found.format(more='', source='(SELECT g.*, base.* FROM g, base)')})),

@@ -1,6 +1,7 @@
 """Operators 2, 7, 8, 9, 10: SQL twins, brute force and edge cases."""
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -140,6 +141,27 @@ def test_every_rule_is_reached_by_a_match_alone(spark):
         assert best.label in r.labels.split(",") and r.score == best.confidence
 
 
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 1000])
+def test_places_and_containment_of_many_matches(spark, n):
+    text = " ".join(["x y cc by nc 4 0 z", "cc by sa", "all rights reserved w"][k % 3] for k in range(n))
+    row = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    words, at = text.split(), []
+    for k, word in enumerate(words):
+        if word == "cc":
+            at.append((k, k + (5 if words[k + 2] == "nc" else 3), "cc-by-" + words[k + 2]))
+        elif word == "all":
+            at.append((k, k + 3, "reserved"))
+    assert [(d.start, d.end, d.label) for d in row.detections] == at
+    assert (row.n_base, row.first_word, row.last_word) == (n, at[0][0], at[-1][0])
+
+
+def test_long_text_takes_linear_time(spark):
+    docs = spark.createDataFrame([(1, "licensed under the mit license and cc by sa 4 0 " * 20_000)], "doc_id long, text string")
+    start = time.monotonic()
+    row = licenses.scan(docs).first()
+    assert row.n_base == 20_000 and len(row.detections) == 40_000 and time.monotonic() - start < 60
+
+
 # --- near duplicates ---------------------------------------------------------------------
 
 def brute_components(rows, width, threshold):
