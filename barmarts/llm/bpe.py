@@ -38,8 +38,8 @@ from barmarts.llm.common import ship_package
 
 CACHE_ENTRIES = 400_000
 SHARED_PREFIX_BYTES = 48
-BLOCK_BYTES = 4 << 20
-PIECES_AT_ONCE = 1 << 16
+BLOCK_BYTES = 2 << 20
+PIECES_AT_ONCE = 1 << 15
 PAIR_SLOTS = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd: base of the hash of byte strings
 _SPACE = r"[\x{9}-\x{D} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"  # \p{White_Space}
@@ -68,6 +68,13 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int], but: bytes | None = None)
     return parts
 
 
+def slices(sizes: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of runs of rows, each of about ``BLOCK_BYTES`` (a larger row alone)."""
+    block = np.cumsum(pc.fill_null(sizes, 0).to_numpy(), dtype=np.int64) // BLOCK_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist()] if len(block) else []
+    yield from ((a, b - a) for a, b in zip(starts, [*starts[1:], len(block)]))
+
+
 class PrefixEncoder:
     """Exact BPE of byte strings with one stored token (by id) per prefix."""
 
@@ -396,9 +403,7 @@ class TextEncoder:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not len(texts):
             return pa.array([], pa.list_(pa.int32()))
-        block = np.cumsum(pc.binary_length(texts).to_numpy()) // BLOCK_BYTES
-        ends = [*np.flatnonzero(np.diff(block)) + 1, len(texts)]
-        parts = [self._block(texts.slice(a, b - a)) for a, b in zip([0, *ends], ends)]
+        parts = [self._block(texts.slice(at, n)) for at, n in slices(pc.binary_length(texts))]
         offsets = np.zeros(len(texts) + 1, np.int32)
         np.cumsum(np.concatenate([n for _, n in parts]), out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([x for x, _ in parts])))
@@ -444,7 +449,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         if own is None:
             _STATE.clear()
             own = _STATE[id(shared.value)] = TextEncoder(shared.value, pattern)
-        for batch in batches:
+        for batch in (b.slice(at, n) for b in batches for at, n in slices(pc.binary_length(b.column(place)))):
             ids = own.encode_column(batch.column(place))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
@@ -461,7 +466,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {i: t for t, i in shared.value.items()}.__getitem__
-        for batch in batches:
+        for batch in (b.slice(at, n) for b in batches for at, n in slices(pc.list_value_length(b.column(place)))):
             out = [b"".join(map(token, row.values.to_numpy().tolist())) if row.is_valid else b"" for row in batch.column(place)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
