@@ -36,7 +36,8 @@ BUCKETS = 1 << 15
 DIM = 16
 LENGTHS = (1, 2, 3, 4)
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 500
+SAMPLE_ROWS = 400_000
+MAX_LANGUAGES = 10_000
 PIECE = 1 << 20
 UNKNOWN = "und"
 
@@ -49,30 +50,48 @@ def _letter_table() -> np.ndarray:
     return _LETTERS[0]
 
 
-def subwords(text: str) -> np.ndarray:
-    """Bucket of every subword of the text, in one array."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = _letter_table()[points]
-    # marks: one blank stands for any run of other characters
-    keep = letter | np.concatenate([[True], letter[:-1]])
-    points, letter = np.where(letter, points, 32)[keep].astype(np.uint64), letter[keep]
+def subword_blocks(text: str, piece: int | None = None) -> Iterator[np.ndarray]:
+    """Bucket of every subword of the text, one array for every ``piece`` characters."""
+    text, piece, longest = f" {text.lower()} ", piece or PIECE, max(LENGTHS) - 1
+    points, letter, after_letter = np.empty(0, np.uint64), np.empty(0, bool), True
+    for start in range(0, len(text), piece):
+        new = np.frombuffer(text[start:start + piece].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        is_letter = _letter_table()[new]
+        # marks: one blank stands for any run of other characters
+        keep = is_letter | np.concatenate([[after_letter], is_letter[:-1]])
+        after_letter = is_letter[-1]
+        points, letter = points[-longest:], letter[-longest:]
+        seen = len(points)  # subwords that end in these were in the block before
+        points = np.concatenate([points, np.where(is_letter, new, 32)[keep].astype(np.uint64)])
+        letter = np.concatenate([letter, is_letter[keep]])
+        yield _buckets(points, letter, seen)
+
+
+def _buckets(points: np.ndarray, letter: np.ndarray, seen: int) -> np.ndarray:
     out = []
     with np.errstate(over="ignore"):
         for n in LENGTHS:
-            if len(points) < n:
-                break
-            h = np.full(len(points) - n + 1, np.uint64(n))
+            first = max(0, seen - n + 1)
+            p, of = points[first:], letter[first:]
+            if len(p) < n:
+                continue
+            h = np.full(len(p) - n + 1, np.uint64(n))
             for k in range(n):
-                h = (h ^ points[k:len(points) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+                h = (h ^ p[k:len(p) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(29)
             inner = np.ones(len(h), bool)  # a mark only at either end, and a letter somewhere
             for k in range(1, n - 1):
-                inner &= letter[k:len(points) - n + 1 + k]
-            inner &= letter[:len(h)] | letter[n - 1:]
+                inner &= of[k:len(p) - n + 1 + k]
+            inner &= of[:len(h)] | of[n - 1:]
             out.append((h[inner] >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1))
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
+def bucket_counts(text: str) -> np.ndarray:
+    """How often each bucket occurs in the text."""
+    return sum((np.bincount(found, minlength=BUCKETS) for found in subword_blocks(text)), np.zeros(BUCKETS, np.int64))
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -89,8 +108,7 @@ class Model:
     def logits(self, text: str) -> np.ndarray | None:
         """Class scores before the temperature; None without a letter."""
         total, count = np.zeros(len(self.languages)), 0
-        for start in range(0, len(text), PIECE):
-            found = subwords(text[start:start + PIECE])
+        for found in subword_blocks(text):
             total += self.scores[found].sum(axis=0, dtype=np.float64)
             count += len(found)
         return total / count + self.bias if count else None
@@ -107,9 +125,9 @@ class Model:
 def train(rows: list[tuple[str, str]], epochs: int = 8, rate: float = 0.5, seed: int = 11,
           reject_share: float = 0.01) -> Model:
     """``rows``: (text, language). Plain SGD over documents in random order, decaying rate."""
-    docs = [(f, lang) for text, lang in sorted(rows, key=lambda r: (r[1], r[0])) if len(f := np.concatenate(
-        [subwords(text[k:k + PIECE]) for k in range(0, len(text), PIECE)] or [np.empty(0, np.int64)]))]
-    languages = sorted({lang for _, lang in docs})
+    docs = [(found, counts[found], lang) for text, lang in sorted(rows, key=lambda r: (r[1], r[0]))
+            if len(found := np.flatnonzero(counts := bucket_counts(text)))]
+    languages = sorted({lang for *_, lang in docs})
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
     rng = np.random.default_rng(seed)
@@ -118,7 +136,7 @@ def train(rows: list[tuple[str, str]], epochs: int = 8, rate: float = 0.5, seed:
     table = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     weight, bias = rng.normal(0, 0.1, (DIM, len(languages))), np.zeros(len(languages))
     place = {lang: k for k, lang in enumerate(languages)}
-    packed = [(*np.unique(f, return_counts=True), place[lang]) for f, lang in docs]
+    packed = [(buckets, counts, place[lang]) for buckets, counts, lang in docs]
     step, steps = 0, epochs * len(used)
     for _ in range(epochs):
         for d in rng.permutation(used):
@@ -144,15 +162,21 @@ def train(rows: list[tuple[str, str]], epochs: int = 8, rate: float = 0.5, seed:
     return model
 
 
-def fit(docs: DataFrame, use: Column, per_language: int = PER_LANGUAGE) -> Model:
+def fit(docs: DataFrame, use: Column, per_language: int = PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS,
+        max_languages: int = MAX_LANGUAGES) -> Model:
     """Train on a bounded sample of the rows of ``docs`` (doc_id, text, lang) where ``use`` holds."""
     known = docs.where(use & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} values of lang: no column of languages")
     if not sizes:
         return train([])
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, per_language / r["count"]) * (1 << 30))))])
-    part = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < share[F.col("lang")]
-    return train([(r.text, r.lang) for r in known.where(part).select("text", "lang").toLocalIterator()])
+    wanted = min(per_language, max(1, sample_rows // len(sizes)))
+    shares = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(min(1.0, wanted / r["count"]) * (1 << 30))) for r in sizes], "lang string, _share long")
+    # at most max_languages rows of a name and a number are broadcast
+    chosen = known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < F.col("_share"))
+    return train([(r.text, r.lang) for r in chosen.select("text", "lang").toLocalIterator()])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -228,6 +228,24 @@ def test_language_edges(spark, edge, nothing):
     assert langid.fit(nothing, F.lit(True)).predict("abc") == ("und", 0.0, False) and langid.predict(nothing, model).count() == 0
 
 
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 64])
+def test_language_pieces_change_no_subword(piece):
+    texts = ["", "a", " a  b ", "Straße und Öl, 3 x ΑΣ", "word" * 40, "the cat sat -- on the mat\n\n" * 5, "\ud800 broken é"]
+    for text in texts:
+        whole, parts = (np.bincount(np.concatenate([*langid.subword_blocks(text, size)]), minlength=langid.BUCKETS)
+                        for size in (10_000, piece))
+        assert (whole == parts).all(), text
+
+
+def test_every_language_is_learned(spark):
+    rows = [(k * 10 + j, chr(0x4E00 + k) * 5 + f" {chr(0x4E00 + k)}", f"l{k:03d}") for k in range(520) for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = langid.fit(docs, F.lit(True), per_language=2)
+    assert len(sizes.languages) == 520
+    with pytest.raises(ValueError, match="more than 519"):
+        langid.fit(docs, F.lit(True), max_languages=519)
+
+
 # --- pipeline ----------------------------------------------------------------------------
 
 def test_pipeline_against_brute_force(spark, tmp_path):
