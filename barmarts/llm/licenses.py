@@ -4,7 +4,8 @@ Texts become words (A-Z lower-cased, `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`), j
 single blanks. A rule is tried only in texts that hold its literals, which are read off its own
 pattern: every match must contain them (``key_literal``, ``form_literal``), so no text that a
 rule fits is passed over. Rules are regular expressions over the joined words,
-made from license families and hand-written sentence forms. Every match is an interval of
+made from license families (names in full and abbreviations with versions), hand-written sentence
+forms around them, and sentences of the license texts themselves. Every match is an interval of
 words. A match is suppressed if its interval lies in that of another match, equal intervals
 being decided by priority (more specific forms first).
 
@@ -49,6 +50,22 @@ FAMILIES = [
     ("gpl-2.0", "general public", "(gnu )?general public license( version| v)? 2( 0)?( only| or later)?", True),
     ("gpl-3.0", "general public", "(gnu )?general public license( version| v)? 3( 0)?( only| or later)?", True),
     ("gpl", "gpl", "(gnu )?gpl", False),
+    ("gpl-1.0", "gpl", "(gnu )?gpl( version | v| |v)1( 0)?", True),
+    ("gpl-2.0", "gpl", "(gnu )?gpl( version | v| |v)2( 0)?( only| or later)?", True),
+    ("gpl-3.0", "gpl", "(gnu )?gpl( version | v| |v)3( 0)?( only| or later)?", True),
+    ("lgpl-2.1", "lgpl", "(gnu )?lgpl( version | v| |v)2 1( only| or later)?", True),
+    ("lgpl-3.0", "lgpl", "(gnu )?lgpl( version | v| |v)3( 0)?( only| or later)?", True),
+    ("lgpl", "lgpl", "(gnu )?lgpl", False),
+    ("agpl-3.0", "agpl", "(gnu )?agpl( version | v| |v)3( 0)?( only| or later)?", True),
+    ("agpl", "agpl", "(gnu )?agpl", False),
+    ("gfdl", "gfdl", "(gnu )?gfdl(( version | v| |v)1 [123])?( only| or later)?", False),
+    ("mpl-1.1", "mpl", "mpl( version | v| |v)1 1", True),
+    ("mpl-2.0", "mpl", "mpl( version | v| |v)2( 0)?", True),
+    ("epl-1.0", "epl", "epl( version | v| |v)1( 0)?", True),
+    ("epl-2.0", "epl", "epl( version | v| |v)2( 0)?", True),
+    ("eupl-1.2", "eupl", "eupl( version | v| |v)1 2", True),
+    ("ofl-1.1", "ofl", "(sil )?ofl( version | v| |v)1 1", True),
+    ("boost-1.0", "bsl", "bsl( version | v| |v)1 0", True),
     ("lgpl-2.1", "lesser", "(gnu )?lesser general public license( version| v)? 2 1", True),
     ("lgpl-3.0", "lesser", "(gnu )?lesser general public license( version| v)? 3( 0)?", True),
     ("lgpl", "lesser", "(gnu )?lesser general public license", True),
@@ -79,14 +96,16 @@ FAMILIES = [
     ("cc-zero", "creative commons", "creative commons zero( 1 0)?( universal)?", True),
 ]
 
-# Sentence forms around a name: prefix, suffix, confidence; the longest forms come first.
+# Sentence forms around a name: prefix, suffix, confidence; the longest forms come first. After the
+# prefix LOOSE a bare name of an institute is no license ("governed by the mit students").
+LOOSE = "(use|used|covered|governed) (under|by) (the )?(terms of (the )?)?"
 FORMS = [
     ("this (work|file|software|program|project|text|page) is (licensed|released|distributed|available) under (the )?(terms of (the )?)?", "", 1.0),
     ("permission is granted to copy distribute and or modify this document under the terms of (the )?", "", 1.0),
     ("(re)?distributed under the (terms|conditions) of (the )?", "", 0.95),
     ("(dual |multi )?licensed under (the )?(terms of (the )?)?", "", 0.95),
     ("(released|published|available|provided) under (the )?(terms of (the )?)?", "", 0.9),
-    ("(use|used|covered|governed) (under|by) (the )?(terms of (the )?)?", "", 0.85),
+    (LOOSE, "", 0.85),
     ("spdx license identifier ", "", 1.0),
     ("license ", "", 0.75),
     ("", " license", 0.8),
@@ -104,6 +123,27 @@ STATEMENTS = [
     ("see-license", "license", "see (the )?(file )?license( file)?( txt| md)? for (details|more information|the full license)", 0.5),
     ("permissive-grant", "copyright", "permission is hereby granted free of charge to any person obtaining a copy", 0.9),
     ("warranty-disclaimer", "copyright", "in no event shall the (authors or )?copyright holders? be liable", 0.6),
+    # sentences of the license texts themselves
+    ("mit", "obtaining", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", 1.0),
+    ("boost-1.0", "organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software", 1.0),
+    ("isc", "without fee", "permission to use copy modify and (or )?distribute this software for any purpose with or without fee is hereby granted", 1.0),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted", 1.0),
+    ("bsd-3-clause", "endorse", "neither the names? of( [^ ]+){1,12}? may be used to endorse or promote products", 1.0),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display", 1.0),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented", 1.0),
+    ("apache-2.0", "compliance", "you may not use this file except in compliance with the license", 0.95),
+    ("gpl-2.0", "general public", "under the terms of the gnu general public license as published by the free software foundation either version 2", 1.0),
+    ("gpl-3.0", "general public", "under the terms of the gnu general public license as published by the free software foundation either version 3", 1.0),
+    ("lgpl-2.1", "lesser", "under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1", 1.0),
+    ("lgpl-3.0", "lesser", "under the terms of the gnu lesser general public license as published by the free software foundation either version 3", 1.0),
+    ("agpl-3.0", "affero", "under the terms of the gnu affero general public license as published by the free software foundation either version 3", 1.0),
+    ("gfdl", "invariant", "with no invariant sections no front cover texts and no back cover texts", 1.0),
+    ("mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public license", 1.0),
+    ("cddl-1.0", "contents", "the contents of this file are subject to the terms of the common development and distribution license", 1.0),
+    ("artistic", "intent", "the intent of this document is to state the conditions under which a package may be copied", 1.0),
+    ("ofl-1.1", "font software", "this font software is licensed under the sil open font license", 1.0),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 1.0),
+    ("cc0-1.0", "waived", "to the extent possible under law( [^ ]+){1,12}? has waived all copyright", 1.0),
 ]
 
 
@@ -121,7 +161,9 @@ def rules() -> list[Rule]:
     """All rules in priority order: forms around names, names alone, statements."""
     found = []
     for prefix, suffix, confidence in FORMS:
-        found += [(label, word, f"{prefix}{name}{suffix}", confidence, name) for label, word, name, _ in FAMILIES]
+        for label, word, name, _ in FAMILIES:
+            name = name.replace("( license)?", " license") if prefix == LOOSE else name
+            found.append((label, word, f"{prefix}{name}{suffix}", confidence, name))
     found += [(label, word, name, 0.6, name) for label, word, name, alone in FAMILIES if alone]
     found += [(*statement, statement[2]) for statement in STATEMENTS]
     return [Rule(label, word, pattern, k, confidence, name) for k, (label, word, pattern, confidence, name) in enumerate(found)]

@@ -141,6 +141,21 @@ def test_every_rule_is_reached_by_a_match_alone(spark):
         assert best.label in r.labels.split(",") and r.score == best.confidence
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under LGPL-2.1", "lgpl-2.1"), ("MPL-2.0", "mpl-2.0"), ("SPDX-License-Identifier: AGPL-3.0-only", "agpl-3.0"),
+    ("licensed under the GPLv2", "gpl-2.0"), ("GPL-3.0-or-later", "gpl-3.0"), ("licensed under the EPL 2.0", "epl-2.0"),
+    ("LGPLv3+", "lgpl-3.0"), ("released under the LGPL", "lgpl"), ("the OFL-1.1", "ofl-1.1"), ("EUPL-1.2", "eupl-1.2"),
+    ("governed by the mit students", ""), ("governed by the MIT license", "mit"), ("covered by the bsd team", ""),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+    ("Neither the name of Some Institute nor the names of its contributors may be used to endorse or promote products", "bsd-3-clause"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
+    ("under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License", "gpl,gpl-2.0"),
+    ("To the extent possible under law, A. N. Other has waived all copyright", "cc0-1.0"),
+    ("gplants 2", "")])
+def test_abbreviations_and_license_texts(spark, text, labels):
+    assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().labels == labels
+
+
 @pytest.mark.parametrize("n", [1, 63, 64, 65, 1000])
 def test_places_and_containment_of_many_matches(spark, n):
     text = " ".join(["x y cc by nc 4 0 z", "cc by sa", "all rights reserved w"][k % 3] for k in range(n))
