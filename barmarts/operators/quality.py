@@ -68,6 +68,22 @@ def duplicate_row_count(df: DataFrame, keys: list[str] = KEY) -> DataFrame:
         F.count(F.when(F.col("_n") > 1, 1)).alias("duplicate_groups"))
 
 
+def suspect_rows(df: DataFrame, keys: list[str], path: str) -> DataFrame:
+    """First pass of A12, A13 and Q9 over mostly unique keys: the rows whose 64-bit key hash occurs
+    more than once (NULLs are values, as in ``groupBy``). Only hashes are shuffled, combined per
+    task; those seen twice are written to the new folder ``path``, so their size is known when
+    the rows are joined to them: few are broadcast, and unique keys never reach a second shuffle;
+    many are sort-merged. A hash collision only lets a row through: ``duplicate_keys``,
+    ``duplicate_row_count`` and ``unique_report`` judge the rows by the whole key and give the same
+    result as on ``df``.
+    """
+    hashed = F.xxhash64(*keys)
+    (df.groupBy(hashed.alias("_key_hash")).agg(F.count(F.lit(1)).alias("_n"))
+     .where(F.col("_n") > 1).select("_key_hash").write.parquet(path))
+    suspects = df.sparkSession.read.schema("_key_hash bigint").parquet(path)
+    return df.join(suspects, hashed == suspects["_key_hash"], "left_semi")
+
+
 # --- checks Q1-Q10 -----------------------------------------------------------------------
 
 def not_null_report(df: DataFrame, table: str, columns: list[str]) -> DataFrame:

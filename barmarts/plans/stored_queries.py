@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmarts.operators import gold, incremental
+from barmarts.operators import gold, incremental, quality
 from barmarts.operators.observed import batch_metrics, store_observed
 from barmarts.operators.silver import silver
 from barmarts.plans.pipeline import historical_load, materialise_marts
@@ -18,7 +18,7 @@ from barmarts.session import shared_dir
 from barmarts.sources.clustered import read_clustered, write_clustered
 from barmarts.sources.landing import read_vendor_csv, register_view, universe_frame
 from barmarts.sources.published import publisher
-from barmarts.sources.tables import bronze_table
+from barmarts.sources.tables import bronze_table, read_table
 
 # --- fixed query parameters -------------------------------------------------------------
 LOOKUP_SYMBOLS, LOOKUP_DATES = ("Brand#3", "Brand#5"), ("1999-03-01", "1999-08-31")
@@ -181,10 +181,28 @@ def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     return upsert(create_bucketed(target, name, buckets, f"{shared_dir(spark, 'bucketed')}/bars"), batch)
 
 
+def _suspects(spark: SparkSession, sf: str) -> DataFrame:
+    from barmarts.plans.registry import LINEITEM_KEY
+    return quality.suspect_rows(read_table(spark, sf, "lineitem"), LINEITEM_KEY, f"{shared_dir(spark, 'suspects')}/hashes")
+
+
+def duplicate_keys_two_pass(spark: SparkSession, sf: str) -> DataFrame:
+    """A12 where only keys whose hash occurs twice are grouped."""
+    from barmarts.plans.registry import LINEITEM_KEY
+    return quality.duplicate_keys(_suspects(spark, sf), LINEITEM_KEY)
+
+
+def duplicate_row_count_two_pass(spark: SparkSession, sf: str) -> DataFrame:
+    """A13 where only keys whose hash occurs twice are grouped."""
+    from barmarts.plans.registry import LINEITEM_KEY
+    return quality.duplicate_row_count(_suspects(spark, sf), LINEITEM_KEY)
+
+
 def stored_queries() -> dict:
     return {f.__name__: f for f in (
         clustered_lookup, published_alerts, registered_view_profile, observed_profile, backfill_report, stream_newest_bars,
-        stream_closed_days, risk_from_parts, profile_from_sketches, silver_refresh, upsert_bucketed)}
+        stream_closed_days, risk_from_parts, profile_from_sketches, silver_refresh, upsert_bucketed,
+        duplicate_keys_two_pass, duplicate_row_count_two_pass)}
 
 
 def _upserted(R) -> str:
@@ -201,7 +219,13 @@ def stored_sql() -> dict[str, str]:
     bad = f"(symbol = '{BAD_VOLUME}' AND day(price_date) = 1)"
     short = f"(symbol = '{MALFORMED_LINES}' AND strftime(price_date, '%Y-%m') = '{MALFORMED_MONTH}')"
     upserted = _upserted(R)
+    keys = ", ".join(R.LINEITEM_KEY)
     return {
+        # by rank within the key, not by a group count
+        "duplicate_keys_two_pass": f"""SELECT {keys}, MAX(k) AS row_count FROM (SELECT {keys}, ROW_NUMBER() OVER (PARTITION BY {keys}) AS k FROM lineitem)
+            GROUP BY {keys} HAVING MAX(k) > 1""",
+        "duplicate_row_count_two_pass": f"""SELECT COUNT(*) FILTER (WHERE k > 1) AS duplicate_rows, COUNT(*) FILTER (WHERE k = 2) AS duplicate_groups
+            FROM (SELECT ROW_NUMBER() OVER (PARTITION BY {keys}) AS k FROM lineitem)""",
         "silver_refresh": bars + f", up AS ({upserted})," + silver_cte("up") + " SELECT * FROM silver",
         "upsert_bucketed": bars + f", up AS ({upserted}) SELECT * FROM up",
         "clustered_lookup": bars + f""" SELECT * FROM bars WHERE symbol BETWEEN '{LOOKUP_SYMBOLS[0]}' AND '{LOOKUP_SYMBOLS[1]}'

@@ -2,11 +2,12 @@
 import datetime as dt
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from barmarts.operators import incremental
+from barmarts.operators import incremental, quality
 from barmarts.operators.gold import monthly_performance, risk_summary
 from barmarts.operators.normalise import normalise_landing
 from barmarts.operators.observed import batch_metrics, judge, store_observed
@@ -18,7 +19,7 @@ from barmarts.session import shared_dir
 from barmarts.sources import published
 from barmarts.sources.clustered import MAX_LISTED, read_clustered, write_clustered, zones
 from barmarts.sources.landing import read_landing, read_vendor_csv
-from barmarts.sources.tables import bronze_table, input_fingerprint
+from barmarts.sources.tables import bronze_table, input_fingerprint, read_table
 from barmarts.streaming.state import run_closed_days, run_newest_bars
 from conftest import SF_SMALL
 from test_pipeline import _vendor_rows
@@ -235,3 +236,34 @@ def test_bucketed_upsert_shuffles_the_batch_only(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange") == 1 and "LeftAnti" in plan
+
+
+# --- duplicates in two passes ------------------------------------------------------------
+
+@pytest.mark.parametrize("repeated", [0, 7, 400])
+def test_suspect_rows_give_the_same_duplicates(spark, repeated):
+    rng = random.Random(repeated)
+    rows = [(f"s{k}", k % 9) for k in range(400)] + [(f"s{rng.randrange(400)}", rng.randrange(9)) for _ in range(repeated)]
+    rows += [(None, 1), (None, 1), ("s1", None), (None, None)] + [("hot", 1)] * 200
+    df = spark.createDataFrame(rows, "symbol string, day int").repartition(4).cache()
+    keys = ["symbol", "day"]
+    found = quality.suspect_rows(df, keys, f"{shared_dir(spark, 'suspects-test')}/hashes")
+    want = {(r.symbol, r.day): r.row_count for r in quality.duplicate_keys(df, keys).collect()}
+    assert {(r.symbol, r.day): r.row_count for r in quality.duplicate_keys(found, keys).collect()} == want
+    assert want["hot", 1] == 200 and want[None, 1] == 2
+    assert quality.duplicate_row_count(found, keys).first() == quality.duplicate_row_count(df, keys).first()
+    for check in ("unique", "composite_key"):
+        assert quality.unique_report(found, "t", keys, check).first() == quality.unique_report(df, "t", keys, check).first()
+    # unique keys end at the first pass
+    assert found.count() == sum(want.values())
+    df.unpersist()
+
+
+def test_second_pass_shuffles_no_unique_key(spark):
+    df = read_table(spark, SF_SMALL, "lineitem")
+    found = quality.suspect_rows(df, ["l_orderkey", "l_linenumber"], f"{shared_dir(spark, 'suspects-test')}/hashes")
+    tree = physical_tree(quality.duplicate_keys(found, ["l_orderkey", "l_linenumber"]))
+    # the rows meet the few hashes before their only exchange
+    assert "BroadcastHashJoin LeftSemi" in tree and len(re.findall(r"(?<!Broadcast)Exchange \(", tree)) == 1, tree
+    empty = quality.suspect_rows(df.limit(0), ["l_orderkey"], f"{shared_dir(spark, 'suspects-test')}/hashes")
+    assert quality.duplicate_row_count(empty, ["l_orderkey"]).first().duplicate_rows == 0
