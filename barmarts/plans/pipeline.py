@@ -53,9 +53,10 @@ def build_marts(bronze: DataFrame, split_by: str | None = "month", audit: bool =
 
 
 def materialise_marts(spark: SparkSession, bronze: DataFrame, root: str, split_by: str | None = "month",
-                      store: Callable[..., DataFrame] | None = None) -> dict[str, DataFrame]:
+                      store: Callable[..., DataFrame] | None = None, marts: list[str] | None = None) -> dict[str, DataFrame]:
     """S6 for every model: Silver first, then the marts read the written Silver and the
     written month-by-month table (written tables cut lineage and survive executor loss).
+    ``marts`` names the models wanted besides those two (default: all).
 
     ``store(df, name, sort_by)`` writes a model; the default replaces a folder under ``root``,
     ``sources.published.publisher`` publishes through the catalog, so that a stop or a reader in
@@ -71,14 +72,14 @@ def materialise_marts(spark: SparkSession, bronze: DataFrame, root: str, split_b
     base = s.drop("silver_created_at_utc")
     monthly = put(gold._audit(gold.monthly_performance(base), True), "monthly", ["symbol", "month_start_date"])
     m = monthly.drop("gold_created_at_utc")
-    return {
-        "silver": s,
-        "monthly": monthly,
-        "long_term": put(gold.long_term_performance(base, audit=True), "long_term"),
-        "market_summary": put(gold.monthly_market_summary(m, audit=True), "market_summary"),
-        "risk": put(gold.risk_summary(m, audit=True), "risk"),
-        "alerts": put(gold.alert_candidates(m, audit=True), "alerts"),
+    built = {
+        "long_term": gold.long_term_performance(base, audit=True),
+        "market_summary": gold.monthly_market_summary(m, audit=True),
+        "risk": gold.risk_summary(m, audit=True),
+        "alerts": gold.alert_candidates(m, audit=True),
     }
+    wanted = [name for name in built if marts is None or name in marts]
+    return {"silver": s, "monthly": monthly, **{name: put(built[name], name) for name in wanted}}
 
 
 def historical_load(spark: SparkSession, landed: DataFrame, table_path: str, source_provider: str,

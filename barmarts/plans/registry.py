@@ -108,10 +108,10 @@ def bars_with_dimension(spark, sf):
     return with_dimension(_bars(spark, sf), brand_dimension(read_table(spark, sf, "part")))
 
 
-def _stored(spark, sf):
+def _stored(spark, sf, marts=None):
     """Bronze and the marts, written in order; the data tests read the written tables."""
     bars = _bars(spark, sf)
-    return bars, materialise_marts(spark, bars, shared_dir(spark, "tested-marts"))
+    return bars, materialise_marts(spark, bars, shared_dir(spark, "tested-marts"), marts=marts)
 
 
 def _data_tests(spark, sf):
@@ -152,39 +152,36 @@ def alert_positions(spark, sf):
 
 
 def dq_unique(spark, sf):
-    s = _silver(spark, sf)
-    m = gold.monthly_performance(s)
-    return quality.union_reports([
-        quality.unique_report(gold.long_term_performance(s), "long_term", ["symbol"]),
-        quality.unique_report(gold.risk_summary(m), "risk", ["symbol"]),
-        quality.unique_report(gold.monthly_market_summary(m), "market_summary", ["month_start_date"]),
-    ])
+    keys = {"long_term": "symbol", "risk": "symbol", "market_summary": "month_start_date"}
+    _, marts = _stored(spark, sf, list(keys))
+    return quality.union_reports([quality.unique_report(marts[t], t, [key]) for t, key in keys.items()])
 
 
 def dq_accepted_values(spark, sf):
-    s = _silver(spark, sf)
-    a = gold.alert_candidates(gold.monthly_performance(s))
+    _, marts = _stored(spark, sf, ["alerts"])
     return quality.union_reports([
-        quality.accepted_values_multi(s, "silver", {"symbol": ACCEPTED_SYMBOLS,
-                                                    "source_provider": ACCEPTED_PROVIDERS,
-                                                    "data_loaded_as": LOAD_TYPES}),
-        quality.accepted_values_multi(a, "alerts", {"alert_type": ALERT_TYPES,
-                                                    "alert_severity": ALERT_SEVERITIES}),
+        quality.accepted_values_multi(marts["silver"], "silver", {"symbol": ACCEPTED_SYMBOLS,
+                                                                  "source_provider": ACCEPTED_PROVIDERS,
+                                                                  "data_loaded_as": LOAD_TYPES}),
+        quality.accepted_values_multi(marts["alerts"], "alerts", {"alert_type": ALERT_TYPES,
+                                                                  "alert_severity": ALERT_SEVERITIES}),
     ])
 
 
 def dq_composite_key(spark, sf):
-    b = _bars(spark, sf)
-    s = silver(b)
+    bars, marts = _stored(spark, sf, [])
     return quality.union_reports([
-        quality.unique_report(b, "bronze", ["symbol", "price_date"], "composite_key"),
-        quality.unique_report(s, "silver", ["symbol", "price_date"], "composite_key"),
-        quality.unique_report(gold.monthly_performance(s), "monthly", ["symbol", "month_start_date"],
-                              "composite_key"),
+        quality.unique_report(bars, "bronze", ["symbol", "price_date"], "composite_key"),
+        quality.unique_report(marts["silver"], "silver", ["symbol", "price_date"], "composite_key"),
+        quality.unique_report(marts["monthly"], "monthly", ["symbol", "month_start_date"], "composite_key"),
         quality.unique_report(read_table(spark, sf, "lineitem"), "lineitem", LINEITEM_KEY, "composite_key"),
     ])
 
 
+def dq_recompute(spark, sf):
+    return quality.recompute_report(_stored(spark, sf, [])[1]["monthly"])
+
+
 def gate_report(spark, sf):
     universe = read_table(spark, sf, "part").select(F.col("p_brand").alias("symbol")).distinct()
     return quality.gate_report(_landed_drops(spark, sf), universe)
@@ -288,7 +285,7 @@ def all_queries() -> dict[str, Query]:
         "dq_unique": dq_unique,
         "dq_accepted_values": dq_accepted_values,
         "dq_composite_key": dq_composite_key,
-        "dq_recompute": lambda s, sf: quality.recompute_report(mo(s, sf)),
+        "dq_recompute": dq_recompute,
         "data_tests": _data_tests,
         "gate_report": gate_report,
         "split_rejects": lambda s, sf: quality.split_rejects(_landed_drops(s, sf), policy="historical"),

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from barmarts.operators.quality import GateError
 from barmarts.operators.upsert import merge_into, read_bronze
 from barmarts.plans.pipeline import build_marts, historical_load, incremental_load, materialise_marts
@@ -11,6 +12,7 @@ from barmarts.sources.landing import read_dimension, read_vendor_csv, universe_f
 from barmarts.sources.tables import bars_from_tables
 from barmarts.operators.enrich import with_dimension
 from conftest import SF_SMALL
+from test_plans import physical_tree
 
 
 def _vendor_rows(symbol, days, start=100.0):
@@ -147,3 +149,12 @@ def test_cli_backfill_and_incremental(spark):
     assert read_bronze(spark, f"{root}/bronze").count() == 6
     assert main(["incremental", "--landing", f"{root}/inc", "--table", f"{root}/bronze",
                  "--symbols", "AAA,BBB,CCC"], spark) == 1  # Q13 refuses: CCC missing
+
+
+@pytest.mark.parametrize("key", ["dq_unique", "dq_accepted_values", "dq_composite_key", "dq_recompute"])
+def test_single_checks_read_stored_tables(spark, key):
+    df = E.queries()[key](spark, SF_SMALL)
+    files = df.inputFiles()
+    want = {"dq_unique": {"long_term", "risk", "market_summary"}, "dq_accepted_values": {"silver", "alerts"},
+            "dq_composite_key": {"silver", "monthly"}, "dq_recompute": {"monthly"}}[key]
+    assert all(any(f"/{name}/" in f for f in files) for name in want) and "Window" not in physical_tree(df)
