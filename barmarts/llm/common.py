@@ -76,17 +76,6 @@ def id_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """About ``rows`` rows, chosen by a hash of ``key`` (the same rows in every run).
-
-    The rate follows from one count, so the size of the sample does not grow with the input.
-    """
-    total = df.count()
-    if total <= rows:
-        return df
-    return df.where(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30)) < int(rows / total * (1 << 30)))
-
-
 def connected_components(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b); component = least node.
 
