@@ -34,6 +34,7 @@ import re
 from collections import Counter, defaultdict
 from hashlib import blake2b
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,7 @@ ARROW_MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("start_word", pa.int
                                   ("n_words", pa.int64()), ("similarity", pa.float64())]))
 
 words_of = re.compile(r"[^\W_]+").findall
+_ASCII = bytes(ord(chr(b).lower()) if b < 128 and chr(b).isalnum() else 32 for b in range(256))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,16 +70,26 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def shingle_keys(ids: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit key for each run of ``width`` word ids."""
-    if len(ids) < width:
-        return np.empty(0, np.uint64)
-    out = np.full(len(ids) - width + 1, np.uint64(width))
+def lower_words(text: str) -> list[str]:
+    """Words of the lower-cased text; the same as ``words_of`` gives, cheaper where it is ASCII."""
+    if text.isascii():
+        return text.encode().translate(_ASCII).decode().split()
+    return words_of(text.lower())
+
+
+def keys_at(ids: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit key for the ``width`` word ids from each place of ``at`` on."""
+    out = np.full(len(at), np.uint64(width))
     for k in range(width):
-        out = _mix(out + ids[k:len(ids) - width + 1 + k].astype(np.uint64))
+        out = _mix(out + ids[at + k].astype(np.uint64))
     return out
 
 
+def shingle_keys(ids: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit key for each run of ``width`` word ids."""
+    return keys_at(ids, np.arange(max(len(ids) - width + 1, 0)), width)
+
+
 def signed_bits(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
     bits = np.unpackbits(_mix(keys).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     return (bits.astype(np.float32) * 2 - 1) * weights[:, None].astype(np.float32)
@@ -116,7 +128,7 @@ class ItemBlock:
         by_size: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
         held: set[int] = set()
         for item, text in items:
-            ids = self.words.learn(words_of((text or "").lower()))
+            ids = self.words.learn(lower_words(text or ""))
             if len(ids):
                 keys = shingle_keys(ids, min(WIDTH, len(ids)))
                 held.update(keys.tolist())
@@ -129,7 +141,8 @@ class ItemBlock:
             prints = np.stack([(signed_bits(k, self.weights(k)).sum(0) > 0) for _, k in group])
             blocks = np.packbits(prints, axis=1, bitorder="little")  # items x 8 blocks
             index = np.stack([near[:, blocks[:, b]] for b in range(8)])  # block, value, item
-            self.sizes[n] = ([i for i, _ in group], [Counter(k.tolist()) for _, k in group], blocks.view(np.uint64)[:, 0], index)
+            held_by = [(np.unique(k), float(self.weights(k).sum())) for _, k in group]
+            self.sizes[n] = ([i for i, _ in group], [Counter(k.tolist()) for _, k in group], held_by, blocks.view(np.uint64)[:, 0], index)
 
     def weights(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.shared):
@@ -153,19 +166,25 @@ class ItemBlock:
         """Best window of every item that the text holds."""
         if not text or not len(self.known):
             return []
-        ids = np.fromiter(map(self.words.__getitem__, words_of(text.lower())), dtype=np.int64)
+        ids = np.fromiter(map(self.words.get, lower_words(text), repeat(0)), dtype=np.int64)
         best: dict[int, tuple[float, int, int]] = {}
         for width in sorted({min(WIDTH, n) for n in self.sizes}):
             if len(ids) < width:
                 break
-            known = np.lib.stride_tricks.sliding_window_view(ids, width).all(axis=1)
-            if not known.any():
+            seen, places = ids != 0, len(ids) - width + 1
+            known = seen[:places].copy()
+            for k in range(1, width):
+                known &= seen[k:places + k]
+            at = np.flatnonzero(known)
+            if not len(at):
                 continue
-            keys = shingle_keys(ids, width)
-            known[known] = self.holds(keys[known])
+            # only runs of known words can be shingles of an item, or weigh less than 1
+            keys = keys_at(ids, at, width)
+            known[at] = self.holds(keys)
             if not known.any():
                 continue
-            weight = self.weights(keys)
+            weight = np.ones(places)
+            weight[at] = self.weights(keys)
             shared = np.concatenate([[0.0], np.cumsum(np.where(known, weight, 0.0))])
             foreign = np.concatenate([[0.0], np.cumsum(np.where(known, 0.0, weight))])
             for n in self.sizes:
@@ -176,16 +195,18 @@ class ItemBlock:
                 # no more than own / (own + other) can be reached, whatever the item
                 starts = np.flatnonzero((own >= SIMILARITY * (own + other) - 1e-9) & (own > 1e-9))
                 for k in range(0, len(starts), STRETCH):
-                    self._windows(keys, weight, starts[k:k + STRETCH], n, span, best)
+                    self._windows(ids, weight, starts[k:k + STRETCH], n, width, best)
         return [{"item_id": i, "start_word": s, "n_words": n, "similarity": v} for i, (v, s, n) in sorted(best.items())]
 
-    def _windows(self, keys: np.ndarray, weight: np.ndarray, starts: np.ndarray, n: int, span: int, best: dict) -> None:
-        items, counts, prints, index = self.sizes[n]
+    def _windows(self, ids: np.ndarray, weight: np.ndarray, starts: np.ndarray, n: int, width: int, best: dict) -> None:
+        items, counts, held_by, prints, index = self.sizes[n]
+        span = n - width + 1
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > span) + 1):
             low, high = run[0], run[-1] + span
+            keys, mass = shingle_keys(ids[low:high + width - 1], width), weight[low:high]
             # sums over neighbouring windows, from one cumulative sum
             total = np.zeros((high - low + 1, 64))
-            np.cumsum(signed_bits(keys[low:high], weight[low:high]), axis=0, out=total[1:])
+            np.cumsum(signed_bits(keys, mass), axis=0, out=total[1:])
             window = (total[run - low + span] - total[run - low]) > 1e-9
             blocks = np.packbits(window, axis=1, bitorder="little")
             near = index[0][blocks[:, 0]]
@@ -193,12 +214,27 @@ class ItemBlock:
                 near = near | index[b][blocks[:, b]]
             w, i = np.nonzero(near)
             far = np.bitwise_count(blocks.view(np.uint64)[w, 0] ^ prints[i])
+            close = far <= RADIUS
+            w, i, far = w[close], i[close], far[close]
+            if not len(w):
+                continue
+            # of each item near a window: what the window has of its shingles bounds the similarity from above
+            at, whole = run - low, np.concatenate([[0.0], np.cumsum(mass)])
+            fits = np.zeros(len(w), dtype=bool)
+            for one in np.unique(i).tolist():
+                (held, weighs), mine = held_by[one], np.flatnonzero(i == one)
+                place = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                own = np.concatenate([[0.0], np.cumsum(np.where(held[place] == keys, mass, 0.0))])
+                from_ = at[w[mine]]
+                both = own[from_ + span] - own[from_]
+                either = whole[from_ + span] - whole[from_] + weighs - both
+                fits[mine] = both >= SIMILARITY * either - 1e-6
+            w, i, far = w[fits], i[fits], far[fits]
             order = np.lexsort((w, far))
-            order = order[far[order] <= RADIUS]
             for s, i in zip(run[w[order]].tolist(), i[order].tolist()):
                 if items[i] in best and best[items[i]][0] >= 1 and best[items[i]][1] < s:
                     continue
-                value = self.similarity(keys[s:s + span], counts[i])
+                value = self.similarity(keys[s - low:s - low + span], counts[i])
                 if value >= SIMILARITY - 1e-12 and (items[i] not in best or _order((value, s, n)) < _order(best[items[i]])):
                     best[items[i]] = (value, s, n)
 

@@ -121,6 +121,24 @@ def test_matches_against_brute_force(spark, edge, nothing):
     assert decontaminate.with_matches(edge, bench.limit(0)).where("size(matches) > 0").count() == 0
 
 
+def test_hopeless_windows_are_not_verified(monkeypatch):
+    """Windows near an item by fingerprint are compared exactly only if what they hold of it can suffice."""
+    a, b = [f"a{k}" for k in range(30)], [f"b{k}" for k in range(30)]
+    block = decontaminate.ItemBlock([(1, " ".join(a)), (2, " ".join(b))], decontaminate.Shared([]))
+    calls, exact = [], decontaminate.ItemBlock.similarity
+    monkeypatch.setattr(decontaminate.ItemBlock, "similarity", lambda *args: calls.append(1) or exact(*args))
+    assert block.matches(" ".join(a[:20] + b[10:])) == [] and not calls
+    edited = a[:29] + ["x"]
+    assert [(m["item_id"], m["start_word"], m["similarity"]) for m in block.matches(" ".join(edited))] == [(1, 0, round(25 / 27, 12))]
+    assert calls
+
+
+def test_words_of_ascii_texts():
+    every = "".join(map(chr, range(128)))
+    for text in (every, every[::-1], "", " _ ", "A_b-C9", "Stra\u00dfe \u0130X \u216b", "\x1cA\x85b"):
+        assert decontaminate.lower_words(text) == decontaminate.words_of(text.lower())
+
+
 def test_item_blocks(spark, monkeypatch):
     bench = spark.createDataFrame([(k, "a b c d e f g " + "z" * k) for k in range(7)], "item_id long, text string")
     docs = spark.createDataFrame([(k, "q a b c d e f g " + "z" * k) for k in range(7)], "doc_id long, text string")
