@@ -52,7 +52,8 @@ AGREE = 21
 
 def shingle_hashes(text: Column, width: int) -> Column:
     """Distinct 64-bit hashes of the w-word shingles; [] without a word."""
-    words = split_words(ascii_lower(F.coalesce(text, F.lit(""))))
+    # binding to a lambda variable evaluates the lower-cased text, and below the word hashes, once a text
+    words = F.get(F.transform(F.array(ascii_lower(F.coalesce(text, F.lit("")))), split_words), F.lit(0))
 
     def hashed(h: Column) -> Column:
         starts = F.slice(h, F.lit(1), F.greatest(F.size(h) - (width - 1), F.lit(0)))
@@ -63,7 +64,6 @@ def shingle_hashes(text: Column, width: int) -> Column:
         return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(
             F.size(h) < width, F.array(F.xxhash64(h, F.lit(width)))).otherwise(F.array_distinct(each))
 
-    # binding the word hashes to a lambda variable evaluates them once a text
     return F.get(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), hashed), F.lit(0))
 
 
@@ -79,13 +79,13 @@ def one_pass_minhashes(s: Column, hashes: int) -> Column:
         return F.shiftright(F.shiftrightunsigned(x, 32) * hashes, 32)
 
     def firsts(bins: Column) -> Column:
-        first = F.filter(s, lambda x, i: (i == 0) | (F.get(bins, i) != F.get(bins, F.greatest(i - 1, F.lit(0)))))
+        first = F.filter(s, lambda x, i: (i == 0) | (F.get(bins, i) != F.get(bins, i - 1)))
         return F.struct(F.array_distinct(bins).alias("bin"), first.alias("least"))
 
     def spread(found: Column) -> Column:
-        at = lambda j: F.array_position(found["bin"], j).cast("int")
-        return F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)).cast("array<bigint>"),
-                           lambda j: F.when(at(j) == 0, F.lit(0).cast("long")).otherwise(F.get(found["least"], at(j) - 1)))
+        # an absent bin is at position 0, whose predecessor gives null
+        return F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)).cast("array<bigint>"), lambda j: F.coalesce(
+            F.get(found["least"], F.array_position(found["bin"], j).cast("int") - 1), F.lit(0).cast("long")))
 
     found = F.transform(F.array(F.transform(s, bin_of)), firsts)
     return F.get(F.transform(found, spread), F.lit(0))
@@ -115,21 +115,29 @@ def kind_keys(kind: str, groups: int, band: int) -> Column:
     return F.when(F.col(kind).isNotNull(), keys).otherwise(F.array().cast("array<bigint>"))
 
 
+def _place_mask(groups: int) -> int:
+    """The low bits of a key that number its table: groups^2 for each kind of minhashes."""
+    return (1 << (2 * groups * groups - 1).bit_length()) - 1
+
+
 def table_keys(classes: DataFrame, groups: int, band: int) -> DataFrame:
-    """(rep, key): every class in its groups^2 tables."""
-    return classes.select("rep", F.explode(F.concat(kind_keys("small", groups, band), kind_keys("large", groups, band))).alias("key"))
+    """(rep, key): every class in its groups^2 tables; the low bits of a key number the table."""
+    mask = _place_mask(groups)
+    first = F.when(F.col("small").isNull(), F.lit(groups * groups)).otherwise(0)  # no small ones before the large
+    keys = F.concat(kind_keys("small", groups, band), kind_keys("large", groups, band))
+    return classes.select("rep", first.alias("_first"), F.posexplode(keys).alias("_p", "_key")).select(
+        "rep", F.col("_key").bitwiseAND(F.lit(~mask)).bitwiseOR((F.col("_first") + F.col("_p")).cast("long")).alias("key"))
 
 
 def with_tables(rows: DataFrame, classes: DataFrame, groups: int, band: int) -> DataFrame:
     """``rows`` (key, rep, ...) with the table (i, j) of the key and the class's group hashes."""
-    met = rows.join(classes.select("rep", "small", "large"), "rep").withColumn(
-        "_p", F.array_position(kind_keys("small", groups, band), F.col("key")))
-    small = F.col("_p") > 0
-    at = (F.when(small, F.col("_p")).otherwise(F.array_position(kind_keys("large", groups, band), F.col("key"))) - 1).cast("int")
+    place = F.col("key").bitwiseAND(F.lit(_place_mask(groups))).cast("int")
+    small = place < groups * groups
+    at = F.pmod(place, F.lit(groups * groups))
     hashes = {f"{side}s": F.when(small, group_hashes("small", side, groups, band)).otherwise(group_hashes("large", side, groups, band))
               for side in "uv"}
-    return met.withColumns({"_at": at, **hashes}).withColumns(
-        {"i": F.floor(F.col("_at") / groups).cast("int"), "j": F.pmod(F.col("_at"), F.lit(groups))}).drop("_p", "_at", "small", "large")
+    return rows.join(classes.select("rep", "small", "large"), "rep").withColumns(
+        {"i": F.floor(at / groups).cast("int"), "j": F.pmod(at, F.lit(groups)), **hashes}).drop("small", "large")
 
 
 def _first_table(a: str, b: str) -> Column:
@@ -197,8 +205,9 @@ def _possible(a: str, b: str, threshold: int) -> Column:
 
 def bucket_members(classes: DataFrame, groups: int, band: int, threshold: int, ws: Workspace) -> DataFrame:
     """(key, rep) of every class that agrees with another one in the bucket."""
-    keys = table_keys(classes, groups, band)
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    # dealt once by key: the counting and the join read the same shuffle
+    keys = table_keys(classes, groups, band).repartition("key")
+    shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
     rows = ws.store(keys.join(shared, "key").join(prints(classes), "rep"), "rows")
     return rows.alias("l").join(rows.alias("r"), F.expr("l.key = r.key AND l.rep <> r.rep") & _sizes("l", "r", threshold)
                                 & _agree("l", "r"), "left_semi").select("key", "rep")
